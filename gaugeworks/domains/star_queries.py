@@ -114,15 +114,11 @@ class Star:
         return self.clean("dados_alunos", self.extracted_students())
 
     def integration_inputs(self) -> list[DataFrame]:
-        """City targets, dimensions, and the two small target tables as stored.
-
-        The state and national figures are small but come from big tables. Stored
-        first, their size is known when the city rows are joined to them.
-        """
+        """City targets, and the stored tables they are joined to."""
         return [
             self.city_targets(),
-            self.cities(),
-            self.states(),
+            materialise(self.cities(), "cities"),
+            materialise(self.states(), "states"),
             materialise(self.state_targets(), "state-targets"),
             materialise(self.national_targets(), "national-targets"),
         ]
@@ -422,6 +418,19 @@ def _mart(build: Callable) -> Query:
     return query
 
 
+def mart_trend(spark: SparkSession, folder: str) -> DataFrame:
+    """The mart aggregates the integrated rows twice, so they are stored first."""
+    columns = [
+        LAYOUT.year,
+        LAYOUT.city,
+        LAYOUT.result,
+        LAYOUT.nation_result,
+        LAYOUT.nation_target,
+    ]
+    rows = Star(spark, folder).integrated().select(*columns)
+    return trend_mart(materialise(rows, "integrated"), LAYOUT)
+
+
 def mart_sql_view(spark: SparkSession, folder: str) -> DataFrame:
     """SQL over the stored files of a mart: states on target per year."""
     mart = state_mart(Star(spark, folder).integrated(), LAYOUT)
@@ -621,7 +630,7 @@ QUERIES: dict[str, Query] = {
     "mart_city": _mart(city_mart),
     "mart_state": _mart(state_mart),
     "mart_comparison": _mart(comparison_mart),
-    "mart_trend": _mart(trend_mart),
+    "mart_trend": mart_trend,
     "mart_dashboard": _mart(dashboard_mart),
     "mart_sql_view": mart_sql_view,
     "json_decode": json_decode,

@@ -8,7 +8,7 @@ missing codes, decimal commas, unparseable numbers, orphans and duplicates.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -74,15 +74,19 @@ def _repeat_rows(df: DataFrame, condition: Column) -> DataFrame:
     return df.withColumn("_copy", F.explode(copies)).drop("_copy")
 
 
-@dataclass(frozen=True)
+@dataclass
 class StarTables:
     """Raw tables of the domain, all lazily derived from the Parquet files."""
 
     spark: SparkSession
     folder: str
+    _opened: dict[str, DataFrame] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A source table; its footer is read once."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._opened[name]
 
     # -- dimensions and lookups ------------------------------------------------
 
@@ -123,8 +127,10 @@ class StarTables:
         return _repeat_rows(states, F.col("n_nationkey") % 10 == 0).drop("n_nationkey")
 
     def dictionary(self) -> DataFrame:
-        columns = "id_tabela string, nome_coluna string, chave string, valor string"
-        return self.spark.createDataFrame(list(DICTIONARY), columns)
+        rows = ", ".join(str(row) for row in DICTIONARY)
+        return self.spark.sql(
+            f"SELECT * FROM VALUES {rows} AS d(id_tabela, nome_coluna, chave, valor)"
+        )
 
     # -- figures per city, state and nation -----------------------------------
 

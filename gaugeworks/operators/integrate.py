@@ -17,7 +17,8 @@ from gaugeworks.spec import ForeignKey, IndicatorLayout
 
 def state_dimension(states: DataFrame, layout: IndicatorLayout) -> DataFrame:
     """One (code, name) row per state."""
-    return keep_one(states.select(layout.state, layout.state_name).distinct(), [layout.state])
+    names = states.select(layout.state, layout.state_name).distinct()
+    return keep_one(names, [layout.state], null_keys="collapse")
 
 
 def city_dimension(cities: DataFrame, layout: IndicatorLayout) -> DataFrame:
@@ -26,7 +27,7 @@ def city_dimension(cities: DataFrame, layout: IndicatorLayout) -> DataFrame:
     lacking = [c for c in columns if c not in cities.columns]
     if lacking:
         raise ValueError(f"city table lacks {lacking}")
-    return keep_one(cities.select(*columns).distinct(), [layout.city])
+    return keep_one(cities.select(*columns).distinct(), [layout.city], null_keys="collapse")
 
 
 def _figures(
@@ -56,6 +57,10 @@ def integrate(
     city row, provided all three levels use the same network codes.
 
     City names and states come from the dimension, not from the target table.
+
+    All tables but the first should be stored ones. Then their size is known, so
+    the small ones are broadcast, and a join that does shuffle does so right below
+    the join, where adaptive execution can split a hot city or state.
     """
     network = [layout.network] if by_network else []
     state_keys = [layout.state, layout.year, *network]

@@ -1,8 +1,11 @@
 """Decoding codes and attaching directory attributes.
 
-Lookup sides carry no broadcast hint. Spark broadcasts them when their size is
-known to be under ``spark.sql.autoBroadcastJoinThreshold``; above it the join is
-a sort-merge join whose hot keys adaptive execution splits.
+A directory may be as large as the facts, so its join carries no broadcast hint:
+Spark broadcasts it when its size is known to be under
+``spark.sql.autoBroadcastJoinThreshold``; above that it is a sort-merge join whose
+hot keys adaptive execution splits. Codes are different. A column has a handful of
+them, and shuffling the facts by a handful of values would be ruinous, so the
+number of labels is counted before they are broadcast.
 """
 
 from __future__ import annotations
@@ -13,25 +16,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def code_labels(dictionary: DataFrame, table: str, column: str) -> DataFrame:
-    """(code, label) for one column; a repeated code keeps its smallest label."""
+MAX_BROADCAST_LABELS = 100_000
+
+
+def code_labels(dictionary: DataFrame, table: str, columns: Iterable[str]) -> DataFrame:
+    """(column, code, label) of one table; a repeated code keeps its smallest label."""
     return (
-        dictionary.filter((F.col("id_tabela") == table) & (F.col("nome_coluna") == column))
-        .groupBy(F.col("chave").alias(column))
-        .agg(F.min("valor").alias(f"{column}_label"))
+        dictionary.filter((F.col("id_tabela") == table) & F.col("nome_coluna").isin(*columns))
+        .groupBy("nome_coluna", "chave")
+        .agg(F.min("valor").alias("valor"))
     )
 
 
+def has_at_most(df: DataFrame, rows: int) -> bool:
+    """Whether ``df`` is that small; reads no more rows than needed to tell."""
+    return df.limit(rows + 1).count() <= rows
+
+
 def decode_codes(
     df: DataFrame, dictionary: DataFrame, table: str, columns: Iterable[str]
 ) -> DataFrame:
-    """Replace codes by labels; an unknown code becomes null."""
-    order = df.columns
+    """Replace codes by labels; an unknown code becomes null.
+
+    More labels than can safely be broadcast are joined like any other table.
+    """
+    order, columns = df.columns, list(columns)
+    labels = code_labels(dictionary, table, columns)
+    small = has_at_most(labels, MAX_BROADCAST_LABELS)
     for column in columns:
         label = f"{column}_label"
+        known = labels.filter(F.col("nome_coluna") == column).select(
+            F.col("chave").alias(column), F.col("valor").alias(label)
+        )
         df = (
             df.withColumn(column, F.col(column).cast("string"))
-            .join(code_labels(dictionary, table, column), column, "left")
+            .join(F.broadcast(known) if small else known, column, "left")
             .drop(column)
             .withColumnRenamed(label, column)
         )

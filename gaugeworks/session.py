@@ -7,7 +7,9 @@ import os
 from pyspark.sql import SparkSession
 
 # Adaptive execution splits hot join keys and sizes shuffles from what it measures.
+# Recording the call site of every expression only slows down building wide plans.
 SETTINGS = {
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",

@@ -38,24 +38,21 @@ def read_events(
     return reader.load(path) if path else reader.load()
 
 
-def _decoded(raw: DataFrame, schema: T.StructType, payload: str) -> DataFrame:
-    extended = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    event = F.from_json(
-        F.col(payload).cast("string"), extended, {"columnNameOfCorruptRecord": CORRUPT}
-    )
-    return raw.select(event.alias("event"))
-
-
-def decode_events(raw: DataFrame, schema: T.StructType, payload: str = "data") -> DataFrame:
-    """JSON payloads as columns; a malformed payload or field is null."""
-    event = F.from_json(F.col(payload).cast("string"), schema)
-    return raw.select(event.alias("event")).select("event.*")
-
+def decode_events(
+    raw: DataFrame, schema: T.StructType, payload: str = "data", corrupt: str | None = None
+) -> DataFrame:
+    """JSON payloads as columns; a malformed payload or field is null.
 
-def rejected_events(raw: DataFrame, schema: T.StructType, payload: str = "data") -> DataFrame:
-    """Payloads that could not be decoded, or only in part, as text."""
-    corrupt = F.col(f"event.{CORRUPT}")
-    return _decoded(raw, schema, payload).filter(corrupt.isNotNull()).select(corrupt.alias("payload"))
+    ``corrupt`` names an extra column with the text of every payload that could
+    not be decoded, or only in part. The generator keeps later filters above the
+    parser; pushed below it, each of them would parse the text once more.
+    """
+    options = {}
+    if corrupt:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+        options["columnNameOfCorruptRecord"] = corrupt
+    event = F.from_json(F.col(payload).cast("string"), schema, options)
+    return raw.select(F.inline(F.array(event)))
 
 
 @dataclass(frozen=True)
@@ -86,20 +83,26 @@ def store_micro_batch(
 ) -> None:
     """Decode, clean, store and check one micro-batch.
 
+    The decoded events feed two tables, so they are kept while both are written.
     Rules are measured on the stored rows, so cleaning runs once. No foreign keys
     are checked here.
     """
     spark = raw.sparkSession
-    clean = standardise_entity(decode_events(raw, schema, payload), spec)
-    path = sink.batch_path("rows", batch_id)
-    write_table(clean, path, spec.partition_by)
+    decoded = decode_events(raw, schema, payload, corrupt=CORRUPT).persist()
+    try:
+        clean = standardise_entity(decoded.drop(CORRUPT), spec)
+        path = sink.batch_path("rows", batch_id)
+        write_table(clean, path, spec.partition_by)
+        rejected = decoded.filter(F.col(CORRUPT).isNotNull())
+        rejected.select(F.col(CORRUPT).alias("payload")).write.mode("overwrite").parquet(
+            sink.batch_path("rejected", batch_id)
+        )
+    finally:
+        decoded.unpersist()
     stored = spark.read.schema(clean.schema).parquet(path)
     quality_suite(stored, spec).write.mode("overwrite").parquet(
         sink.batch_path("quality", batch_id)
     )
-    rejected_events(raw, schema, payload).write.mode("overwrite").parquet(
-        sink.batch_path("rejected", batch_id)
-    )
 
 
 def start_stream(
