@@ -130,14 +130,9 @@ def read_stream_table(
     spark: SparkSession, sink: StreamSink, kind: str, schema: T.StructType
 ) -> DataFrame:
     """All stored micro-batches, with the stream and batch they came from."""
-    full = T.StructType(
-        [
-            *schema.fields,
-            T.StructField("_stream", T.StringType()),
-            T.StructField("_batch_id", T.LongType()),
-        ]
-    )
-    return spark.read.schema(full).parquet(sink.kind_path(kind))
+    origin = [T.StructField("_stream", T.StringType()), T.StructField("_batch_id", T.LongType())]
+    full = T.StructType([*schema.fields, *origin])
+    return spark.read.schema(full).parquet(sink.kind_path(kind)).select(*full.names)
 
 
 def batch_and_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
