@@ -6,7 +6,7 @@ Audit timestamps are left out, so results can be compared value by value.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ from gaugeworks.operators.quality import (
     report_documents,
 )
 from gaugeworks.operators.standardise import standardise_entity
+from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.extract import (
     STUDENT_CODES,
     attach_city,
@@ -105,6 +106,9 @@ class Star:
     def located_city_targets(self) -> DataFrame:
         return attach_city(self.raw.raw_city_targets(), self.raw.city_directory())
 
+    def named_city_targets(self) -> DataFrame:
+        return self.clean("meta_alfabetizacao_municipio", self.located_city_targets())
+
     def extracted_students(self) -> DataFrame:
         return extract_students(
             self.raw.raw_students(), self.raw.city_directory(), self.raw.dictionary()
@@ -115,13 +119,16 @@ class Star:
 
     def integration_inputs(self) -> list[DataFrame]:
         """City targets, and the stored tables they are joined to."""
-        return [
-            self.city_targets(),
-            materialise(self.cities(), "cities"),
-            materialise(self.states(), "states"),
-            materialise(self.state_targets(), "state-targets"),
-            materialise(self.national_targets(), "national-targets"),
-        ]
+        sides = self.stored("cities", "states", "state_targets", "national_targets")
+        return [self.city_targets(), *sides.values()]
+
+    def stored(self, *names: str) -> dict[str, DataFrame]:
+        """Tables by the names of their methods, each stored once."""
+
+        def store(name: str) -> DataFrame:
+            return materialise(getattr(self, name)(), name)
+
+        return concurrently(self.spark, {name: partial(store, name) for name in names})
 
     def integrated(self, by_network: bool = False) -> DataFrame:
         inputs = self.integration_inputs()
@@ -252,8 +259,7 @@ def targets_state(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def targets_city(spark: SparkSession, folder: str) -> DataFrame:
-    star = Star(spark, folder)
-    return star.clean("meta_alfabetizacao_municipio", star.located_city_targets())
+    return Star(spark, folder).named_city_targets()
 
 
 def student_fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -355,18 +361,14 @@ def quality_fk(spark: SparkSession, folder: str) -> DataFrame:
 def _suite(spark: SparkSession, folder: str) -> DataFrame:
     """Reports of all six entities, measured on tables stored once."""
     star = Star(spark, folder)
-    states, cities = materialise(star.states(), "states"), materialise(star.cities(), "cities")
-    references = {"uf": states, "municipio": cities}
+    stored = star.stored("states", "cities", "state_targets", "named_city_targets", "students")
+    references = {"uf": stored["states"], "municipio": stored["cities"]}
     tables = {
-        "uf": states,
-        "municipio": cities,
+        **references,
         "meta_alfabetizacao_brasil": star.national_targets(),
-        "meta_alfabetizacao_uf": materialise(star.state_targets(), "state-targets"),
-        "meta_alfabetizacao_municipio": materialise(
-            star.clean("meta_alfabetizacao_municipio", star.located_city_targets()),
-            "city-targets",
-        ),
-        "dados_alunos": materialise(star.students(), "students"),
+        "meta_alfabetizacao_uf": stored["state_targets"],
+        "meta_alfabetizacao_municipio": stored["named_city_targets"],
+        "dados_alunos": stored["students"],
     }
     reports = [quality_suite(df, STAR.specs[name], references) for name, df in tables.items()]
     return reduce(DataFrame.unionByName, reports)
@@ -470,7 +472,8 @@ def _run_stream(spark: SparkSession, folder: str) -> tuple[StreamSink, DataFrame
     star = Star(spark, folder)
     source = shared_folder(spark, "events")
     payloads = star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT)
-    write_table(payloads, source)
+    # As many shards as cores, whatever the layout of the tables the events come from.
+    write_table(payloads.repartition(spark.sparkContext.defaultParallelism), source)
     events = read_events(
         spark, "parquet", {"pathGlobFilter": "*.parquet"}, "data binary", path=source
     )

@@ -11,6 +11,7 @@ import logging
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -22,6 +23,7 @@ from gaugeworks.operators.integrate import (
 )
 from gaugeworks.operators.quality import quality_gate, quality_suite
 from gaugeworks.operators.standardise import standardise_entity
+from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.marts import MARTS
 from gaugeworks.sources.reports import save_report, utc_now
 from gaugeworks.sources.shared import materialise
@@ -129,16 +131,17 @@ def run_integration(
 
 def run_marts(integrated: DataFrame, layout: IndicatorLayout, lake: Lakehouse) -> dict:
     """Build and store all marts, partitioned by year."""
-    return {
-        name: publish_table(build(integrated, layout), lake.mart_path(name), [layout.year])
-        for name, build in MARTS.items()
-    }
+
+    def mart(name: str) -> DataFrame:
+        return publish_table(MARTS[name](integrated, layout), lake.mart_path(name), [layout.year])
+
+    return concurrently(integrated.sparkSession, {name: partial(mart, name) for name in MARTS})
 
 
 def run_lakehouse(
     raw: Mapping[str, DataFrame], domain: Domain, lake: Lakehouse, by_network: bool = False
 ) -> dict[str, DataFrame]:
-    """Dimensions, targets, students, integration and marts, in that order.
+    """Dimensions, then targets and students, then integration, then marts.
 
     ``raw`` maps entity names to source tables. Returns every stored table.
     """
@@ -155,9 +158,14 @@ def run_lakehouse(
     tables["cities"] = materialise(city_dimension(tables[domain.cities], layout), "cities")
     refs[domain.cities] = tables["cities"]
 
-    for name in (domain.national_targets, domain.state_targets, domain.city_targets):
-        tables[name] = entity(name, refs)
-    tables[domain.students] = entity(domain.students, refs)
+    facts = (
+        domain.national_targets,
+        domain.state_targets,
+        domain.city_targets,
+        domain.students,
+    )
+    jobs = {name: partial(entity, name, refs) for name in facts}
+    tables.update(concurrently(tables[domain.states].sparkSession, jobs))
 
     tables[domain.integrated] = run_integration(tables, domain, lake, by_network)
     tables.update(run_marts(tables[domain.integrated], layout, lake))

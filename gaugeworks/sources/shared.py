@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="gaugeworks-")
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the cluster's shared folder.
 
@@ -20,8 +26,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError(f"set {_SETTING} to a folder every executor can reach")
-        base = tempfile.mkdtemp(prefix="gaugeworks-")
-        spark.conf.set(_SETTING, base)
+        base = _local_folder()
     return f"{base.rstrip('/')}/gaugeworks/{name}-{uuid.uuid4().hex}"
 
 

@@ -1,0 +1,88 @@
+"""Hot keys on joins too big to broadcast."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from gaugeworks.domains.education import LAYOUT
+from gaugeworks.operators.integrate import integrate
+from gaugeworks.operators.lookup import attach_directory
+from gaugeworks.sources.shared import materialise
+from plan_text import executed_plan
+
+# Partitions of a few hundred kilobytes stand in for those of a cluster.
+NO_BROADCAST = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+    "spark.sql.shuffle.partitions": "16",
+}
+
+
+@pytest.fixture()
+def big_joins(spark):
+    before = {key: spark.conf.get(key, None) for key in NO_BROADCAST}
+    for key, value in NO_BROADCAST.items():
+        spark.conf.set(key, value)
+    yield spark
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+def hot(column, rare):
+    """A third of the rows has key 7, the rest spreads."""
+    return F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % rare).alias(column)
+
+
+def test_a_hot_directory_key_is_split(big_joins):
+    spark = big_joins
+    facts = spark.range(120_000, numPartitions=8).select(hot("city", 500), F.uuid().alias("v"))
+    facts = materialise(facts, "facts")
+    directory = spark.range(500).select("id", F.concat(F.lit("c"), "id").alias("nome"))
+    joined = attach_directory(facts, directory, "city", "id", {"nome": "name"})
+    assert joined.count() == 120_000
+    joined.collect()
+    assert "SortMergeJoin(skew=true)" in executed_plan(joined)
+    assert joined.filter("city = 7").select("name").distinct().collect() == [("c7",)]
+
+
+def test_a_hot_city_is_split_on_integration(big_joins):
+    spark = big_joins
+    city_targets = materialise(
+        spark.range(120_000, numPartitions=8).select(
+            hot("id_municipio", 500),
+            (F.col("id") % 5 + 2020).cast("int").alias("ano"),
+            F.lit("M").alias("rede"),
+            (F.col("id") % 100).cast("double").alias("resultado_alfabetizacao"),
+            F.lit(50.0).alias("meta_alfabetizacao"),
+            F.uuid().alias("text"),
+        ),
+        "city-targets",
+    )
+    cities = materialise(
+        spark.range(500).select(
+            F.col("id").alias("id_municipio"),
+            F.lit("n").alias("nome_municipio"),
+            F.when(F.col("id") % 2 == 0, "SP").otherwise("RJ").alias("sigla_uf"),
+        ),
+        "cities",
+    )
+    states = materialise(
+        spark.createDataFrame([("SP", "a"), ("RJ", "b")], ["sigla_uf", "nome_uf"]), "states"
+    )
+    figures = "ano int, rede string, resultado_alfabetizacao double, meta_alfabetizacao double"
+    years = [(y, "M", 1.0, 2.0) for y in range(2020, 2025)]
+    national = materialise(spark.createDataFrame(years, figures), "national")
+    state_rows = [(code, *row) for code in ("SP", "RJ") for row in years]
+    state_targets = materialise(
+        spark.createDataFrame(state_rows, f"sigla_uf string, {figures}"), "state-targets"
+    )
+    integrated = integrate(city_targets, cities, states, state_targets, national, LAYOUT)
+    rows = integrated.collect()
+    assert len(rows) == 120_000
+    assert all(r.meta_alfabetizacao_uf == 2.0 and r.nome_uf in "ab" for r in rows)
+    assert "SortMergeJoin(skew=true)" in executed_plan(integrated)

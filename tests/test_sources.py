@@ -5,7 +5,6 @@ import glob
 import pytest
 from pyspark.sql import functions as F
 
-from gaugeworks.sources import shared
 from gaugeworks.sources.shared import materialise, shared_folder
 from gaugeworks.sources.tables import publish_table, read_table, register_views, write_table
 from plan_text import optimised_plan
@@ -69,24 +68,16 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first.startswith(base) and first != second
 
 
-class FakeConf:
-    def __init__(self, values):
-        self.values = dict(values)
-
-    def get(self, key, default=None):
-        return self.values.get(key, default)
-
-    def set(self, key, value):
-        self.values[key] = value
-
-
 class FakeSession:
-    def __init__(self, **values):
-        self.conf = FakeConf({f"spark.{k}": v for k, v in values.items()})
+    """Only the settings of a session."""
+
+    def __init__(self, master):
+        self.conf = {"spark.master": master}
 
 
 def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(FakeSession(master="spark://somewhere:7077"), "x")
-    session = FakeSession(master="local[2]")
-    assert shared_folder(session, "x").startswith(session.conf.get(shared._SETTING))
+        shared_folder(FakeSession("spark://somewhere:7077"), "x")
+    local = FakeSession("local[2]")
+    one, two = shared_folder(local, "x"), shared_folder(local, "x")
+    assert one != two and one.rsplit("/", 1)[0] == two.rsplit("/", 1)[0]
