@@ -51,22 +51,26 @@ LAYOUT = IndicatorLayout(
     nation_suffix="_brasil",
 )
 
+_TEXT, _WHOLE, _REAL = T.StringType(), T.IntegerType(), T.DoubleType()
 STUDENT_EVENT = T.StructType(
     [
-        T.StructField("ano", T.IntegerType()),
-        T.StructField("id_municipio", T.StringType()),
-        T.StructField("id_municipio_nome", T.StringType()),
-        T.StructField("sigla_uf", T.StringType()),
-        T.StructField("id_escola", T.StringType()),
-        T.StructField("id_aluno", T.StringType()),
-        T.StructField("caderno", T.IntegerType()),
-        T.StructField("serie", T.StringType()),
-        T.StructField("rede", T.StringType()),
-        T.StructField("presenca", T.StringType()),
-        T.StructField("preenchimento_caderno", T.StringType()),
-        T.StructField("alfabetizado", T.StringType()),
-        T.StructField("proficiencia", T.DoubleType()),
-        T.StructField("peso_aluno", T.DoubleType()),
+        T.StructField(name, kind)
+        for name, kind in (
+            ("ano", _WHOLE),
+            ("id_municipio", _TEXT),
+            ("id_municipio_nome", _TEXT),
+            ("sigla_uf", _TEXT),
+            ("id_escola", _TEXT),
+            ("id_aluno", _TEXT),
+            ("caderno", _WHOLE),
+            ("serie", _TEXT),
+            ("rede", _TEXT),
+            ("presenca", _TEXT),
+            ("preenchimento_caderno", _TEXT),
+            ("alfabetizado", _TEXT),
+            ("proficiencia", _REAL),
+            ("peso_aluno", _REAL),
+        )
     ]
 )
 

@@ -406,7 +406,8 @@ _PARTS: dict[str, str] = {
     "nation_by_year": _first_of(
         "nation_figures", ["ano", "resultado_brasil", "meta_brasil"], ["ano"], None, []
     ),
-    "trend": "SELECT ano, round(CAST(sum(CAST(resultado_alfabetizacao AS DECIMAL(18, 6))) AS DOUBLE)"
+    "trend": "SELECT ano,"
+    " round(CAST(sum(CAST(resultado_alfabetizacao AS DECIMAL(18, 6))) AS DOUBLE)"
     " / nullif(count(resultado_alfabetizacao), 0), 2) AS media_indicador_municipios,"
     " count(id_municipio) AS qtd_municipios_avaliados,"
     " count(DISTINCT id_municipio) AS qtd_municipios_distintos FROM fanout GROUP BY ano",

@@ -588,7 +588,7 @@ def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     lake = Lakehouse(shared_folder(spark, "lake"))
     tables = run_lakehouse(sources, STAR_SCORES, lake)
     counts = [
-        df.agg(F.count(F.lit(1)).alias("registros")).select(F.lit(name).alias("tabela"), "registros")
+        df.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("registros"))
         for name, df in tables.items()
     ]
     return reduce(DataFrame.unionByName, counts)

@@ -11,7 +11,7 @@ import logging
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 
@@ -21,13 +21,13 @@ from gaugeworks.operators.integrate import (
     integration_report,
     state_dimension,
 )
-from gaugeworks.operators.quality import quality_gate, quality_suite
+from gaugeworks.operators.quality import domain_offenders, quality_gate, quality_suite
 from gaugeworks.operators.standardise import standardise_entity
 from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.marts import MARTS
 from gaugeworks.sources.reports import save_report, utc_now
 from gaugeworks.sources.shared import materialise
-from gaugeworks.sources.tables import publish_table
+from gaugeworks.sources.tables import publish_table, write_table
 from gaugeworks.spec import EntitySpec, IndicatorLayout
 
 log = logging.getLogger(__name__)
@@ -50,6 +50,10 @@ class Lakehouse:
     def reports_dir(self) -> str:
         return f"{self.root.rstrip('/')}/quality_reports"
 
+    @property
+    def offenders_dir(self) -> str:
+        return f"{self.root.rstrip('/')}/quality_offenders"
+
 
 @dataclass(frozen=True)
 class Domain:
@@ -95,10 +99,21 @@ def _check(
     lake: Lakehouse,
     references: Mapping[str, DataFrame] | None,
 ) -> None:
+    """Store the report; after an alert also every value outside its domain."""
+    run_id = f"{spec.name}-{uuid.uuid4().hex}"
     report = materialise(quality_suite(df, spec, references), f"report-{spec.name}")
-    save_report(report, lake.reports_dir, f"{spec.name}-{uuid.uuid4().hex}", utc_now())
-    for entity in quality_gate(report, lake.fail_on_alert):
-        log.warning("quality alerts in %s", entity)
+    save_report(report, lake.reports_dir, run_id, utc_now())
+    if not quality_gate(report, fail_on_alert=False):
+        return
+    log.warning("quality alerts in %s", spec.name)
+    offenders = [
+        domain_offenders(df, spec.name, rule) for rule in spec.domains if rule.column in df.columns
+    ]
+    if offenders:
+        every = reduce(DataFrame.unionByName, offenders)
+        write_table(every, f"{lake.offenders_dir}/run_id={run_id}")
+    if lake.fail_on_alert:
+        quality_gate(report, fail_on_alert=True)
 
 
 def run_integration(

@@ -16,9 +16,9 @@ FILE_TIME = r"_(\d{4})(\d\d)(\d\d)T(\d\d)(\d\d)(\d\d)\.json$"
 # Written with microseconds; the JSON default would cut them to milliseconds.
 _TIME_FORMAT = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
+_CHECKS = "array<struct<regra: string, coluna: string, status: string>>"
 _DOCUMENT_SCHEMA = (
-    "entidade string, status_geral string, reported_at timestamp_ntz, "
-    "checks array<struct<regra: string, coluna: string, status: string>>"
+    f"entidade string, status_geral string, reported_at timestamp_ntz, checks {_CHECKS}"
 )
 
 
@@ -66,5 +66,5 @@ def read_reports(spark: SparkSession, path: str, pretty_printed: bool = False) -
         F.coalesce("entidade", file_name).alias("entidade"),
         F.coalesce("status_geral", F.lit(UNKNOWN_STATUS)).alias("status_geral"),
         F.coalesce("reported_at", file_time).alias("reported_at"),
-        F.coalesce("checks", F.array().cast("array<struct<regra:string,coluna:string,status:string>>")).alias("checks"),
+        F.coalesce("checks", F.array().cast(_CHECKS)).alias("checks"),
     )

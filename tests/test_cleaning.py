@@ -1,5 +1,8 @@
 """Names, text, keys, numbers, missing values and own-year targets."""
 
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,3 +205,31 @@ def test_columns_outside_the_spec_pass_through(spark):
     clean = standardise_entity(df, EntitySpec(name="any"), audit=False)
     assert clean.columns == ["other", "more_text"]
     assert clean.collect()[0].more_text == " x "
+
+
+def test_random_text_against_plain_python(spark):
+    rng = random.Random(11)
+    texts = [
+        "".join(rng.choice(" \t\n0123456789,.-xé") for _ in range(rng.randrange(10)))
+        for _ in range(2000)
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").repartition(5)
+    got = df.select(
+        "t",
+        clean_text(F.col("t")).alias("clean"),
+        padded_key(F.col("t"), T.StringType(), 7).alias("key"),
+        lenient_double(F.col("t"), T.StringType()).alias("number"),
+    ).collect()
+    assert len(got) == 2000
+
+    def number(text):
+        try:
+            return float(text.replace(",", ".").strip())
+        except ValueError:
+            return None
+
+    for row in got:
+        assert row.clean == re.sub(r"\s+", " ", row.t).strip(" ")
+        inner = row.t.strip(" ")
+        assert row.key == (inner.rjust(7, "0") if 1 <= len(inner) <= 7 else None)
+        assert row.number == number(row.t)

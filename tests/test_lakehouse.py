@@ -6,6 +6,7 @@ import pytest
 
 from gaugeworks.domains.education import EDUCATION
 from gaugeworks.operators.quality import QualityAlert
+from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.lakehouse import Lakehouse, run_entity, run_lakehouse, run_marts
 from gaugeworks.plans.marts import MARTS
 from gaugeworks.sources.reports import read_reports
@@ -84,5 +85,20 @@ def test_a_gate_keeps_a_bad_table_out_but_reports_it(spark, raw, tmp_path):
         run_entity(raw[spec.name], spec, lake)
     assert not os.path.exists(lake.table_path(spec.name))
     assert read_reports(spark, lake.reports_dir).first().status_geral == "ALERTA"
+    coded = raw["municipio"].selectExpr("id_municipio", "'zz' AS sigla_uf")
+    with pytest.raises(QualityAlert):
+        run_entity(coded, EDUCATION.specs["municipio"], lake)
+    found = spark.read.parquet(lake.offenders_dir).filter("run_id LIKE 'municipio-%'")
+    assert [(r.coluna, r.valor, r.registros) for r in found.collect()] == [("sigla_uf", "ZZ", 1)]
     good = EDUCATION.specs["uf"]
     assert run_entity(raw["uf"], good, lake).count() == 2
+
+
+def test_jobs_run_together_and_a_failure_is_raised(spark):
+    def fail():
+        raise QualityAlert("stop")
+
+    jobs = {n: (lambda n=n: spark.range(n).count()) for n in (3, 5)}
+    assert concurrently(spark, jobs) == {3: 3, 5: 5}
+    with pytest.raises(QualityAlert):
+        concurrently(spark, {"good": lambda: spark.range(1).count(), "bad": fail})
