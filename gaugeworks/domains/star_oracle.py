@@ -595,10 +595,10 @@ _QUERIES: dict[str, str] = {
     )
     + ")",
     "quality_metrics": "SELECT * FROM metrics",
-    "quality_alarms": "SELECT entidade, inicio, 'IAST-Qualidade-Com-Alerta' AS alarme,"
+    "quality_alarms": "SELECT entidade, inicio, 'Qualidade-Com-Alerta' AS alarme,"
     " highest AS estatistica, 0.0::DOUBLE AS limite, highest > 0 AS em_alarme FROM alarms"
     " WHERE metrica = 'PipelineRunStatus' UNION ALL"
-    " SELECT entidade, inicio, 'IAST-Muitos-Alertas-Qualidade', summed, 3.0::DOUBLE, summed > 3"
+    " SELECT entidade, inicio, 'Muitos-Alertas-Qualidade', summed, 3.0::DOUBLE, summed > 3"
     " FROM alarms WHERE metrica = 'QualityCheckAlerts'",
     "end_to_end": _union(
         [

@@ -68,6 +68,14 @@ def _percent(number: Column) -> Column:
     return number / F.lit(100.0)
 
 
+def _grade(network: str) -> Column:
+    """The only grade, '2', as a column that varies in principle, like a stored one.
+
+    A literal would turn the join with its labels into one without a key.
+    """
+    return F.substring(F.concat(F.lit("2"), F.col(network)), 1, 1)
+
+
 def _repeat_rows(df: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet the condition twice, all others once."""
     copies = F.when(condition, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -214,7 +222,7 @@ class StarTables:
         return groups.withColumn("n", F.col("s") % 10001).select(
             "ano",
             *[column.alias(name) for name, column in lead.items()],
-            F.lit("2").alias("serie"),
+            _grade("rede").alias("serie"),
             "rede",
             _percent(n).alias("taxa_alfabetizacao"),
             (n % 301 + 600).cast("double").alias("media_portugues"),
@@ -243,7 +251,7 @@ class StarTables:
             F.year("l_shipdate").alias("ano"),
             F.col("l_suppkey").alias("id_escola"),
             F.col("l_linenumber").alias("caderno"),
-            F.lit("2").alias("serie"),
+            _grade("o_orderstatus").alias("serie"),
             F.col("o_orderstatus").alias("rede"),
             F.col("l_returnflag").alias("presenca"),
             F.col("l_linestatus").alias("preenchimento_caderno"),

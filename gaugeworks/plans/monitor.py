@@ -28,8 +28,8 @@ class AlarmRule:
 
 # Alarm names, statistics and thresholds.
 ALARMS = (
-    AlarmRule("IAST-Qualidade-Com-Alerta", RUN_STATUS, "max", 0),
-    AlarmRule("IAST-Muitos-Alertas-Qualidade", CHECK_ALERTS, "sum", 3),
+    AlarmRule("Qualidade-Com-Alerta", RUN_STATUS, "max", 0),
+    AlarmRule("Muitos-Alertas-Qualidade", CHECK_ALERTS, "sum", 3),
 )
 
 

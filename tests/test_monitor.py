@@ -53,10 +53,10 @@ def test_hourly_alarms(spark):
         for r in evaluate_alarms(metrics(spark)).collect()
     }
     assert got == {
-        ("IAST-Qualidade-Com-Alerta", 0): (1.0, True),
-        ("IAST-Qualidade-Com-Alerta", 1): (0.0, False),
-        ("IAST-Muitos-Alertas-Qualidade", 0): (4.0, True),
-        ("IAST-Muitos-Alertas-Qualidade", 1): (3.0, False),
+        ("Qualidade-Com-Alerta", 0): (1.0, True),
+        ("Qualidade-Com-Alerta", 1): (0.0, False),
+        ("Muitos-Alertas-Qualidade", 0): (4.0, True),
+        ("Muitos-Alertas-Qualidade", 1): (3.0, False),
     }
 
 

@@ -28,10 +28,12 @@ def test_query_matches_sql(spark, duck, small, key):
     assert differences(spark, duck, QUERIES[key], SQL[key], small) == []
 
 
-@pytest.mark.parametrize("key", ["student_fact", "integrate_fanout", "quality_fk", "mart_state"])
+@pytest.mark.parametrize(
+    "key", ["student_fact", "extract_state", "integrate_fanout", "quality_fk", "mart_state"]
+)
 def test_plans_have_no_python_and_no_cross_join(spark, small, key):
     plan = executed_plan(QUERIES[key](spark, small))
-    for word in ("Python", "Arrow", "CartesianProduct"):
+    for word in ("Python", "Arrow", "CartesianProduct", "NestedLoop"):
         assert word not in plan
 
 
