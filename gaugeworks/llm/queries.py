@@ -2,14 +2,23 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import encoding, packing
+from gaugeworks.llm import encoding, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
+def op4_line_spread(spark, sf_dir):
+    documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return lines.remove_spread_lines(documents, counts=True)
+
+
 def op5_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op6_weak_supervision(spark, sf_dir):
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_words(spark, sf_dir):
     return encoding.digests(table(spark, sf_dir, "documents"))
 
