@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import encoding, lines, packing, quality
+from gaugeworks.llm import chunks, encoding, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
@@ -19,6 +19,10 @@ def op6_weak_supervision(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents"))
 
 
+def op7_gear_chunks(spark, sf_dir):
+    return chunks.repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_words(spark, sf_dir):
     return encoding.digests(table(spark, sf_dir, "documents"))
 
