@@ -123,7 +123,7 @@ def repeated_spans(
 
     Start and length are bytes of the UTF-8 text; ``first_row`` is the row where most of
     the passage stands first, and ``own`` tells whether this is that place. ``row`` is an
-    integer column; rows that share a number are one place, rows without one are left out.
+    integer column; rows that share a number count as one, rows without one are left out.
     """
     chunks = materialise(chunk_table(documents, row, text), "chunks")
     chunks = chunks.select("row", F.inline("chunks"))
@@ -136,7 +136,7 @@ def repeated_spans(
     found = (
         chunks.join(owners, "digest")
         .groupBy("row")
-        .agg(F.sort_array(F.collect_list(F.struct("start", "length", "first_row", "first_start"))).alias("found"))
+        .agg(F.sort_array(F.collect_set(F.struct("start", "length", "first_row", "first_start"))).alias("found"))
     )
 
     def function():

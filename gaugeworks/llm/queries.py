@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import chunks, encoding, lines, packing, quality
+from gaugeworks.llm import chunks, encoding, extraction, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op9_bpe_words(spark, sf_dir):
     return encoding.digests(table(spark, sf_dir, "documents"))
 
 
+def op10_line_blocks(spark, sf_dir):
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }

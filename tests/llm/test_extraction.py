@@ -1,0 +1,70 @@
+import re
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from gaugeworks.llm import extraction
+from gaugeworks.llm.common import table
+
+PARAGRAPH = "Plain sentences follow each other here, one after another, until the paragraph is long enough."
+
+
+def test_table_gives_the_articles(spark, small):
+    pages = table(spark, small, "pages")
+    found = {r.page_id: r for r in extraction.extract(pages).collect()}
+    rows = pages.collect()
+    assert len(found) == len(rows)
+    for row in rows:
+        inner = re.search(r"<article>(.*?)(</article>|$)", row.html, re.S).group(1)
+        blocks = [
+            " ".join(extraction.html.unescape(re.sub(r"<[^>]*>", " ", b)).split())
+            for b in re.split(r"</?(?:p|h1)>", inner)
+        ]
+        want = "\n\n".join(b for b in blocks if b)
+        assert found[row.page_id].text == want
+        assert found[row.page_id].n_chars == len(want) and found[row.page_id].url == row.url
+
+
+def page(body, head=""):
+    return f"<html><head><title>T</title>{head}</head><body>{body}</body></html>"
+
+
+def test_boilerplate_goes_and_short_lines_stay():
+    body = (
+        '<header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>'
+        f'<div class="cookie-notice">{PARAGRAPH}</div><div id="content"><h2>A &amp; B</h2><p>{PARAGRAPH}</p>'
+        f"<p>Yes.</p><p>{PARAGRAPH[:50]}<br>{PARAGRAPH[50:]}\n\t x &lt;tag&gt; &#233;&nbsp;y</p>"
+        f'<div class="ad">{PARAGRAPH}</div><p>Last one.</p></div>'
+        f'<aside>{PARAGRAPH}</aside><form><p>{PARAGRAPH}</p></form><section class="comments"><p>{PARAGRAPH}</p></section>'
+        f"<script>var x = '<p>{PARAGRAPH}</p>'</script><style>p{{}}</style><!-- <p>{PARAGRAPH}</p> -->"
+        f"<footer>{PARAGRAPH}</footer>"
+    )
+    text = extraction.main_text(page(body))
+    assert text.split("\n\n") == [
+        "A & B", PARAGRAPH, "Yes.", f"{PARAGRAPH[:50]} {PARAGRAPH[50:].strip()} x <tag> é y".replace("  ", " "), "Last one.",
+    ]
+
+
+def test_marked_articles():
+    body = f"<p>{PARAGRAPH}</p><main><header><h1>Title</h1><p>By X</p></header><p>{PARAGRAPH}</p><p>Short</p></main><p>{PARAGRAPH}</p>"
+    assert extraction.main_text(page(body)) == f"Title\n\n{PARAGRAPH}\n\nShort"
+    unclosed = f'<div class="ad">x<article><h1>T</h1><p>{PARAGRAPH}'
+    assert extraction.main_text(unclosed) == f"T\n\n{PARAGRAPH}"
+
+
+def test_odd_pages(spark):
+    rows = [
+        (None, ""), ("", ""), ("plain words", "plain words"), ("<p>a < b</p>", "a < b"),
+        ("<p>cut tag <a href='x", "cut tag"), ("<nav>only menu</nav>", ""),
+        ("<p>x</p>" * 20_000, "\n\n".join(["x"] * 20_000)), ("<div title=\"a>b\">q</div>", "q"), ("<p \"broken>z</p>", "z"),
+    ]
+    pages = spark.createDataFrame([(i, None, h, "q") for i, (h, _) in enumerate(rows)], "page_id int, url string, html string, text string")
+    found = {r.page_id: r.text for r in extraction.extract(pages).collect()}
+    assert found == {i: t for i, (_, t) in enumerate(rows)}
+    assert extraction.extract(pages.limit(0)).collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<>/!-\"'= apbr\n&;#xscript", max_size=80))
+def test_any_markup_is_survived(text):
+    assert isinstance(extraction.main_text(text), str)
