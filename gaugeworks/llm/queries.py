@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import chunks, encoding, extraction, lines, packing, quality
+from gaugeworks.llm import chunks, embeddings, encoding, extraction, language, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
+def op1_hyperdimensional_language(spark, sf_dir):
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op2_projection_forest(spark, sf_dir):
+    return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op4_line_spread(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.remove_spread_lines(documents, counts=True)
