@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import chunks, embeddings, encoding, extraction, language, lines, packing, quality
+from gaugeworks.llm import chunks, embeddings, encoding, extraction, jaccard, language, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
@@ -31,6 +31,10 @@ def op7_gear_chunks(spark, sf_dir):
     return chunks.repeats(table(spark, sf_dir, "documents"))
 
 
+def op8_grouped_prefix_join(spark, sf_dir):
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_bpe_words(spark, sf_dir):
     return encoding.digests(table(spark, sf_dir, "documents"))
 
