@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import chunks, embeddings, encoding, extraction, jaccard, language, lines, packing, quality
+from gaugeworks.llm import chunks, ctw, embeddings, encoding, extraction, jaccard, language, lines, packing, quality
 from gaugeworks.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_projection_forest(spark, sf_dir):
     return embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op3_context_tree(spark, sf_dir):
+    return ctw.score_documents(table(spark, sf_dir, "documents"))
+
+
 def op4_line_spread(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return lines.remove_spread_lines(documents, counts=True)
