@@ -5,7 +5,7 @@ ids of a text are those of its words in order. A task keeps a table with one ent
 per distinct word, encodes a word when it first meets it, and joins the ids back by
 position. Decoding goes through a table from id to piece in the same way.
 
-The table is cleared when it reaches ``max_words``, so a task's memory is bounded;
+The tables are cleared when they reach ``max_words``, so a task's memory is bounded;
 a word met again is then encoded again, with the same result. Nothing is shuffled:
 joining every position of every text to one table of all words would move several
 times the input (figures in the README).
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from gaugeworks.llm.common import map_batches
 
 VOCABULARY = "word_bpe_49k.json"
-MAX_WORDS = 300_000
+MAX_WORDS = 500_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -35,7 +35,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 
 class WordTable:
-    """Ids (little-endian unsigned 32-bit) and decoded pieces of the words met so far.
+    """Ids (little-endian unsigned 32-bit) of the words met so far, and the text of such ids.
 
     Most new words are a run of letters and some punctuation, one pre-token each, and
     many share the run, so runs have a table of their own. Unknown runs are encoded
@@ -55,39 +55,53 @@ class WordTable:
         self.ends = {i for p, i in vocabulary.items() if p.endswith("</w>")}
         self.run_and_tail = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)").fullmatch
         self.max_words = max_words
-        self.table: dict[bytes, tuple[bytes, bytes]] = {}
-        self.runs: dict[str, list[int]] = {}
+        self.words: dict[bytes, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+        self.texts: dict[bytes, bytes] = {}
 
-    def entries(self, texts: list[str | None]) -> list[list[tuple[bytes, bytes]]]:
-        """For each text, the table entries of its words with at least one id, by position."""
+    def ids(self, texts: list[str | None]) -> list[list[bytes]]:
+        """For each text, the ids of its words that have any, by position."""
         split = [text.encode().split() if text else [] for text in texts]
-        if len(self.table) > self.max_words:
-            self.table.clear()
-            self.runs.clear()
-        known = self.table
-        self.add({w for ws in split for w in ws if w not in known})
-        return [[e for e in map(known.__getitem__, ws) if e[0]] for ws in split]
+        for table in (self.words, self.runs, self.texts):
+            if len(table) > self.max_words:
+                table.clear()
+        known = self.words
+        if new := set().union(*split).difference(known):
+            self.add(new)
+        return [[i for i in map(known.__getitem__, ws) if i] for ws in split]
+
+    def decoded(self, ids: list[bytes]) -> bytes:
+        """The text of the ids of consecutive words: their pieces, apart by spaces."""
+        known, pieces = self.texts, self.pieces
+        for i in set(ids).difference(known):
+            known[i] = b" ".join([pieces[k] for k in array("I", i)])
+        return b" ".join(map(known.__getitem__, ids))
 
     def add(self, words: set[bytes]) -> None:
-        parts: dict[bytes, tuple[str, ...]] = {}
-        for word in words:
-            text = word.decode()
-            match = self.run_and_tail(text)
-            parts[word] = tuple(filter(None, match.groups())) if match else (text,)
-        new = {p for ps in parts.values() for p in ps if p not in self.runs}
-        whole = {ps[0] for ps in parts.values() if len(ps) == 1 and not ps[0].isalpha()} & new
-        self.encode_runs(sorted(new - whole))
-        self.encode_each(sorted(whole))
-        pieces = self.pieces
-        for word, ps in parts.items():
-            ids = [i for p in ps for i in self.runs[p]]
-            self.table[word] = (array("I", ids).tobytes(), b" ".join([pieces[i] for i in ids]))
+        words = list(words)
+        runs, alone = set(), set()
+        parts = []
+        for text in map(bytes.decode, words):
+            if match := self.run_and_tail(text):
+                run, tail = match.groups()
+                runs.add(run)
+                runs.add(tail)
+                parts.append((run, tail))
+            else:
+                alone.add(text)
+                parts.append((text, ""))
+        runs.discard("")
+        self.encode_runs(sorted(runs.difference(self.runs)))
+        self.encode_each(sorted(alone.difference(self.runs)))
+        known = self.runs
+        known[""] = b""
+        self.words.update(zip(words, [known[run] + known[tail] for run, tail in parts], strict=True))
 
     def encode_each(self, runs: list[str]) -> None:
         for run, found in zip(
             runs, self.tokenizer.encode_batch_fast(runs, add_special_tokens=False), strict=True
         ):
-            self.runs[run] = found.ids
+            self.runs[run] = array("I", found.ids).tobytes()
 
     def encode_runs(self, runs: list[str], together: int = 200) -> None:
         groups = [runs[i : i + together] for i in range(0, len(runs), together)]
@@ -95,13 +109,13 @@ class WordTable:
             [" ".join(g) for g in groups], add_special_tokens=False
         )
         for group, found in zip(groups, encoded, strict=True):
-            apart, start, ids = [], 0, found.ids
-            for place, i in enumerate(ids, 1):
-                if i in self.ends:
-                    apart.append(ids[start:place])
-                    start = place
-            if len(apart) == len(group):
-                self.runs.update(zip(group, apart, strict=True))
+            ids = found.ids
+            ends = [4 * k for k, i in enumerate(ids, 1) if i in self.ends]
+            if len(ends) == len(group):
+                whole = array("I", ids).tobytes()
+                self.runs.update(
+                    zip(group, [whole[a:b] for a, b in zip([0, *ends], ends)], strict=True)
+                )
             else:  # lower case can split a letter into a letter and a mark
                 self.encode_each(group)
 
@@ -136,9 +150,9 @@ def encode(
         def convert(batch: pa.RecordBatch) -> dict:
             ids, decoded = [], []
             for run in chunks(batch.column(1).to_pylist()):
-                for entries in table.entries(run):
-                    ids.append(b"".join([e[0] for e in entries]))
-                    decoded.append(b" ".join([e[1] for e in entries]))
+                for found in table.ids(run):
+                    ids.append(b"".join(found))
+                    decoded.append(table.decoded(found))
             return {"id": batch.column(0), "ids": ids, "decoded": decoded}
 
         return convert
@@ -160,9 +174,8 @@ def digests(documents: DataFrame, path: str | None = None, max_words: int = MAX_
         def convert(batch: pa.RecordBatch) -> dict:
             counts, ids_sha, decoded_sha = [], [], []
             for run in chunks(batch.column(1).to_pylist()):
-                for entries in table.entries(run):
-                    ids = b"".join([e[0] for e in entries])
-                    decoded = b" ".join([e[1] for e in entries])
+                for found in table.ids(run):
+                    ids, decoded = b"".join(found), table.decoded(found)
                     counts.append(len(ids) // 4)
                     ids_sha.append(hashlib.sha256(ids).hexdigest())
                     decoded_sha.append(hashlib.sha256(decoded).hexdigest())

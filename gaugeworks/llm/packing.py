@@ -131,8 +131,8 @@ def pieces(
             rows, piece, start, length, crc = [], [], [], [], []
             row = 0
             for run in chunks(batch.column(1).to_pylist()):
-                for entries in table.entries(run):
-                    ids = b"".join([e[0] for e in entries]) + end
+                for found in table.ids(run):
+                    ids = b"".join([*found, end])
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         rows.append(row)

@@ -68,8 +68,8 @@ def test_any_text(text):
     KEPT[:] = [tokenizer]
     words = WORDS[0] if WORDS else WordTable(vocabulary_path())
     WORDS[:] = [words]
-    entries = words.entries([text])[0]
-    assert b"".join(e[0] for e in entries) == plain(tokenizer, text)[0]
+    ids = words.ids([text])[0]
+    assert (b"".join(ids), words.decoded(ids).decode()) == plain(tokenizer, text)
 
 
 KEPT: list = []
