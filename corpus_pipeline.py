@@ -1,5 +1,7 @@
 """From raw documents to packed training sequences, in stages that each rest on one operator.
 
+Every stage works on the rows that the one before has kept, with all columns of
+``documents``; only the last returns something else, the pieces and their places.
 ``run`` stores the result of every stage as Parquet in the shared folder and reads it
 back, so a stage starts from files that outlive any executor.
 """
@@ -8,19 +10,45 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gaugeworks.llm import packing
+from gaugeworks.llm import chunks, jaccard, lines, packing, quality
 from gaugeworks.llm.common import table
 from gaugeworks.sources.shared import materialise
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the weighed votes of the rules call good."""
+    return quality.good_documents(docs)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their texts without lines that are spread over many sites."""
+    return lines.remove_spread_lines(docs)
+
+
+def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near duplicates."""
+    return jaccard.keep_one(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, passages that others have too left at their first place only."""
+    return chunks.remove_repeats(docs)
+
+
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a training sequence."""
     return packing.pack(docs)
 
 
-STAGES = [("best_fit_packing", best_fit_packing)]
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup),
+    ("ngram_jaccard_join", ngram_jaccard_join),
+    ("substring_dedup", substring_dedup),
+    ("best_fit_packing", best_fit_packing),
+]
 
-# EM and packing are iterative, so SQL cannot express the stages.
+# Estimating rule accuracies, connected components and packing are iterative.
 ORACLE_SQL = None
 
 
