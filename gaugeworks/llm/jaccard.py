@@ -43,6 +43,8 @@ MAX_FREQUENT = 1 << 18
 SEEN_OFTEN = 4
 FREQUENT = 64
 TOKENS_AT_ONCE = 4_000_000
+#: Rows of two numbers and a 16-byte key, so at most some 10 MB.
+MAX_BROADCAST = 150_000
 MAX_WORDS = 500_000
 
 
@@ -169,8 +171,12 @@ def sets(documents: DataFrame, doc: str, text: str, percent: int, size: int) ->
 
 
 def whole_sets(documents: DataFrame, doc: str, text: str, wanted: DataFrame, size: int) -> DataFrame:
-    """(class, tokens) of the classes in ``wanted`` (class, doc, key), computed from their texts."""
+    """(class, tokens) of the classes in ``wanted`` (class, doc, key), computed from their texts.
+
+    ``doc`` is the id of a row with that set."""
     texts = documents.select(F.col(doc).alias("id"), F.col(text).alias("text"))
+    if wanted.count() <= MAX_BROADCAST:  # else the texts are shuffled
+        wanted = F.broadcast(wanted)
     joined = wanted.join(texts, F.col("doc").eqNullSafe(F.col("id"))).select("class", "key", "text")
 
     def function():
@@ -259,18 +265,14 @@ def join(
     rows = sets(documents, doc, text, percent, size)
     classes = materialise(
         rows.where("n > 0").groupBy("key", "n").agg(
-            F.min("row").alias("class"), F.min("doc").alias("least_doc")
+            F.min("row").alias("class"), F.min("doc").alias("doc"), F.min("group").alias("group")
         ),
         "classes",
     )
-    chosen = materialise(
-        rows.join(classes.select(F.col("class").alias("row")), "row").select(
-            F.col("row").alias("class"), "doc", "key", "n", "group", "prefix"
-        ),
-        "class-prefixes",
+    lists = materialise(_shared_lists(rows, classes), "candidates")
+    wanted = materialise(
+        classes.join(lists.select("class").distinct(), "class").select("class", "doc", "key"), "wanted"
     )
-    lists = materialise(_shared_lists(chosen), "candidates")
-    wanted = chosen.join(lists.select("class").distinct(), "class").select("class", "doc", "key")
     tokens = materialise(whole_sets(documents, doc, text, wanted, size), "tokens")
 
     links = checked = None
@@ -290,34 +292,41 @@ def join(
                 break
     least = materialise(
         classes.join(groups.withColumnRenamed("id", "class"), "class", "left").select(
-            "key", "least_doc", F.coalesce("component", "class").alias("component")
+            "key", "doc", F.coalesce("component", "class").alias("component")
         ),
         "class-components",
     )
-    smallest = least.groupBy("component").agg(F.min("least_doc").alias("component_doc"))
+    smallest = least.groupBy("component").agg(F.min("doc").alias("component_doc"))
     named = least.join(smallest, "component").select("key", "component_doc")
     return rows.join(named, "key", "left").select(
         "row", "doc", "n", F.coalesce("component_doc", "doc").alias("component")
     )
 
 
-def _shared_lists(chosen: DataFrame) -> DataFrame:
-    """(list, class, n): classes whose groups share a prefix shingle, and those of one group.
-
-    The join on shingles is between groups, each named by its smallest class.
-    """
-    groups = chosen.groupBy("group").agg(F.min("class").alias("name"), F.count(F.lit(1)).alias("members"))
-    named = materialise(chosen.join(groups, "group"), "groups")
-    postings = named.where(F.col("class") == F.col("name")).select(
-        F.explode("prefix").alias("list"), "group"
+def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """(list, class, n): classes whose groups share a prefix shingle, and those of one group."""
+    postings = rows.select(F.explode("prefix").alias("list"), "row")
+    # stored, as a join side from an aggregation keeps adaptive execution from splitting hot lists
+    often = materialise(
+        postings.groupBy("list").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("list"),
+        "frequent-lists",
+    )
+    of_row = rows.select("row", "group")
+    places = materialise(
+        postings.join(often, "list").join(of_row, "row").select("list", "group").distinct(), "places"
+    )
+    # rows of one group, as copies are, have met here too
+    several = materialise(
+        places.groupBy("list").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("list"),
+        "shared-lists",
     )
-    often = postings.groupBy("list").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("list")
-    shared = materialise(postings.join(often, "list"), "shared")
-    members = named.select("group", "class", "n", "members")
+    members = classes.select("group", "class", "n")
+    large = members.groupBy("group").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("group")
     return (
-        shared.join(members, "group")
+        places.join(several, "list")
+        .join(members, "group")
         .select("list", "class", "n")
-        .union(members.where("members > 1").select(F.xxhash64("group").alias("list"), "class", "n"))
+        .union(members.join(large, "group").select(F.xxhash64("group").alias("list"), "class", "n"))
     )
 
 
