@@ -40,11 +40,13 @@ def _keys(text: Column) -> Column:
 
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     """(line) of all lines on at least ``min_sites`` sites; ``lines`` is (line, site)."""
-    often = (
+    # stored, as a join side from an aggregation keeps adaptive execution from splitting hot lines
+    often = materialise(
         lines.groupBy("line")
         .agg(F.count("site").alias("n"), F.min("site").alias("low"), F.max("site").alias("high"))
         .where((F.col("n") >= min_sites) & ((F.col("low") < F.col("high")) | F.lit(min_sites <= 1)))
-        .select("line")
+        .select("line"),
+        "frequent-lines",
     )
     sketched = materialise(
         lines.join(often, "line")
