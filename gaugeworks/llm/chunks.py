@@ -127,11 +127,13 @@ def repeated_spans(
     """
     chunks = materialise(chunk_table(documents, row, text), "chunks")
     chunks = chunks.select("row", F.inline("chunks"))
-    owners = (
+    # stored, as a join side from an aggregation keeps adaptive execution from splitting hot chunks
+    owners = materialise(
         chunks.groupBy("digest")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("row", "start")).alias("first"))
         .where("n > 1")
-        .select("digest", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start"))
+        .select("digest", F.col("first.row").alias("first_row"), F.col("first.start").alias("first_start")),
+        "chunk-owners",
     )
     found = (
         chunks.join(owners, "digest")
