@@ -9,8 +9,8 @@ shingles only the ``MAX_FREQUENT`` most frequent are put last, which bounds what
 sent to the tasks and changes no result.
 
 Equal sets are one class. Classes with the same prefix and size are one group, and
-only groups are joined on prefix shingles. Candidates are expanded to classes and
-verified on whole sets.
+only groups are joined on prefix shingles. Candidates whose prefixes share too little
+are left out, the others are expanded to classes and verified on whole sets.
 
 Component ids need no list of all links. First every group of a shingle is compared
 with one of them and components are formed; then again with another one, chosen at
@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import components, map_batches, words
@@ -40,8 +40,8 @@ SHINGLE = 5
 PERCENT = 75
 MAX_FREQUENT = 1 << 18
 #: A shingle is reported by a task when it is in so many of the task's documents.
-SEEN_OFTEN = 4
-FREQUENT = 64
+SEEN_OFTEN = 2
+FREQUENT = 8
 TOKENS_AT_ONCE = 4_000_000
 #: Rows of two numbers and a 16-byte key, so at most some 10 MB.
 MAX_BROADCAST = 150_000
@@ -157,7 +157,10 @@ def sets(documents: DataFrame, doc: str, text: str, percent: int, size: int) ->
                 key.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 group.append(xxhash.xxh3_64_intdigest(first.tobytes(), len(tokens)) - (1 << 63))
                 start.append(first.view(np.int64))
-            return {"doc": batch.column(0), "n": n, "key": key, "group": group, "prefix": start}
+            offsets = np.cumsum([0, *map(len, start)]).astype(np.int32)
+            flat = np.concatenate([*start, np.zeros(0, np.int64)])
+            prefixes = pa.ListArray.from_arrays(offsets, flat)
+            return {"doc": batch.column(0), "n": n, "key": key, "group": group, "prefix": prefixes}
 
         return convert
 
@@ -215,7 +218,7 @@ def verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return materialise(map_batches(joined, function, "a long, b long, linked boolean"), "verified")
 
 
-def _close(n: str, m: str, percent: int):
+def _close(n: str, m: str, percent: int) -> Column:
     """Whether two sizes allow the similarity."""
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
@@ -238,16 +241,55 @@ def _proposals(lists: DataFrame, step: int, percent: int) -> DataFrame:
     )
 
 
+def _needed(n: str, m: str, percent: int) -> Column:
+    """How many shingles the prefixes of two sets must share.
+
+    Up to the end of the prefix that ends first, common shingles are in both prefixes.
+    Beyond it that set has one shingle less than ``percent`` of its size, so they add at
+    most that many to the overlap.
+    """
+    overlap = F.expr(f"({percent} * ({n} + {m}) + {100 + percent - 1}) div {100 + percent}")
+    beyond = F.expr(f"({percent} * greatest({n}, {m}) + 99) div 100 - 1")
+    return overlap - beyond
+
+
+def _screened(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose prefixes share enough."""
+    left = rows.select(F.col("row").alias("a"), F.col("n").alias("n_a"), F.col("prefix").alias("prefix_a"))
+    right = rows.select(F.col("row").alias("b"), F.col("n").alias("n_b"), F.col("prefix").alias("prefix_b"))
+    both = F.size(F.array_intersect("prefix_a", "prefix_b"))
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .where(both >= _needed("n_a", "n_b", percent))
+        .select("a", "b")
+    )
+
+
 def _rest(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one list from different components."""
+    """All pairs of one list from different components whose prefixes share enough.
+
+    Two groups meet in a list for every shingle that their prefixes share.
+    """
     other = lists.select(
-        "list", F.col("class").alias("class_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b")
+        "list",
+        F.col("class").alias("class_b"),
+        F.col("n").alias("n_b"),
+        F.col("group").alias("group_b"),
+        F.col("component").alias("component_b"),
     )
     return (
         lists.join(other, "list")
         .where((F.col("component") < F.col("component_b")) & _close("n", "n_b", percent))
-        .select(F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b"))
-        .distinct()
+        .groupBy(F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b"))
+        .agg(
+            F.count(F.lit(1)).alias("both"),
+            F.max("n").alias("n"),
+            F.max("n_b").alias("n_b"),
+            F.bool_or(F.col("group") == F.col("group_b")).alias("same"),
+        )
+        .where(F.col("same") | (F.col("both") >= _needed("n", "n_b", percent)))
+        .select("a", "b")
     )
 
 
@@ -270,18 +312,20 @@ def join(
         "classes",
     )
     lists = materialise(_shared_lists(rows, classes), "candidates")
-    wanted = materialise(
-        classes.join(lists.select("class").distinct(), "class").select("class", "doc", "key"), "wanted"
-    )
-    tokens = materialise(whole_sets(documents, doc, text, wanted, size), "tokens")
-
     links = checked = None
     current = lists.withColumn("component", F.col("class"))
     for step in range(3):
-        pairs = _rest(current, percent) if step == 2 else _proposals(current, step, percent)
+        if step < 2:
+            pairs = _proposals(current, step, percent)
+            pairs = _screened(materialise(pairs, "proposals"), rows, percent)
+        else:
+            pairs = _rest(current, percent)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
-        found = verify(materialise(pairs, "pairs"), tokens, percent)
+        pairs = materialise(pairs, "pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+        wanted = materialise(classes.join(ends, "class").select("class", "doc", "key"), "wanted")
+        found = verify(pairs, whole_sets(documents, doc, text, wanted, size), percent)
         checked = found.select("a", "b") if checked is None else checked.union(found.select("a", "b"))
         linked = found.where("linked").select("a", "b")
         links = linked if links is None else links.union(linked)
@@ -304,7 +348,7 @@ def join(
 
 
 def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(list, class, n): classes whose groups share a prefix shingle, and those of one group."""
+    """(list, class, n, group): classes whose groups share a prefix shingle, and those of one group."""
     postings = rows.select(F.explode("prefix").alias("list"), "row")
     # stored, as a join side from an aggregation keeps adaptive execution from splitting hot lists
     often = materialise(
@@ -325,8 +369,12 @@ def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return (
         places.join(several, "list")
         .join(members, "group")
-        .select("list", "class", "n")
-        .union(members.join(large, "group").select(F.xxhash64("group").alias("list"), "class", "n"))
+        .select("list", "class", "n", "group")
+        .union(
+            members.join(large, "group").select(
+                F.xxhash64("group").alias("list"), "class", "n", "group"
+            )
+        )
     )
 
 
@@ -341,7 +389,7 @@ def _open_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
         .where("low < high")
         .select("list")
     )
-    return placed.join(split, "list").select("list", "class", "n", "component")
+    return placed.join(split, "list").select("list", "class", "n", "group", "component")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
