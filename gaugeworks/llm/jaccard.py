@@ -42,10 +42,10 @@ MAX_FREQUENT = 1 << 18
 #: A shingle is reported by a task when it is in so many of the task's documents.
 SEEN_OFTEN = 2
 FREQUENT = 8
-TOKENS_AT_ONCE = 4_000_000
+TOKENS_AT_ONCE = 1_500_000
 #: Rows of two numbers and a 16-byte key, so at most some 10 MB.
 MAX_BROADCAST = 150_000
-MAX_WORDS = 500_000
+MAX_WORDS = 150_000
 
 
 class Shingler:
@@ -206,8 +206,8 @@ def verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     def function():
         def convert(batch: pa.RecordBatch) -> dict:
             linked = []
-            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch.column(2), batch.column(3), strict=True):  # without copies
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 linked.append(100 * both >= percent * (len(x) + len(y) - both))
             return {"a": batch.column(0), "b": batch.column(1), "linked": linked}
