@@ -11,8 +11,13 @@ import re
 from gaugeworks.domains.education import STATE_CODES
 from gaugeworks.domains.star_schema import (
     DICTIONARY,
+    FLOW_MEASURES,
+    KEY_WIDTH,
     LITERATE_SCORE,
+    PARTS,
     TARGET_YEARS,
+    UNFIT_EVERY,
+    UNFIT_KEYS,
     YEARS,
 )
 
@@ -36,9 +41,10 @@ def _join(parts: list[str]) -> str:
     return ",\n       ".join(parts)
 
 
-def _padded(column: str, text: str | None = None) -> str:
+def _padded(column: str, text: str | None = None, width: int = KEY_WIDTH) -> str:
     text = text or f"CAST({column} AS VARCHAR)"
-    return f"CASE WHEN length({text}) BETWEEN 1 AND 7 THEN lpad({text}, 7, '0') END"
+    fits = f"length({text}) BETWEEN 1 AND {width}"
+    return f"CASE WHEN {fits} THEN lpad({text}, {width}, '0') END"
 
 
 def _number(column: str) -> str:
@@ -98,6 +104,7 @@ def _groups(key: str, source: str) -> str:
 
 
 def _clean_targets(source: str, lead: str, rate: str, tail: str = "") -> str:
+    """``source`` may end in a condition."""
     return (
         f"SELECT {lead} ano, rede, {rate} AS resultado_alfabetizacao, {_join(_WIDE)},"
         f" percentual_participacao{tail} FROM {source}"
@@ -201,8 +208,33 @@ def _row(
 
 
 def _duplicates(entity: str, source: str, keys: str) -> str:
-    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {source}))"
-    return _row(entity, "duplicidade", keys.replace(" ", ""), f"count(*) - {distinct}", source)
+    label = keys.replace(" ", "")
+    known = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    complete = f"(SELECT {keys} FROM {source} WHERE {known})"
+    beyond = f"(SELECT count(*) FROM {complete}) - (SELECT count(*) FROM (SELECT DISTINCT * FROM {complete}))"
+    return _row(entity, "duplicidade", label, f"any_value({beyond})", source)
+
+
+def _unique(entity: str, source: str, keys: str) -> list[str]:
+    known = " AND ".join(f"{k.strip()} IS NOT NULL" for k in keys.split(","))
+    missing = f"count(*) FILTER (WHERE NOT ({known}))"
+    label = keys.replace(" ", "")
+    return [
+        _duplicates(entity, source, keys),
+        _row(entity, "chave_incompleta", label, missing, source, True),
+    ]
+
+
+def _source_rules(entity: str, source: str, columns: list[str]) -> list[str]:
+    """Missing values of mandatory columns, and unfit city keys."""
+    rules = []
+    for c in columns:
+        absent = f"count(*) FILTER (WHERE {c} IS NULL OR trim(CAST({c} AS VARCHAR)) = '')"
+        rules.append(_row(entity, "chave_ausente", c, absent, source, True))
+        if c == "id_municipio":
+            unfit = f"count(*) FILTER (WHERE {c} NOT BETWEEN 0 AND {UNFIT_KEYS - 1})"
+            rules.append(_row(entity, "chave_invalida", c, unfit, source))
+    return rules
 
 
 def _missing(entity: str, source: str, columns: list[str]) -> list[str]:
@@ -256,24 +288,30 @@ def _union(parts: list[str]) -> str:
 def _suite_sql() -> str:
     return _union(
         [
-            _duplicates("uf", "states", "sigla_uf"),
+            *_unique("uf", "states", "sigla_uf"),
+            *_source_rules("uf", "raw_state", ["sigla_uf"]),
             *_missing("uf", "states", ["sigla_uf"]),
             _state_rule("uf", "states"),
             _not_applicable("uf", "consistencia_ano", "ano", "states"),
-            _duplicates("municipio", "cities", "id_municipio"),
+            *_unique("municipio", "cities", "id_municipio"),
+            *_source_rules("municipio", "raw_city", ["id_municipio"]),
             *_missing("municipio", "cities", ["id_municipio"]),
             _state_rule("municipio", "cities"),
             _not_applicable("municipio", "consistencia_ano", "ano", "cities"),
             _fk("municipio", "cities", "sigla_uf", "states"),
-            _duplicates(_NATION, "national_targets", "ano, rede"),
+            *_unique(_NATION, "national_targets", "ano, rede"),
+            *_source_rules(_NATION, "raw_national_targets", ["ano"]),
             *_target_rules(_NATION, "national_targets", ["ano"], False),
-            _duplicates(_STATE, "state_targets", "sigla_uf, ano, rede"),
+            *_unique(_STATE, "state_targets", "sigla_uf, ano, rede"),
+            *_source_rules(_STATE, "raw_state_targets", ["sigla_uf", "ano"]),
             *_target_rules(_STATE, "state_targets", ["sigla_uf", "ano"], True),
             _fk(_STATE, "state_targets", "sigla_uf", "states"),
-            _duplicates(_CITY, "located_clean", "id_municipio, ano, rede"),
+            *_unique(_CITY, "located_clean", "id_municipio, ano, rede"),
+            *_source_rules(_CITY, "raw_city_targets", ["id_municipio", "ano"]),
             *_target_rules(_CITY, "located_clean", ["id_municipio", "ano"], True),
             _fk(_CITY, "located_clean", "id_municipio", "cities"),
-            _duplicates("dados_alunos", "students", "id_aluno, ano"),
+            *_unique("dados_alunos", "students", "id_aluno, ano"),
+            *_source_rules("dados_alunos", "raw_students", ["id_municipio", "ano"]),
             *_missing(
                 "dados_alunos",
                 "students",
@@ -286,6 +324,8 @@ def _suite_sql() -> str:
     )
 
 
+_FIT_TARGETS = "{0} WHERE id_municipio < " + str(UNFIT_KEYS)
+
 _PARTS: dict[str, str] = {
     "dictionary": "SELECT * FROM (VALUES "
     + ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in DICTIONARY)
@@ -305,7 +345,7 @@ _PARTS: dict[str, str] = {
     "state_groups": _groups("c_nationkey", "orders JOIN customer ON c_custkey = o_custkey"),
     "nation_groups": _groups("CAST(0 AS BIGINT)", "orders"),
     "raw_city_targets": _targets(
-        "CASE WHEN k % 101 = 0 THEN k + 9000000 ELSE k END AS id_municipio,",
+        f"CASE WHEN k % {UNFIT_EVERY} = 0 THEN k + {UNFIT_KEYS} WHEN k % 101 = 0 THEN k + 9000000 ELSE k END AS id_municipio,",
         "CASE WHEN k % 53 = 0 THEN 'n/d' WHEN k % 59 = 0 THEN NULL WHEN k % 211 = 0 THEN '105,50'"
         " ELSE CAST(n // 100 AS VARCHAR) || ',' || lpad(CAST(n % 100 AS VARCHAR), 2, '0') END",
         "city_groups",
@@ -336,7 +376,7 @@ _PARTS: dict[str, str] = {
         "clean_city", ["id_municipio", "nome_municipio", "sigla_uf"], ["id_municipio"], None, []
     ),
     "clean_city_targets": _clean_targets(
-        "raw_city_targets",
+        _FIT_TARGETS.format("raw_city_targets"),
         f"{_padded('id_municipio')} AS id_municipio,",
         _number("taxa_alfabetizacao"),
         ", nivel_alfabetizacao",
@@ -345,7 +385,7 @@ _PARTS: dict[str, str] = {
     "located_city_targets": "SELECT t.*, d.nome AS id_municipio_nome, d.sigla_uf"
     " FROM raw_city_targets t LEFT JOIN city_directory d ON d.id_municipio = t.id_municipio",
     "located_values": _clean_targets(
-        "located_city_targets",
+        _FIT_TARGETS.format("located_city_targets"),
         f"{_padded('id_municipio')} AS id_municipio,",
         _number("taxa_alfabetizacao"),
         ", nivel_alfabetizacao, id_municipio_nome AS nome_municipio,"
@@ -383,7 +423,37 @@ _PARTS: dict[str, str] = {
     "deduped_events": _first_of(
         "clean_events", _STUDENT_CLEAN, ["id_aluno", "ano"], None, ["id_aluno"]
     ),
+    "part_events": f"SELECT *, CAST(caderno % {PARTS} AS BIGINT) AS _batch_id FROM clean_events",
+    "deduped_parts": _first_of(
+        "part_events",
+        [*_STUDENT_CLEAN, "_batch_id"],
+        ["id_aluno", "ano", "_batch_id"],
+        None,
+        ["id_aluno"],
+    ),
+    "stored_parts": f"SELECT *, {_flags(['proficiencia_saeb', 'peso_aluno'])} FROM deduped_parts",
+    "distinct_parts": "SELECT * EXCLUDE (_batch_id), max(_batch_id) AS _newest FROM stored_parts"
+    " GROUP BY ALL",
+    "newest_parts": _first_of(
+        "distinct_parts",
+        [*_STUDENT_CLEAN, "proficiencia_saeb_ausente", "peso_aluno_ausente", "_newest"],
+        ["id_aluno", "ano"],
+        "_newest",
+        ["id_aluno"],
+    ),
+    "smallest_parts": _first_of(
+        "distinct_parts",
+        [*_STUDENT_CLEAN, "proficiencia_saeb_ausente", "peso_aluno_ausente"],
+        ["id_aluno", "ano"],
+        None,
+        ["id_aluno"],
+    ),
     "streamed": f"SELECT *, {_flags(['proficiencia_saeb', 'peso_aluno'])} FROM deduped_events",
+    # Dimensions of the whole flow, from the scores.
+    "flow_cities": f"SELECT DISTINCT {_padded('k')} AS id_municipio, d.nome AS nome_municipio,"
+    " d.sigla_uf FROM city_groups LEFT JOIN city_directory d ON d.id_municipio = k",
+    "flow_states": "SELECT DISTINCT sigla_uf, nome AS nome_uf FROM raw_state_scores"
+    " LEFT JOIN state_directory ON sigla = sigla_uf",
     # Integration, marts, reports.
     "fanout": _integrated(network=False),
     "by_network": _integrated(network=True),
@@ -407,8 +477,7 @@ _PARTS: dict[str, str] = {
         "nation_figures", ["ano", "resultado_brasil", "meta_brasil"], ["ano"], None, []
     ),
     "trend": "SELECT ano,"
-    " round(CAST(sum(CAST(resultado_alfabetizacao AS DECIMAL(18, 6))) AS DOUBLE)"
-    " / nullif(count(resultado_alfabetizacao), 0), 2) AS media_indicador_municipios,"
+    " round(avg(resultado_alfabetizacao), 2) AS media_indicador_municipios,"
     " count(id_municipio) AS qtd_municipios_avaliados,"
     " count(DISTINCT id_municipio) AS qtd_municipios_distintos FROM fanout GROUP BY ano",
     "suite": _suite_sql(),
@@ -419,9 +488,6 @@ _PARTS: dict[str, str] = {
     "alarms": "SELECT entidade, date_trunc('hour', reported_at) AS inicio, metrica,"
     " CAST(max(valor) AS DOUBLE) AS highest, CAST(sum(valor) AS DOUBLE) AS summed"
     " FROM metrics GROUP BY ALL",
-    # Dimensions of the whole flow, from the scores.
-    "flow_cities": f"SELECT DISTINCT {_padded('k')} AS id_municipio, d.nome AS nome_municipio,"
-    " d.sigla_uf FROM city_groups LEFT JOIN city_directory d ON d.id_municipio = k",
     "flow_integrated": "SELECT c.ano, m.sigla_uf FROM city_targets c"
     " LEFT JOIN flow_cities m ON m.id_municipio = c.id_municipio"
     " LEFT JOIN state_targets su ON su.sigla_uf = m.sigla_uf AND su.ano = c.ano"
@@ -440,6 +506,24 @@ _OFFENDERS = (
     + ") GROUP BY sigla_uf"
 )
 
+def _part_quality(part: int) -> str:
+    """Quality rows of one micro-batch and its rejected payloads."""
+    rows = f"(SELECT * FROM stored_parts WHERE _batch_id = {part})"
+    events = f"(SELECT * FROM extracted_students WHERE caderno % {PARTS} = {part})"
+    numbers = ["id_municipio", "ano", "proficiencia_saeb", "peso_aluno"]
+    rules = [
+        *_unique("dados_alunos", rows, "id_aluno, ano"),
+        *_source_rules("dados_alunos", events, ["id_municipio", "ano"]),
+        *_missing("dados_alunos", rows, numbers),
+        _state_rule("dados_alunos", rows),
+        _year_rule("dados_alunos", rows),
+        "SELECT 'dados_alunos', 'evento_rejeitado', 'data', NULL, count(*), NULL, 'ALERTA' FROM"
+        f" orders WHERE o_orderkey % 1000 = 0 AND (o_orderkey // 1000) % {PARTS} = {part}"
+        " HAVING count(*) > 0",
+    ]
+    return f"SELECT *, CAST({part} AS BIGINT) AS _batch_id FROM ({_union(rules)})"
+
+
 _QUERIES: dict[str, str] = {
     "scan_roundtrip": "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders",
     "scan_csv": "SELECT * FROM customer",
@@ -449,10 +533,10 @@ _QUERIES: dict[str, str] = {
     " AS id_municipio_nome FROM raw_city",
     "code_upper": "SELECT id_municipio, upper(trim(sigla_uf)) AS sigla_uf FROM raw_city",
     "key_zero_pad": "SELECT o_orderkey,"
-    f" {_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)')} AS inteiro,"
-    f" {_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)')} AS real,"
+    f" {_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)', 7)} AS inteiro,"
+    f" {_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)', 7)} AS real,"
     " CASE WHEN o_orderkey % 10 <> 0 THEN "
-    f"{_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)')} END AS texto FROM orders",
+    f"{_padded('', 'CAST(o_orderkey * 997 AS VARCHAR)', 7)} END AS texto FROM orders",
     "number_parse": f"SELECT id_municipio, ano, rede, {_number('taxa_alfabetizacao')}"
     " AS taxa_alfabetizacao FROM raw_city_targets",
     "missing_values": "SELECT id_municipio, ano, rede, sigla_uf, v AS taxa_alfabetizacao,"
@@ -477,6 +561,10 @@ _QUERIES: dict[str, str] = {
     "targets_state": _finished("named_state_targets"),
     "targets_city": "SELECT * FROM located_clean",
     "student_fact": "SELECT * FROM students",
+    "rejected_rows": "SELECT 'id_municipio' AS coluna, 'chave_invalida' AS motivo,"
+    " CAST(id_municipio AS VARCHAR) AS valor, count(*) AS registros FROM raw_city_targets"
+    f" WHERE id_municipio >= {UNFIT_KEYS} GROUP BY id_municipio UNION ALL"
+    " SELECT NULL, 'mantida', NULL, count(*) FROM city_targets",
     "code_decode": "SELECT id_aluno, id_municipio, ano, "
     + ", ".join(_label("alunos", c) for c in _STUDENT_CODES)
     + " FROM raw_students s",
@@ -492,9 +580,9 @@ _QUERIES: dict[str, str] = {
     "extract_students": "SELECT * FROM extracted_students",
     "quality_duplicates": _union(
         [
-            _duplicates("municipio", "raw_city", "id_municipio"),
-            _duplicates("dados_alunos", "raw_students", "id_aluno, ano"),
-            _duplicates(_CITY, "raw_city_targets", "id_municipio, ano, rede"),
+            *_unique("municipio", "raw_city", "id_municipio"),
+            *_unique("dados_alunos", "raw_students", "id_aluno, ano"),
+            *_unique(_CITY, "raw_city_targets", "id_municipio, ano, rede"),
         ]
     ),
     "quality_missing": _union(
@@ -540,7 +628,8 @@ _QUERIES: dict[str, str] = {
     " FROM suite GROUP BY ALL) GROUP BY entidade",
     "quality_gate": "SELECT entidade,"
     " CASE WHEN bool_and(status IN ('OK', 'N/A')) THEN 'OK' ELSE 'ALERTA' END AS status_geral,"
-    " count(*) FILTER (WHERE status = 'ALERTA') AS alertas,"
+    " count(DISTINCT regra || '/' || CASE WHEN regra <> 'valores_ausentes' THEN coluna ELSE '' END)"
+    " FILTER (WHERE status = 'ALERTA') AS alertas,"
     " bool_and(status IN ('OK', 'N/A')) AS publica FROM suite GROUP BY entidade",
     "integrate_fanout": "SELECT * FROM fanout",
     "integrate_by_network": "SELECT * FROM by_network",
@@ -575,25 +664,13 @@ _QUERIES: dict[str, str] = {
     "json_decode": "SELECT CASE WHEN event_id % 100 > 1"
     " THEN TRY_CAST(regexp_extract(props, '^\\{\"k\": (-?[0-9]+)\\}$', 1) AS INTEGER) END AS k,"
     " count(*) AS eventos FROM events GROUP BY 1",
-    "stream_ingest": "SELECT * FROM streamed",
-    "stream_batch_parity": "SELECT count(*) AS linhas_stream, count(*) AS linhas_batch,"
-    " CAST(0 AS BIGINT) AS diferencas FROM streamed",
-    "stream_quality": "SELECT *, CAST(0 AS BIGINT) AS _batch_id FROM ("
-    + _union(
-        [
-            _duplicates("dados_alunos", "streamed", "id_aluno, ano"),
-            *_missing(
-                "dados_alunos",
-                "streamed",
-                ["id_municipio", "ano", "proficiencia_saeb", "peso_aluno"],
-            ),
-            _state_rule("dados_alunos", "streamed"),
-            _year_rule("dados_alunos", "streamed"),
-            "SELECT 'dados_alunos', 'evento_rejeitado', 'data', NULL, count(*), NULL, 'ALERTA'"
-            " FROM orders WHERE o_orderkey % 1000 = 0",
-        ]
-    )
-    + ")",
+    "stream_ingest": "SELECT * FROM stored_parts",
+    "stream_batch_parity": "SELECT (SELECT count(*) FROM smallest_parts) AS linhas_stream,"
+    " (SELECT count(*) FROM streamed) AS linhas_batch, count(*) AS diferencas FROM ("
+    "(SELECT * FROM smallest_parts EXCEPT SELECT * FROM streamed) UNION ALL"
+    " (SELECT * FROM streamed EXCEPT SELECT * FROM smallest_parts))",
+    "stream_merged": "SELECT * EXCLUDE (_newest) FROM newest_parts",
+    "stream_quality": _union([_part_quality(part) for part in range(PARTS)]),
     "quality_metrics": "SELECT * FROM metrics",
     "quality_alarms": "SELECT entidade, inicio, 'Qualidade-Com-Alerta' AS alarme,"
     " highest AS estatistica, 0.0::DOUBLE AS limite, highest > 0 AS em_alarme FROM alarms"
@@ -621,22 +698,61 @@ _QUERIES: dict[str, str] = {
 }
 
 
-def _needed(sql: str) -> set[str]:
+def _needed(sql: str, parts: dict[str, str]) -> set[str]:
     """Names of the sub-queries used by ``sql``, directly or through others."""
     found: set[str] = set()
     waiting = [sql]
     while waiting:
         words = set(re.findall(r"\w+", waiting.pop()))
-        for name in (words & _PARTS.keys()) - found:
+        for name in (words & parts.keys()) - found:
             found.add(name)
-            waiting.append(_PARTS[name])
+            waiting.append(parts[name])
     return found
 
 
+# Where the tables of the whole flow come from.
+_FLOW_SOURCES = {
+    "uf": "raw_state_scores",
+    "municipio": "raw_city_scores",
+    _NATION: "national_targets",
+    _STATE: "state_targets",
+    _CITY: "city_targets",
+    "dados_alunos": "students",
+    "indicador_alfabetizacao_integrado": "fanout",
+    "gold_indicador_municipio": f"({_QUERIES['mart_city']})",
+    "gold_indicador_uf": f"({_QUERIES['mart_state']})",
+    "gold_comparacao_metas": f"({_QUERIES['mart_comparison']})",
+    "gold_evolucao_temporal": f"({_QUERIES['mart_trend']})",
+    "gold_dashboard": f"({_QUERIES['mart_dashboard']})",
+}
+
+
+def _flow_values() -> str:
+    """Rows, values and sums of the measures; the flow takes its dimensions from the scores."""
+    rows = [
+        f"SELECT '{name}' AS tabela, count(*) AS registros, '{c}' AS coluna, count({c}) AS valores,"
+        f" CAST(sum(CAST({c} AS DECIMAL(18, 4))) AS DOUBLE) AS soma FROM {_FLOW_SOURCES[name]}"
+        for name, columns in FLOW_MEASURES.items()
+        for c in columns
+    ]
+    integrated = _integrated(network=False)
+    for table in ("cities m", "states u"):
+        integrated = integrated.replace(f"JOIN {table}", f"JOIN flow_{table}")
+    return _with_parts(_union(rows), {**_PARTS, "fanout": integrated})
+
+
+_MARTS = ("mart_city", "mart_state", "mart_comparison", "mart_trend", "mart_dashboard")
+
+
+def _with_parts(sql: str, parts: dict[str, str]) -> str:
+    needed = _needed(sql, parts)
+    used = [f"{name} AS ({body})" for name, body in parts.items() if name in needed]
+    return f"WITH {', '.join(used)}\n{sql}" if used else sql
+
+
 def oracle_queries() -> dict[str, str]:
-    result = {}
-    for key, sql in _QUERIES.items():
-        needed = _needed(sql)
-        parts = [f"{name} AS ({body})" for name, body in _PARTS.items() if name in needed]
-        result[key] = f"WITH {', '.join(parts)}\n{sql}" if parts else sql
+    by_network = {**_PARTS, "fanout": _PARTS["by_network"]}
+    result = {key: _with_parts(sql, _PARTS) for key, sql in _QUERIES.items()}
+    result["pipeline_end_to_end"] = _flow_values()
+    result |= {f"{key}_by_network": _with_parts(_QUERIES[key], by_network) for key in _MARTS}
     return result

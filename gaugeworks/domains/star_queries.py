@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.domains.education import LAYOUT, STUDENT_EVENT
-from gaugeworks.domains.star_schema import STAR, STAR_SCORES, StarTables
+from gaugeworks.domains.star_schema import FLOW_MEASURES, PARTS, STAR, STAR_SCORES, StarTables
 from gaugeworks.operators.cleaning import (
     clean_text_columns,
     flag_missing,
@@ -36,6 +36,7 @@ from gaugeworks.operators.quality import (
     domain_offenders,
     duplicate_check,
     foreign_key_check,
+    incomplete_check,
     gate_decisions,
     measure,
     missing_checks,
@@ -43,7 +44,11 @@ from gaugeworks.operators.quality import (
     range_check,
     report_documents,
 )
-from gaugeworks.operators.standardise import standardise_entity
+from gaugeworks.operators.standardise import (
+    rejected_rows,
+    standardise_entity,
+    standardise_values,
+)
 from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.extract import (
     STUDENT_CODES,
@@ -68,6 +73,7 @@ from gaugeworks.sources.tables import publish_table, read_table, register_views,
 from gaugeworks.streaming.students import (
     StreamSink,
     decode_events,
+    merge_batches,
     read_events,
     read_stream_table,
     start_stream,
@@ -266,6 +272,21 @@ def student_fact(spark: SparkSession, folder: str) -> DataFrame:
     return Star(spark, folder).students()
 
 
+def rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows that cleaning drops, and how many it keeps: together all rows of the source."""
+    raw = StarTables(spark, folder)
+    spec = STAR.specs["meta_alfabetizacao_municipio"]
+    targets = raw.raw_city_targets()
+    lost = rejected_rows(targets, spec).groupBy("coluna", "motivo", "valor")
+    kept = standardise_values(targets, spec).agg(
+        F.lit(None).cast("string").alias("coluna"),
+        F.lit("mantida").alias("motivo"),
+        F.lit(None).cast("string").alias("valor"),
+        F.count(F.lit(1)).alias("registros"),
+    )
+    return lost.agg(F.count(F.lit(1)).alias("registros")).unionByName(kept)
+
+
 # -- lookups and extraction --------------------------------------------------------
 
 
@@ -307,7 +328,8 @@ def quality_duplicates(spark: SparkSession, folder: str) -> DataFrame:
         ),
     }
     reports = [
-        measure(df, name, [duplicate_check(df, keys)]) for name, (df, keys) in tables.items()
+        measure(df, name, [duplicate_check(df, keys), incomplete_check(df, keys)])
+        for name, (df, keys) in tables.items()
     ]
     return reduce(DataFrame.unionByName, reports)
 
@@ -370,7 +392,18 @@ def _suite(spark: SparkSession, folder: str) -> DataFrame:
         "meta_alfabetizacao_municipio": stored["named_city_targets"],
         "dados_alunos": stored["students"],
     }
-    reports = [quality_suite(df, STAR.specs[name], references) for name, df in tables.items()]
+    sources = {
+        "uf": star.raw.raw_state(),
+        "municipio": star.raw.raw_city(),
+        "meta_alfabetizacao_brasil": star.raw.raw_national_targets(),
+        "meta_alfabetizacao_uf": star.raw.raw_state_targets(),
+        "meta_alfabetizacao_municipio": star.raw.raw_city_targets(),
+        "dados_alunos": star.raw.raw_students(),
+    }
+    reports = [
+        quality_suite(df, STAR.specs[name], references, sources[name])
+        for name, df in tables.items()
+    ]
     return reduce(DataFrame.unionByName, reports)
 
 
@@ -412,15 +445,15 @@ def integrate_fk_check(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _mart(build: Callable) -> Query:
+def _mart(build: Callable, by_network: bool = False) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return build(Star(spark, folder).integrated(), LAYOUT)
+        return build(Star(spark, folder).integrated(by_network), LAYOUT)
 
     query.__doc__ = build.__doc__
     return query
 
 
-def mart_trend(spark: SparkSession, folder: str) -> DataFrame:
+def _trend(by_network: bool, spark: SparkSession, folder: str) -> DataFrame:
     """The mart aggregates the integrated rows twice, so they are stored first."""
     columns = [
         LAYOUT.year,
@@ -429,7 +462,7 @@ def mart_trend(spark: SparkSession, folder: str) -> DataFrame:
         LAYOUT.nation_result,
         LAYOUT.nation_target,
     ]
-    rows = Star(spark, folder).integrated().select(*columns)
+    rows = Star(spark, folder).integrated(by_network).select(*columns)
     return trend_mart(materialise(rows, "integrated"), LAYOUT)
 
 
@@ -455,10 +488,10 @@ def mart_sql_view(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def json_decode(spark: SparkSession, folder: str) -> DataFrame:
-    """Event properties; some are cut off, some hold text instead of a number."""
+    """Event properties; some lack their end, some hold text instead of a number."""
     number = F.col("event_id") % 100
     payload = (
-        F.when(number == 0, F.substring("props", 1, 4))
+        F.when(number == 0, F.concat(F.lit("{"), F.col("props")))
         .when(number == 1, '{"k": "x"}')
         .otherwise(F.col("props"))
     )
@@ -468,31 +501,36 @@ def json_decode(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _run_stream(spark: SparkSession, folder: str) -> tuple[StreamSink, DataFrame]:
-    """Feed the students through a file stream; returns the sink and its rows."""
+    """Feed the students through a file stream, in ``PARTS`` micro-batches.
+
+    A part arrives, the query runs over all that is new and stops; the next start goes
+    on from the checkpoint. A student is in several parts. Returns the sink and all
+    payloads.
+    """
     star = Star(spark, folder)
     source = shared_folder(spark, "events")
-    payloads = star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT)
-    # As many shards as cores, whatever the layout of the tables the events come from.
-    write_table(payloads.repartition(spark.sparkContext.defaultParallelism), source)
-    events = read_events(
-        spark, "parquet", {"pathGlobFilter": "*.parquet"}, "data binary", path=source
-    )
-    sink = StreamSink(shared_folder(spark, "stream"), "students")
-    query = start_stream(
-        events,
-        sink,
-        STAR.specs["dados_alunos"],
-        STUDENT_EVENT,
-        shared_folder(spark, "checkpoint"),
-        available_now=True,
+    payloads = materialise(
+        star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT), "payloads"
     )
-    query.awaitTermination()
-    return sink, spark.read.parquet(source)
+    sink = StreamSink(shared_folder(spark, "stream"))
+    checkpoint = shared_folder(spark, "checkpoint")
+    for part in range(PARTS):
+        arrived = payloads.filter(F.col("parte") == part).select("data")
+        write_table(arrived, source, mode="append")
+        events = read_events(
+            spark, "parquet", {"pathGlobFilter": "*.parquet"}, "data binary", path=source
+        )
+        query = start_stream(
+            events, sink, STAR.specs["dados_alunos"], STUDENT_EVENT, checkpoint, available_now=True
+        )
+        query.awaitTermination()
+    return sink, payloads.select("data")
 
 
 def _stream_rows(spark: SparkSession, sink: StreamSink, payloads: DataFrame) -> DataFrame:
+    """All stored rows with the number of their batch."""
     schema = star_event_batch(payloads).schema
-    return read_stream_table(spark, sink, "rows", schema).select(*schema.names)
+    return read_stream_table(spark, sink, "rows", schema).drop("_stream")
 
 
 def star_event_batch(payloads: DataFrame) -> DataFrame:
@@ -507,9 +545,11 @@ def stream_ingest(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_batch_parity(spark: SparkSession, folder: str) -> DataFrame:
-    """Rows of both paths and the number of distinct rows that differ."""
+    """Rows of both paths and the number of distinct rows that differ, over all batches."""
     sink, payloads = _run_stream(spark, folder)
-    streamed = _stream_rows(spark, sink, payloads).withColumn("_side", F.lit(1))
+    spec = STAR.specs["dados_alunos"]
+    merged = merge_batches(_stream_rows(spark, sink, payloads), spec, newest_first=False)
+    streamed = merged.withColumn("_side", F.lit(1))
     batch = star_event_batch(payloads).withColumn("_side", F.lit(-1))
     columns = [c for c in batch.columns if c != "_side"]
     return (
@@ -528,12 +568,18 @@ def stream_batch_parity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stream_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per student and year over all batches, the newest batch first."""
+    sink, payloads = _run_stream(spark, folder)
+    return merge_batches(_stream_rows(spark, sink, payloads), STAR.specs["dados_alunos"])
+
+
 def stream_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality rows of every micro-batch, and its rejected payloads as a rule."""
     sink, _ = _run_stream(spark, folder)
     spec = STAR.specs["dados_alunos"]
     empty = spark.createDataFrame([], STUDENT_EVENT)
-    report_schema = quality_suite(standardise_entity(empty, spec), spec).schema
+    report_schema = quality_suite(standardise_entity(empty, spec), spec, source=empty).schema
     report = read_stream_table(spark, sink, "quality", report_schema).drop("_stream")
     rejected = read_stream_table(
         spark, sink, "rejected", T.StructType([T.StructField("payload", T.StringType())])
@@ -572,8 +618,8 @@ def quality_alarms(spark: SparkSession, folder: str) -> DataFrame:
 # -- everything ----------------------------------------------------------------------------
 
 
-def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
-    """The whole flow from source tables to marts: rows per stored table."""
+def _flow(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The whole flow from source tables to marts; every table as stored."""
     star = Star(spark, folder)
     raw, dictionary = star.raw, star.raw.dictionary()
     cities, states = raw.city_directory(), raw.state_directory()
@@ -586,14 +632,37 @@ def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
         "dados_alunos": star.extracted_students(),
     }
     lake = Lakehouse(shared_folder(spark, "lake"))
-    tables = run_lakehouse(sources, STAR_SCORES, lake)
+    return run_lakehouse(sources, STAR_SCORES, lake)
+
+
+def end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows per stored table of the whole flow."""
     counts = [
         df.agg(F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("registros"))
-        for name, df in tables.items()
+        for name, df in _flow(spark, folder).items()
     ]
     return reduce(DataFrame.unionByName, counts)
 
 
+def pipeline_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
+    """Values of the whole flow: per stored table and measure, rows, values and exact sum."""
+    parts = []
+    for name, df in _flow(spark, folder).items():
+        columns = FLOW_MEASURES.get(name, ())
+        sums = [
+            F.struct(
+                F.lit(c).alias("coluna"),
+                F.count(c).alias("valores"),
+                F.sum(F.col(c).cast("decimal(18,4)")).cast("double").alias("soma"),
+            )
+            for c in columns
+        ]
+        if sums:
+            totals = df.agg(F.count(F.lit(1)).alias("registros"), F.array(*sums).alias("m"))
+            parts.append(totals.select(F.lit(name).alias("tabela"), "registros", F.inline("m")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES: dict[str, Query] = {
     "scan_roundtrip": scan_roundtrip,
     "scan_csv": scan_csv,
@@ -614,6 +683,7 @@ QUERIES: dict[str, Query] = {
     "targets_state": targets_state,
     "targets_city": targets_city,
     "student_fact": student_fact,
+    "rejected_rows": rejected,
     "code_decode": code_decode,
     "directory_lookup": directory_lookup,
     "extract_state": extract_state_scores,
@@ -633,14 +703,21 @@ QUERIES: dict[str, Query] = {
     "mart_city": _mart(city_mart),
     "mart_state": _mart(state_mart),
     "mart_comparison": _mart(comparison_mart),
-    "mart_trend": mart_trend,
+    "mart_trend": partial(_trend, False),
     "mart_dashboard": _mart(dashboard_mart),
+    "mart_city_by_network": _mart(city_mart, True),
+    "mart_state_by_network": _mart(state_mart, True),
+    "mart_comparison_by_network": _mart(comparison_mart, True),
+    "mart_trend_by_network": partial(_trend, True),
+    "mart_dashboard_by_network": _mart(dashboard_mart, True),
     "mart_sql_view": mart_sql_view,
     "json_decode": json_decode,
     "stream_ingest": stream_ingest,
     "stream_batch_parity": stream_batch_parity,
+    "stream_merged": stream_merged,
     "stream_quality": stream_quality,
     "quality_metrics": quality_metrics,
     "quality_alarms": quality_alarms,
     "end_to_end": end_to_end,
+    "pipeline_end_to_end": pipeline_end_to_end,
 }

@@ -21,7 +21,28 @@ from gaugeworks.plans.lakehouse import Domain
 YEARS = (1996, 2001)
 TARGET_YEARS = tuple(range(1996, 2002))
 LITERATE_SCORE = 743
+KEY_WIDTH = 12  # customer keys have fewer digits at any scale
+UNFIT_EVERY, UNFIT_KEYS = 37, 10**KEY_WIDTH
+PARTS = 4  # micro-batches of a stream
 MALFORMED_EVENT = '{"ano": 19'
+FLOW_MEASURES = {
+    "uf": ("taxa_alfabetizacao", "media_portugues"),
+    "municipio": ("taxa_alfabetizacao", "proporcao_aluno_nivel_8"),
+    "meta_alfabetizacao_brasil": ("resultado_alfabetizacao", "meta_alfabetizacao"),
+    "meta_alfabetizacao_uf": ("resultado_alfabetizacao", "meta_alfabetizacao"),
+    "meta_alfabetizacao_municipio": ("resultado_alfabetizacao", "meta_alfabetizacao"),
+    "dados_alunos": ("proficiencia_saeb", "peso_aluno"),
+    "indicador_alfabetizacao_integrado": (
+        "resultado_alfabetizacao",
+        "meta_alfabetizacao_uf",
+        "resultado_alfabetizacao_brasil",
+    ),
+    "gold_indicador_municipio": ("indicador_alfabetizacao_pct", "meta_alfabetizacao"),
+    "gold_indicador_uf": ("indicador_alfabetizacao_pct", "gap_meta_pct"),
+    "gold_comparacao_metas": ("resultado_uf", "gap_municipio_vs_brasil"),
+    "gold_evolucao_temporal": ("media_indicador_municipios", "resultado_brasil"),
+    "gold_dashboard": ("percentual_participacao", "indicador_brasil_pct"),
+}
 DICTIONARY = (
     ("uf", "serie", "2", "2° ano do Ensino Fundamental"),
     ("uf", "rede", "F", "Federal"),
@@ -46,9 +67,17 @@ DICTIONARY = (
 )
 
 
+def _wide_keys(domain: Domain) -> Domain:
+    specs = {
+        name: replace(spec, padded_keys=tuple((c, KEY_WIDTH) for c, _ in spec.padded_keys))
+        for name, spec in domain.specs.items()
+    }
+    return replace(domain, specs=specs)
+
+
 def _domain() -> Domain:
     """Directory-like state and city tables have one row per code here."""
-    base = build_domain(TARGET_YEARS, YEARS)
+    base = _wide_keys(build_domain(TARGET_YEARS, YEARS))
     specs = dict(base.specs)
     specs["uf"] = replace(specs["uf"], dedup_keys=("sigla_uf",))
     specs["municipio"] = replace(specs["municipio"], dedup_keys=("id_municipio",))
@@ -56,7 +85,7 @@ def _domain() -> Domain:
 
 
 STAR = _domain()
-STAR_SCORES = build_domain(TARGET_YEARS, YEARS)
+STAR_SCORES = _wide_keys(build_domain(TARGET_YEARS, YEARS))
 
 
 def state_code(number: Column) -> Column:
@@ -68,14 +97,6 @@ def _percent(number: Column) -> Column:
     return number / F.lit(100.0)
 
 
-def _grade(network: str) -> Column:
-    """The only grade, '2', as a column that varies in principle, like a stored one.
-
-    A literal would turn the join with its labels into one without a key.
-    """
-    return F.substring(F.concat(F.lit("2"), F.col(network)), 1, 1)
-
-
 def _repeat_rows(df: DataFrame, condition: Column) -> DataFrame:
     """Rows that meet the condition twice, all others once."""
     copies = F.when(condition, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
@@ -202,7 +223,9 @@ class StarTables:
             .when(k % 211 == 0, "105,50")
             .otherwise(written)
         )
-        key = F.when(k % 101 == 0, k + 9000000).otherwise(k)
+        key = (
+            F.when(k % UNFIT_EVERY == 0, k + UNFIT_KEYS).when(k % 101 == 0, k + 9000000).otherwise(k)
+        )
         targets = self._targets(self.city_groups(), {"id_municipio": key}, rate)
         return targets.withColumnRenamed("_level", "nivel_alfabetizacao")
 
@@ -222,7 +245,7 @@ class StarTables:
         return groups.withColumn("n", F.col("s") % 10001).select(
             "ano",
             *[column.alias(name) for name, column in lead.items()],
-            _grade("rede").alias("serie"),
+            F.lit("2").alias("serie"),
             "rede",
             _percent(n).alias("taxa_alfabetizacao"),
             (n % 301 + 600).cast("double").alias("media_portugues"),
@@ -251,7 +274,7 @@ class StarTables:
             F.year("l_shipdate").alias("ano"),
             F.col("l_suppkey").alias("id_escola"),
             F.col("l_linenumber").alias("caderno"),
-            _grade("o_orderstatus").alias("serie"),
+            F.lit("2").alias("serie"),
             F.col("o_orderstatus").alias("rede"),
             F.col("l_returnflag").alias("presenca"),
             F.col("l_linestatus").alias("preenchimento_caderno"),
@@ -262,13 +285,20 @@ class StarTables:
         )
 
     def student_payloads(self, students: DataFrame, schema: T.StructType) -> DataFrame:
-        """Extracted students as JSON events, and a few that are cut off."""
+        """Extracted students as JSON events, a few that lack their end, and the part of the
+        stream they arrive in."""
         fields = [F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields]
-        events = students.select(F.to_json(F.struct(*fields)).cast("binary").alias("data"))
+        events = students.select(
+            F.to_json(F.struct(*fields)).cast("binary").alias("data"),
+            (F.col("caderno") % PARTS).cast("int").alias("parte"),
+        )
         broken = (
             self.table("orders")
             .filter(F.col("o_orderkey") % 1000 == 0)
-            .select(F.lit(MALFORMED_EVENT).cast("binary").alias("data"))
+            .select(
+                F.lit(MALFORMED_EVENT).cast("binary").alias("data"),
+                (F.floor(F.col("o_orderkey") / 1000) % PARTS).cast("int").alias("parte"),
+            )
         )
         return events.unionByName(broken)
 

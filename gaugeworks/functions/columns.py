@@ -21,7 +21,15 @@ def clean_text(column: Column) -> Column:
 
 
 def upper_code(column: Column) -> Column:
-    return F.upper(F.trim(column))
+    """Upper-case code; a blank one becomes null, as a partition column would store it."""
+    return F.nullif(F.upper(F.trim(column)), F.lit(""))
+
+
+def _key_text(column: Column, data_type: T.DataType) -> Column:
+    if isinstance(data_type, _FRACTIONAL):
+        whole = column.try_cast("decimal(38,0)")
+        return F.when(column == whole, whole.cast("string"))
+    return F.trim(column.cast("string"))
 
 
 def padded_key(column: Column, data_type: T.DataType, width: int) -> Column:
@@ -30,14 +38,21 @@ def padded_key(column: Column, data_type: T.DataType, width: int) -> Column:
     Empty or over-long keys become null rather than a shortened, wrong key. A
     fractional type is accepted when the value is whole (355030.0).
     """
-    if isinstance(data_type, _FRACTIONAL):
-        whole = column.try_cast("decimal(38,0)")
-        text = F.when(column == whole, whole.cast("string"))
-    else:
-        text = F.trim(column.cast("string"))
+    text = _key_text(column, data_type)
     return F.when(F.length(text).between(1, width), F.lpad(text, width, "0"))
 
 
+def absent_key(column: Column) -> Column:
+    """Whether there is no key: null or blank."""
+    return F.coalesce(F.trim(column.cast("string")) == "", F.lit(True))
+
+
+def unfit_key(column: Column, data_type: T.DataType, width: int) -> Column:
+    """Whether there is a key, but not one of at most ``width`` digits."""
+    fit = _key_text(column, data_type).rlike(f"^[0-9]{{1,{width}}}$")
+    return ~absent_key(column) & ~F.coalesce(fit, F.lit(False))
+
+
 def lenient_double(column: Column, data_type: T.DataType) -> Column:
     """Number with decimal comma or point; unparseable text and NaN become null."""
     if isinstance(data_type, T.NumericType):
@@ -69,13 +84,24 @@ def gap(left: Column, right: Column) -> Column:
     return F.round(left - right, 2)
 
 
+def _truncated(column: Column) -> Column:
+    """Whole part of a double, as a double; doubles from 2 ** 53 on are whole."""
+    whole = F.when(column >= 0, F.floor(column)).otherwise(F.ceil(column)).cast("double")
+    return F.when(F.abs(column) < 2.0**53, whole).otherwise(column)
+
+
 def exact_mean(column: Column) -> Column:
-    """Mean that does not depend on the order of summation.
+    """Mean that does not depend on the order of summation, so any partitioning and any
+    task retry give the same result.
 
-    The sum is taken in decimals with six places, so any partitioning and any
-    task retry give the same result. A group with a value too large for that
-    falls back to the plain mean.
+    A number is taken apart into its whole part and three steps of 2 ** -60 of what is
+    left. Taking apart is exact, whole numbers add up exactly, and only the four sums
+    are rounded. The whole part may have up to 28 digits; beyond that the mean is null.
     """
-    exact = column.try_cast("decimal(18,6)")
-    mean = F.sum(exact).cast("double") / F.nullif(F.count(column), F.lit(0))
-    return F.when(F.count(exact) == F.count(column), mean).otherwise(F.avg(column))
+    total, rest, unit = None, column, 1.0
+    for _ in range(4):
+        part = F.sum(_truncated(rest).try_cast("decimal(28,0)")).cast("double") * F.lit(unit)
+        total = part if total is None else total + part
+        rest = (rest - _truncated(rest)) * F.lit(2.0**60)
+        unit *= 2.0**-60
+    return total / F.nullif(F.count(column), F.lit(0))

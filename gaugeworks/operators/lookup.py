@@ -1,11 +1,9 @@
 """Decoding codes and attaching directory attributes.
 
-A directory may be as large as the facts, so its join carries no broadcast hint:
-Spark broadcasts it when its size is known to be under
-``spark.sql.autoBroadcastJoinThreshold``; above that it is a sort-merge join whose
-hot keys adaptive execution splits. Codes are different. A column has a handful of
-them, and shuffling the facts by a handful of values would be ruinous, so the
-number of labels is counted before they are broadcast.
+No join carries a broadcast hint: Spark broadcasts a side when its size is known to be
+under ``spark.sql.autoBroadcastJoinThreshold``; above that it is a sort-merge join
+whose hot keys adaptive execution splits. The labels of a table are computed once and
+stored, so their size is known.
 """
 
 from __future__ import annotations
@@ -15,8 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-MAX_BROADCAST_LABELS = 100_000
+from gaugeworks.sources.shared import materialise
 
 
 def code_labels(dictionary: DataFrame, table: str, columns: Iterable[str]) -> DataFrame:
@@ -28,32 +25,25 @@ def code_labels(dictionary: DataFrame, table: str, columns: Iterable[str]) -> Da
     )
 
 
-def has_at_most(df: DataFrame, rows: int) -> bool:
-    """Whether ``df`` is that small; reads no more rows than needed to tell."""
-    return df.limit(rows + 1).count() <= rows
-
-
 def decode_codes(
     df: DataFrame, dictionary: DataFrame, table: str, columns: Iterable[str]
 ) -> DataFrame:
     """Replace codes by labels; an unknown code becomes null.
 
-    More labels than can safely be broadcast are joined like any other table.
+    The codes pass through a generator, which hides from the planner that a column may
+    be constant: a join on a constant would have no key and become a nested loop.
     """
     order, columns = df.columns, list(columns)
-    labels = code_labels(dictionary, table, columns)
-    small = has_at_most(labels, MAX_BROADCAST_LABELS)
+    labels = materialise(code_labels(dictionary, table, columns), f"labels-{table}")
+    rest = [c for c in order if c not in columns]
+    codes = F.struct(*[F.col(c).cast("string").alias(c) for c in columns])
+    df = df.select(*rest, F.inline(F.array(codes)))
     for column in columns:
         label = f"{column}_label"
         known = labels.filter(F.col("nome_coluna") == column).select(
             F.col("chave").alias(column), F.col("valor").alias(label)
         )
-        df = (
-            df.withColumn(column, F.col(column).cast("string"))
-            .join(F.broadcast(known) if small else known, column, "left")
-            .drop(column)
-            .withColumnRenamed(label, column)
-        )
+        df = df.join(known, column, "left").drop(column).withColumnRenamed(label, column)
     return df.select(*order)
 
 

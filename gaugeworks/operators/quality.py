@@ -15,10 +15,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gaugeworks.functions.columns import absent_key, unfit_key
+from gaugeworks.operators.standardise import ABSENT_KEY, UNFIT_KEY, named_columns
 from gaugeworks.spec import DomainRule, EntitySpec, ForeignKey, RangeRule
 
 # Rule names, states and the alert level of a report.
 DUPLICATES = "duplicidade"
+INCOMPLETE = "chave_incompleta"
 MISSING = "valores_ausentes"
 FOREIGN_KEY = "chave_relacionamento"
 OK = "OK"
@@ -47,15 +50,58 @@ class Check:
 
 
 def duplicate_check(df: DataFrame, keys: Iterable[str]) -> Check:
-    """Rows beyond the first of each key; key parts that are null count as values."""
+    """Rows beyond the first of each complete key.
+
+    A row with an incomplete key identifies nothing, so cleaning keeps it and it is no
+    duplicate; ``incomplete_check`` counts such rows.
+    """
     keys = list(keys)
     label = ",".join(keys)
     if any(k not in df.columns for k in keys):
         return Check(DUPLICATES, label, None)
     if not keys:
         return Check(DUPLICATES, label, F.lit(0))
-    distinct = F.count_distinct(F.struct(*keys))
-    return Check(DUPLICATES, label, F.count(F.lit(1)) - distinct)
+    # count_distinct of several columns skips rows with a null among them
+    distinct = F.count_distinct(*keys)
+    return Check(DUPLICATES, label, F.count_if(~_any_null(keys)) - distinct)
+
+
+def incomplete_check(df: DataFrame, keys: Iterable[str]) -> Check:
+    """Rows with a null in their key; alerts like missing values."""
+    keys = list(keys)
+    label = ",".join(keys)
+    if any(k not in df.columns for k in keys):
+        return Check(INCOMPLETE, label, None)
+    violations = F.count_if(_any_null(keys)) if keys else F.lit(0)
+    return Check(INCOMPLETE, label, violations, MISSING_ALERT_PERCENT)
+
+
+def _any_null(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+
+def key_checks(source: DataFrame, spec: EntitySpec) -> list[Check]:
+    """Mandatory columns of the source as it came: values that are missing or do not fit.
+
+    Cleaning drops rows without a mandatory value, so the stored table cannot tell.
+    """
+    named = named_columns(source, spec)
+    widths = dict(spec.padded_keys)
+    checks = []
+    for c in spec.mandatory:
+        if c not in named.columns:
+            continue
+        absent = F.count_if(absent_key(F.col(c)))
+        checks.append(Check(ABSENT_KEY, c, absent, MISSING_ALERT_PERCENT))
+        if c in widths:
+            unfit = unfit_key(F.col(c), named.schema[c].dataType, widths[c])
+            checks.append(Check(UNFIT_KEY, c, F.count_if(unfit)))
+    return checks
+
+
+def source_report(source: DataFrame, spec: EntitySpec) -> DataFrame:
+    """Report rows on the mandatory columns of a source, from one scan of them."""
+    return measure(named_columns(source, spec), spec.name, key_checks(source, spec))
 
 
 def missing_checks(df: DataFrame, columns: Iterable[str]) -> list[Check]:
@@ -104,6 +150,7 @@ def spec_checks(df: DataFrame, spec: EntitySpec) -> list[Check]:
     """All counting rules a spec asks for."""
     return [
         duplicate_check(df, spec.dedup_keys),
+        incomplete_check(df, spec.dedup_keys),
         *missing_checks(df, spec.mandatory + spec.numeric_columns),
         *[domain_check(df, rule) for rule in spec.domains],
         *[range_check(df, rule) for rule in spec.ranges],
@@ -165,15 +212,20 @@ def foreign_key_check(
 
 
 def quality_suite(
-    df: DataFrame, spec: EntitySpec, references: Mapping[str, DataFrame] | None = None
+    df: DataFrame,
+    spec: EntitySpec,
+    references: Mapping[str, DataFrame] | None = None,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """The whole report of one entity.
 
     Foreign keys are checked when the column exists and the table they point to
-    is among ``references``.
+    is among ``references``; mandatory columns of the source when it is given.
     """
     references = references or {}
     parts = [measure(df, spec.name, spec_checks(df, spec))]
+    if source is not None and spec.mandatory:
+        parts.append(source_report(source, spec))
     parts += [
         foreign_key_check(df, spec.name, references[key.entity], key)
         for key in spec.foreign_keys
@@ -233,10 +285,14 @@ def overall_status(status: Column) -> Column:
 
 
 def report_status(report: DataFrame) -> DataFrame:
-    """Overall state per entity with the number of alerting rows."""
+    """Overall state per entity with the number of alerting checks.
+
+    As in the stored documents, the missing-value rows of an entity are one check.
+    """
+    check = F.struct("regra", F.when(F.col("regra") != MISSING, F.col("coluna")))
     return report.groupBy("entidade").agg(
         overall_status(F.col("status")).alias("status_geral"),
-        F.count_if(F.col("status") == ALERT).alias("alertas"),
+        F.count_distinct(F.when(F.col("status") == ALERT, check)).alias("alertas"),
     )
 
 

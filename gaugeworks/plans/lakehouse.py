@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 from dataclasses import dataclass
 from functools import partial, reduce
 
@@ -21,13 +21,18 @@ from gaugeworks.operators.integrate import (
     integration_report,
     state_dimension,
 )
-from gaugeworks.operators.quality import domain_offenders, quality_gate, quality_suite
-from gaugeworks.operators.standardise import standardise_entity
+from gaugeworks.operators.quality import (
+    QualityAlert,
+    domain_offenders,
+    quality_gate,
+    quality_suite,
+)
+from gaugeworks.operators.standardise import rejected_rows, standardise_entity
 from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.plans.marts import MARTS
 from gaugeworks.sources.reports import save_report, utc_now
-from gaugeworks.sources.shared import materialise
-from gaugeworks.sources.tables import publish_table, write_table
+from gaugeworks.sources.shared import materialise, remove_folder, replace_folder
+from gaugeworks.sources.tables import publish_table, read_table, write_table
 from gaugeworks.spec import EntitySpec, IndicatorLayout
 
 log = logging.getLogger(__name__)
@@ -35,14 +40,25 @@ log = logging.getLogger(__name__)
 
 @dataclass(frozen=True)
 class Lakehouse:
-    """Where tables and reports are stored, and when alerts stop a job."""
+    """Where tables and reports are stored, and which jobs alerts stop.
+
+    ``fail_on_alert`` holds for all entities, or for those it names.
+    """
 
     root: str
-    fail_on_alert: bool = False
+    fail_on_alert: bool | Collection[str] = False
+
+    def stops(self, entity: str) -> bool:
+        if isinstance(self.fail_on_alert, bool):
+            return self.fail_on_alert
+        return entity in self.fail_on_alert
 
     def table_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/silver/{name}"
 
+    def rejects_path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/silver_rejects/{name}"
+
     def mart_path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/gold/{name}"
 
@@ -78,22 +94,31 @@ def run_entity(
 ) -> DataFrame:
     """Clean, check and store one entity; returns the stored table.
 
-    Rules are measured on stored columns. Normally that is the table itself. If
-    alerts must keep it from being published, it is staged in the shared folder
-    first and stored only once it has passed.
+    Rows that cleaning drops for a mandatory column are stored beside it. Rules are
+    measured on stored columns. If alerts must keep the table from being published, it
+    is written to a folder beside its place and takes that place once it has passed.
     """
     clean = standardise_entity(raw, spec)
     path = lake.table_path(spec.name)
-    if lake.fail_on_alert:
-        staged = materialise(clean, spec.name)
-        _check(staged, spec, lake, references)
-        return publish_table(staged, path, spec.partition_by)
+    if spec.mandatory:
+        write_table(rejected_rows(raw, spec), lake.rejects_path(spec.name))
+    if lake.stops(spec.name):
+        beside = f"{path}.staged-{uuid.uuid4().hex}"
+        staged = publish_table(clean, beside, spec.partition_by)
+        try:
+            _check(raw, staged, spec, lake, references)
+        except QualityAlert:
+            remove_folder(raw.sparkSession, beside)
+            raise
+        replace_folder(raw.sparkSession, beside, path)
+        return read_table(raw.sparkSession, path, schema=clean.schema).select(*clean.columns)
     stored = publish_table(clean, path, spec.partition_by)
-    _check(stored, spec, lake, references)
+    _check(raw, stored, spec, lake, references)
     return stored
 
 
 def _check(
+    raw: DataFrame,
     df: DataFrame,
     spec: EntitySpec,
     lake: Lakehouse,
@@ -101,7 +126,7 @@ def _check(
 ) -> None:
     """Store the report; after an alert also every value outside its domain."""
     run_id = f"{spec.name}-{uuid.uuid4().hex}"
-    report = materialise(quality_suite(df, spec, references), f"report-{spec.name}")
+    report = materialise(quality_suite(df, spec, references, raw), f"report-{spec.name}")
     save_report(report, lake.reports_dir, run_id, utc_now())
     if not quality_gate(report, fail_on_alert=False):
         return
@@ -112,7 +137,7 @@ def _check(
     if offenders:
         every = reduce(DataFrame.unionByName, offenders)
         write_table(every, f"{lake.offenders_dir}/run_id={run_id}")
-    if lake.fail_on_alert:
+    if lake.stops(spec.name):
         quality_gate(report, fail_on_alert=True)
 
 

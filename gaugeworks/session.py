@@ -8,6 +8,7 @@ from pyspark.sql import SparkSession
 
 # Adaptive execution splits hot join keys and sizes shuffles from what it measures.
 # Recording the call site of every expression only slows down building wide plans.
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.adaptive.enabled": "true",
@@ -19,11 +20,21 @@ SETTINGS = {
 
 
 def cluster_session(name: str, **settings: str) -> SparkSession:
-    """Session on whatever master the submit command names."""
+    """Session on whatever master the submit command names.
+
+    Adaptive execution only merges shuffle partitions, so a cluster must start with
+    enough of them: pass ``spark.sql.adaptive.coalescePartitions.initialPartitionNum``, a
+    few times the number of cores, here or with the submit command.
+    """
     builder = SparkSession.builder.appName(name)
     for key, value in {**SETTINGS, **settings}.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get(INITIAL_PARTITIONS, None):
+            spark.stop()
+            raise ValueError(f"set {INITIAL_PARTITIONS} to a few times the number of cores")
+    return spark
 
 
 def local_session(name: str, cores: int | None = None, **settings: str) -> SparkSession:

@@ -46,8 +46,9 @@ def save_report(report: DataFrame, reports_dir: str, run_id: str, at: datetime)
 def read_reports(spark: SparkSession, path: str, pretty_printed: bool = False) -> DataFrame:
     """Report documents with defaults for missing fields.
 
-    A document without an entity takes its file name, one without a time takes
-    the UTC time in its file name. ``pretty_printed`` reads files that hold one
+    A document without an entity takes its file name, one without a time takes the UTC
+    time in its file name, or else the time the file was written, so that every report
+    has a time and none is left out of the alarms. ``pretty_printed`` reads files that hold one
     document over many lines.
     """
     documents = (
@@ -62,9 +63,13 @@ def read_reports(spark: SparkSession, path: str, pretty_printed: bool = False) -
     file_time = F.regexp_replace(
         F.regexp_extract(file_name, FILE_TIME, 0), FILE_TIME, "$1-$2-$3 $4:$5:$6"
     ).try_cast("timestamp_ntz")
+    written = F.expr(
+        "timestamp_ntz'1970-01-01 00:00:00'"
+        " + make_dt_interval(0, 0, 0, unix_micros(_metadata.file_modification_time) / 1e6)"
+    )
     return documents.select(
         F.coalesce("entidade", file_name).alias("entidade"),
         F.coalesce("status_geral", F.lit(UNKNOWN_STATUS)).alias("status_geral"),
-        F.coalesce("reported_at", file_time).alias("reported_at"),
+        F.coalesce("reported_at", file_time, written).alias("reported_at"),
         F.coalesce("checks", F.array().cast(_CHECKS)).alias("checks"),
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,40 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/gaugeworks/{name}-{uuid.uuid4().hex}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """Path and file system, whatever the file system is."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the library's own."""
+    place, files = _hadoop(spark, path)
+    files.delete(place, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the folder ``new`` in the place of ``path``, on one file system."""
+    source, files = _hadoop(spark, new)
+    target, _ = _hadoop(spark, path)
+    files.delete(target, True)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{new} could not be renamed to {path}")
+
+
+@contextmanager
+def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` stored in the shared folder while the block runs, and removed afterwards."""
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path).select(*df.columns)
+    finally:
+        remove_folder(spark, path)
+
+
 def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` to the shared folder once and read it back.
 

@@ -9,14 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from gaugeworks.operators.dedup import keep_one
 from gaugeworks.operators.quality import quality_suite
-from gaugeworks.operators.standardise import standardise_entity
+from gaugeworks.operators.standardise import rejected_rows, standardise_entity
+from gaugeworks.sources.shared import staged
 from gaugeworks.sources.tables import write_table
 from gaugeworks.spec import EntitySpec
 
@@ -57,52 +60,62 @@ def decode_events(
 
 @dataclass(frozen=True)
 class StreamSink:
-    """Storage of a stream: its rows, quality rows and rejected payloads.
+    """Storage of streams: rows, quality rows, rejected payloads and rejected rows.
 
-    ``stream_id`` must be new whenever the checkpoint is, because batch numbers
-    then start again at zero and would replace the old batches.
+    A batch is named by the persistent id of its query and its number, so a query that
+    starts over with a new checkpoint never replaces batches of the old one.
     """
 
     root: str
-    stream_id: str
 
-    def batch_path(self, kind: str, batch_id: int) -> str:
-        return f"{self.kind_path(kind)}/_stream={self.stream_id}/_batch_id={batch_id}"
+    def batch_path(self, kind: str, stream: str, batch_id: int) -> str:
+        return f"{self.kind_path(kind)}/_stream={stream}/_batch_id={batch_id}"
 
     def kind_path(self, kind: str) -> str:
         return f"{self.root.rstrip('/')}/{kind}"
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """Persistent id of a query, which its checkpoint holds from the first start on."""
+    return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
 def store_micro_batch(
     raw: DataFrame,
     batch_id: int,
     sink: StreamSink,
+    stream: str,
     spec: EntitySpec,
     schema: T.StructType,
     payload: str = "data",
 ) -> None:
     """Decode, clean, store and check one micro-batch.
 
-    The decoded events feed two tables, so they are kept while both are written.
-    Rules are measured on the stored rows, so cleaning runs once. No foreign keys
-    are checked here.
+    The decoded events feed several tables, so they are stored in the shared folder for
+    the time of the batch. Rules are measured on the stored rows, and on the decoded
+    events where cleaning drops rows. No foreign keys are checked here.
     """
     spark = raw.sparkSession
-    decoded = decode_events(raw, schema, payload, corrupt=CORRUPT).persist()
-    try:
-        clean = standardise_entity(decoded.drop(CORRUPT), spec)
-        path = sink.batch_path("rows", batch_id)
-        write_table(clean, path, spec.partition_by)
+
+    def path(kind: str) -> str:
+        return sink.batch_path(kind, stream, batch_id)
+
+    with staged(decode_events(raw, schema, payload, corrupt=CORRUPT), "events") as decoded:
+        events = decoded.drop(CORRUPT).where(F.col(CORRUPT).isNull() | _has_values(schema))
+        clean = standardise_entity(events, spec)
+        write_table(clean, path("rows"), spec.partition_by)
         rejected = decoded.filter(F.col(CORRUPT).isNotNull())
         rejected.select(F.col(CORRUPT).alias("payload")).write.mode("overwrite").parquet(
-            sink.batch_path("rejected", batch_id)
+            path("rejected")
         )
-    finally:
-        decoded.unpersist()
-    stored = spark.read.schema(clean.schema).parquet(path)
-    quality_suite(stored, spec).write.mode("overwrite").parquet(
-        sink.batch_path("quality", batch_id)
-    )
+        write_table(rejected_rows(events, spec), path("rejected_rows"))
+        stored = spark.read.schema(clean.schema).parquet(path("rows"))
+        write_table(quality_suite(stored, spec, source=events), path("quality"))
+
+
+def _has_values(schema: T.StructType) -> Column:
+    """Whether an event that was decoded in part has any value."""
+    return reduce(lambda a, b: a | b, [F.col(f.name).isNotNull() for f in schema.fields])
 
 
 def start_stream(
@@ -115,10 +128,14 @@ def start_stream(
     available_now: bool = False,
     payload: str = "data",
 ) -> StreamingQuery:
-    """Run micro-batches on an interval, or once over all that is available."""
+    """Run micro-batches on an interval, or over all that is available.
+
+    The size of a batch is the source's to limit, by ``maxFilesPerTrigger`` for files.
+    """
 
     def store(raw: DataFrame, batch_id: int) -> None:
-        store_micro_batch(raw, batch_id, sink, spec, schema, payload)
+        stream = query_id(raw.sparkSession, checkpoint)
+        store_micro_batch(raw, batch_id, sink, stream, spec, schema, payload)
 
     writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     if available_now:
@@ -135,6 +152,25 @@ def read_stream_table(
     return spark.read.schema(full).parquet(sink.kind_path(kind)).select(*full.names)
 
 
-def batch_and_stream(batch: DataFrame, stream: DataFrame) -> DataFrame:
-    """Batch table and stream table as one; each keeps its own directory."""
-    return batch.unionByName(stream.select(*batch.columns))
+def merge_batches(
+    streamed: DataFrame,
+    spec: EntitySpec,
+    batch: DataFrame | None = None,
+    newest_first: bool = True,
+) -> DataFrame:
+    """One row per key over all micro-batches, and over the batch table when given.
+
+    Micro-batches only lose their own duplicates; a student in two of them, or in the
+    stream and in the batch table, is stored twice. Here the newest batch wins, the batch
+    table comes before all of them, and ties go to the smallest row. Without
+    ``newest_first`` the choice is the batch path's, so the result equals that of one
+    batch over all events.
+    """
+    columns = [c for c in streamed.columns if c not in ("_stream", "_batch_id", spec.audit_column)]
+    rows = streamed.select(*columns, F.col("_batch_id").alias("_newest"))
+    if batch is not None:
+        rows = rows.unionByName(batch.select(*columns, F.lit(-1).cast("long").alias("_newest")))
+    whole = rows.groupBy(*columns).agg(F.max("_newest").alias("_newest"))
+    if not newest_first:
+        return keep_one(whole.drop("_newest"), spec.dedup_keys, spec.latest_by, spec.mandatory)
+    return keep_one(whole, spec.dedup_keys, "_newest", spec.mandatory).drop("_newest")

@@ -94,6 +94,30 @@ def test_a_gate_keeps_a_bad_table_out_but_reports_it(spark, raw, tmp_path):
     assert run_entity(raw["uf"], good, lake).count() == 2
 
 
+def test_rejected_rows_are_stored_and_a_gate_can_hold_for_one_entity(spark, raw, tmp_path):
+    lake = Lakehouse(str(tmp_path), fail_on_alert={"municipio"})
+    spec = EDUCATION.specs["meta_alfabetizacao_municipio"]
+    source = raw[spec.name].unionByName(raw[spec.name].selectExpr("* EXCEPT (id_municipio)", "123456789 AS id_municipio"))
+    kept = run_entity(source, spec, lake)
+    lost = spark.read.parquet(lake.rejects_path(spec.name)).collect()
+    assert kept.count() + len(lost) == source.count()
+    assert {(r.coluna, r.motivo, r.valor) for r in lost} == {("id_municipio", "chave_invalida", "123456789")}
+    checks = {c.regra: c.status for r in read_reports(spark, lake.reports_dir).collect() for c in r.checks}
+    assert checks["chave_invalida"] == "ALERTA"
+    coded = raw["municipio"].selectExpr("id_municipio", "'zz' AS sigla_uf")
+    with pytest.raises(QualityAlert):
+        run_entity(coded, EDUCATION.specs["municipio"], lake)
+    assert os.listdir(os.path.dirname(lake.table_path("x"))) == [spec.name]
+
+
+def test_a_gated_table_replaces_the_old_one(spark, raw, tmp_path):
+    lake = Lakehouse(str(tmp_path), fail_on_alert=True)
+    spec = EDUCATION.specs["uf"]
+    assert run_entity(raw["uf"], spec, lake).count() == 2
+    assert run_entity(raw["uf"].limit(1), spec, lake).count() == 1
+    assert os.listdir(os.path.dirname(lake.table_path("x"))) == ["uf"]
+
+
 def test_jobs_run_together_and_a_failure_is_raised(spark):
     def fail():
         raise QualityAlert("stop")

@@ -1,6 +1,7 @@
 """Decoding and directories."""
 
-from gaugeworks.operators import lookup
+from pyspark.sql import functions as F
+
 from gaugeworks.operators.lookup import attach_directory, decode_codes
 from plan_text import executed_plan
 
@@ -36,11 +37,23 @@ def test_codes_become_labels_without_multiplying_rows(spark):
     assert sorted((tuple(r) for r in df.collect()), key=str) == expected()
 
 
-def test_too_many_labels_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_LABELS", 1)
-    df = decode_codes(facts(spark), dictionary(spark), "alunos", ["rede", "serie"])
-    assert "BroadcastHashJoin" not in executed_plan(df)
-    assert sorted((tuple(r) for r in df.collect()), key=str) == expected()
+def test_labels_too_large_to_broadcast_are_joined(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = decode_codes(facts(spark), dictionary(spark), "alunos", ["rede", "serie"])
+        assert sorted((tuple(r) for r in df.collect()), key=str) == expected()
+        plan = executed_plan(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
+def test_a_constant_code_is_joined_by_key_and_labels_come_ready(spark):
+    df = facts(spark).withColumn("serie", F.lit("2")).withColumn("rede", F.lit(1))
+    decoded = decode_codes(df, dictionary(spark), "alunos", ["rede", "serie"])
+    plan = executed_plan(decoded)
+    assert "NestedLoop" not in plan and "Aggregate" not in plan
+    assert {(r.rede, r.serie) for r in decoded.collect()} == {("Federal", "2° ano")}
 
 
 def test_directory_rows_are_distinct(spark):

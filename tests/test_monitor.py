@@ -1,7 +1,8 @@
 """Reports as files, metrics and alarms."""
 
 import json
-from datetime import datetime
+import os
+from datetime import datetime, timezone
 
 from gaugeworks.plans.monitor import AlarmRule, evaluate_alarms, report_metrics
 from gaugeworks.sources.reports import read_reports
@@ -22,7 +23,9 @@ def test_pretty_printed_reports_with_missing_fields(spark, tmp_path):
     reports = {r.entidade: r for r in read_reports(spark, str(tmp_path), True).collect()}
     assert reports["uf"].reported_at == datetime(2024, 1, 2, 3, 4, 5)
     odd = reports["odd.json"]
-    assert (odd.status_geral, odd.checks, odd.reported_at) == ("DESCONHECIDO", [], None)
+    assert (odd.status_geral, odd.checks) == ("DESCONHECIDO", [])
+    written = datetime.fromtimestamp((tmp_path / "odd.json").stat().st_mtime, timezone.utc)
+    assert abs((odd.reported_at - written.replace(tzinfo=None)).total_seconds()) < 2
     metrics = report_metrics(read_reports(spark, str(tmp_path), True))
     got = {(r.entidade, r.metrica): r.valor for r in metrics.collect()}
     assert got == {
@@ -33,6 +36,15 @@ def test_pretty_printed_reports_with_missing_fields(spark, tmp_path):
     }
 
 
+def test_an_undated_report_raises_its_alarm(spark, tmp_path):
+    write(tmp_path, "uf.json", {"entidade": "uf", "status_geral": "ALERTA", "checks": []})
+    at = datetime(2024, 5, 6, 7, 30, tzinfo=timezone.utc).timestamp()
+    os.utime(tmp_path / "uf.json", (at, at))
+    alarms = evaluate_alarms(report_metrics(read_reports(spark, str(tmp_path), True))).collect()
+    raised = [(r.entidade, r.inicio) for r in alarms if r.em_alarme]
+    assert raised == [("uf", datetime(2024, 5, 6, 7, 0))]
+
+
 def metrics(spark):
     rows = [
         ("uf", datetime(2024, 1, 1, 0, 10), "QualityCheckAlerts", 2),
