@@ -50,4 +50,54 @@ def op10_line_blocks(spark, sf_dir):
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
-ORACLE_SQL: dict[str, str] = {}
+
+_WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_spread": f"""
+WITH split AS (
+  SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents
+), bare AS (
+  SELECT doc_id, source, unnest(lines) AS line, generate_subscripts(lines, 1) AS place FROM split
+), trimmed AS (
+  SELECT *, trim(line, {_WHITE}) AS key FROM bare
+), spread AS (
+  SELECT key FROM trimmed WHERE key <> '' GROUP BY key HAVING count(DISTINCT source) >= {lines.MIN_SITES}
+), marked AS (
+  SELECT t.*, s.key IS NOT NULL AS found FROM trimmed t LEFT JOIN spread s USING (key)
+), totals AS (
+  SELECT doc_id, count(*) FILTER (key <> '') AS n_lines, count(*) FILTER (found) AS n_found,
+         string_agg(line, chr(10) ORDER BY place) FILTER (NOT found) AS rest
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, source,
+       CASE WHEN n_found > 0 AND 2 * n_found <= n_lines THEN rest ELSE text END AS text,
+       coalesce(n_lines, 0) AS n_lines,
+       CASE WHEN 2 * n_found <= n_lines THEN n_found ELSE 0 END AS n_removed
+FROM documents LEFT JOIN totals USING (doc_id)""",
+    "op8_grouped_prefix_join": f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce({_LOWER}, ''), '[\x20\x09-\x0D]+'),
+                             lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + {jaccard.SHINGLE - 1}], ' ') AS shingle
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {jaccard.SHINGLE - 2}, 2))) AS i
+        FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT c.a, c.b FROM common c JOIN sizes x ON x.doc_id = c.a JOIN sizes y ON y.doc_id = c.b
+  WHERE 100 * c.n >= {jaccard.PERCENT} * (x.n + y.n - c.n)
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN links l ON l.a = r.other
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+}
