@@ -2,9 +2,9 @@
 
 Every rule looks at one property of a text and votes good (1), bad (-1) or abstains
 (0). Expectation-maximisation estimates from the votes of all documents how often
-each rule is right and which share of documents is good; a document is kept when its
-posterior probability of being good reaches one half. A text that fails the base
-checks is never kept.
+each rule is right on good and on bad documents, and which share is good; a document is
+kept when its posterior probability of being good reaches one half. A text that fails
+the base checks is never kept, and does not count in the estimates.
 
 Documents with the same votes have the same posterior, so EM runs over vote patterns
 and their counts. There are at most 3 ** len(RULES) patterns, however many documents;
@@ -29,6 +29,7 @@ from gaugeworks.llm.common import WHITE
 from gaugeworks.sources.shared import materialise
 
 WINDOW = 5
+PLAIN_WORD = r"^[('\"]?[\p{L}\p{N}'-]+[.,;:!?)'\"]*$"
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
@@ -60,6 +61,7 @@ RULES = (
     Rule("line_copies", "n_dup_lines / nullif(n_lines, 0)", "< 0.05", "> 0.3"),
     Rule("repetition", "100 * n_repeat_words / nullif(n_words, 0)", "< 5", "> 20"),
     Rule("letters", "n_letters / nullif(word_chars, 0)", "> 0.85", "< 0.7"),
+    Rule("plain_words", "n_plain_words / nullif(n_words, 0)", ">= 0.9", "< 0.75"),
     Rule("capitals", "n_capitals / nullif(n_letters, 0)", "< 0.2", "> 0.4"),
 )
 
@@ -118,6 +120,7 @@ def measured(df: DataFrame, text: str, out: str) -> DataFrame:
             F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
             F.size(c("lines")).cast("long").alias("n_lines"),
             (length(joined) - without(joined, r"\p{L}+")).cast("long").alias("n_letters"),
+            F.size(F.filter(c("words"), lambda w: w.rlike(PLAIN_WORD))).cast("long").alias("n_plain_words"),
             (length(joined) - without(joined, r"\p{Lu}+")).cast("long").alias("n_capitals"),
         ),
     )
@@ -127,48 +130,59 @@ def measured(df: DataFrame, text: str, out: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class Model:
-    """Share of good documents and how often each rule's vote is right."""
+    """Share of good documents, and how often each rule's vote is right on good and on bad ones."""
 
     prior: float
-    accuracy: tuple[float, ...]
+    on_good: tuple[float, ...]
+    on_bad: tuple[float, ...]
 
-    def weights(self) -> list[float]:
-        return [math.log(a / (1 - a)) for a in self.accuracy]
+    def weights(self) -> list[tuple[float, float]]:
+        """What a good and a bad vote of each rule add to the log odds."""
+        return [
+            (math.log(a / (1 - b)), math.log((1 - a) / b))
+            for a, b in zip(self.on_good, self.on_bad, strict=True)
+        ]
+
+    def start(self) -> float:
+        return math.log(self.prior / (1 - self.prior))
 
     def log_odds(self, votes: Iterable[int]) -> float:
-        start = math.log(self.prior / (1 - self.prior))
-        return start + sum(v * w for v, w in zip(votes, self.weights(), strict=True))
+        return self.start() + sum(
+            up if v > 0 else down if v < 0 else 0.0
+            for v, (up, down) in zip(votes, self.weights(), strict=True)
+        )
 
     def posterior(self, votes: Iterable[Column]) -> Column:
-        odds = F.lit(math.log(self.prior / (1 - self.prior)))
-        for vote, weight in zip(votes, self.weights(), strict=True):
-            odds = odds + vote * F.lit(weight)
+        odds = F.lit(self.start())
+        for vote, (up, down) in zip(votes, self.weights(), strict=True):
+            odds = odds + F.when(vote > 0, up).when(vote < 0, down).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: dict[tuple[int, ...], int], rules: int, rounds: int = 100) -> Model:
-    """EM over vote patterns. Accuracies stay between 0.55 and 0.95, so that a rule is
-    never taken for its opposite and none decides alone; one right and one wrong vote
-    are added per rule, and with no documents the start values remain."""
-    model = Model(0.8, (0.8,) * rules)
+def estimate(patterns: dict[tuple[int, ...], int], rules: int, rounds: int = 200) -> Model:
+    """EM over vote patterns, from rules that are right on most good and half the bad documents.
+
+    No rule is ever sure, nor worse than chance, so a good vote never counts against a
+    document. One document's worth of the start values is added per rule; with no
+    documents they remain.
+    """
+    model = Model(0.8, (0.9,) * rules, (0.5,) * rules)
     for _ in range(rounds):
         good = {v: 1 / (1 + math.exp(-model.log_odds(v))) for v in patterns}
         total = sum(patterns.values())
-        prior = (sum(n * good[v] for v, n in patterns.items()) + 1) / (total + 2)
-        accuracy = []
+        prior = (sum(n * good[v] for v, n in patterns.items()) + 0.8) / (total + 1)
+        on_good, on_bad = [], []
         for r in range(rules):
-            cast = sum(n for v, n in patterns.items() if v[r])
-            right = sum(
-                n * (good[v] if v[r] > 0 else 1 - good[v]) for v, n in patterns.items() if v[r]
-            )
-            accuracy.append(min(0.95, max(0.55, (right + 1) / (cast + 2))))
-        after = Model(min(0.99, max(0.01, prior)), tuple(accuracy))
-        change = max(
-            abs(a - b)
-            for a, b in zip((after.prior, *after.accuracy), (model.prior, *model.accuracy), strict=True)
-        )
+            cast = [(v[r], n * good[v], n * (1 - good[v])) for v, n in patterns.items() if v[r]]
+            a = (sum(g for v, g, _ in cast if v > 0) + 0.9) / (sum(g for _, g, _ in cast) + 1)
+            b = (sum(w for v, _, w in cast if v < 0) + 0.5) / (sum(w for _, _, w in cast) + 1)
+            on_good.append(min(0.995, max(0.55, a)))
+            on_bad.append(min(0.95, max(1.02 - on_good[-1], b)))
+        after = Model(min(0.99, max(0.5, prior)), tuple(on_good), tuple(on_bad))
+        old = (model.prior, *model.on_good, *model.on_bad)
+        new = (after.prior, *after.on_good, *after.on_bad)
         model = after
-        if change < 1e-9:
+        if max(abs(x - y) for x, y in zip(old, new, strict=True)) < 1e-9:
             break
     return model
 
@@ -195,11 +209,11 @@ def judge(
     field = lambda s: f"{out}.{s}"
     votes = F.array(*[rule.vote(out) for rule in RULES])
     stored = materialise(inner.withColumn(f"{out}_votes", votes), "judged")
-    model = estimate(vote_patterns(stored, f"{out}_votes"), len(RULES))
-    p_good = model.posterior([F.get(f"{out}_votes", F.lit(i)) for i in range(len(RULES))])
     failed = (F.col(field("n_words")) < MIN_WORDS) | (
         100 * F.col(field("n_repeat_words")) > MAX_REPEAT_PERCENT * F.col(field("n_words"))
     )
+    model = estimate(vote_patterns(stored.where(~failed), f"{out}_votes"), len(RULES))
+    p_good = model.posterior([F.get(f"{out}_votes", F.lit(i)) for i in range(len(RULES))])
     return (
         stored.withColumn(
             out,

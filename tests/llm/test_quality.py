@@ -42,8 +42,8 @@ def test_measures_of_a_table(spark, small):
         assert tuple(r[n] for n in NAMES) == brute_force(texts[r.doc_id])
         assert not (r.kept and r.base_failed)
     labels = {r.doc_id: r.quality for r in table(spark, small, "labels").collect()}
-    good = [r for r in rows if labels.get(r.doc_id) == 1 and not r.base_failed]
-    assert sum(r.kept for r in good) == len(good)
+    by_label = {label: [r.kept for r in rows if labels.get(r.doc_id) == label and not r.base_failed] for label in (0, 1)}
+    assert sum(by_label[1]) >= 0.99 * len(by_label[1])
 
 
 ODD = [
@@ -81,13 +81,23 @@ def test_estimate_finds_good_and_poor_rules():
     patterns = {(1, 1, 1, 1): 400, (1, 1, 1, -1): 400, (-1, -1, -1, 1): 100, (-1, -1, -1, -1): 100}
     model = quality.estimate(patterns, 4)
     assert model.prior == pytest.approx(0.8, abs=0.02)
-    assert min(model.accuracy[:3]) == 0.95 and model.accuracy[3] == 0.55
+    assert min(model.on_good[:3]) > 0.99 and min(model.on_bad[:3]) == 0.95
+    assert model.on_good[3] == 0.55 and model.on_bad[3] < 0.55
     assert model.log_odds((1, 1, 1, -1)) > 0 > model.log_odds((-1, -1, -1, 1))
-    assert quality.estimate({}, 2).prior == pytest.approx(0.5)
+    assert quality.estimate({}, 2) == quality.Model(0.8, (0.9, 0.9), (0.5, 0.5))
+
+
+def test_labelled_documents_are_told_apart(spark, small):
+    folder = small.replace("0.001", "0.01")
+    rows = quality.verdicts(table(spark, folder, "documents")).collect()
+    labels = {r.doc_id: r.quality for r in table(spark, folder, "labels").collect()}
+    for label, least, most in ((1, 0.99, 1.0), (0, 0.0, 0.2)):
+        kept = [r.kept for r in rows if labels.get(r.doc_id) == label and not r.base_failed]
+        assert least <= sum(kept) / len(kept) <= most
 
 
 def test_posterior_column_equals_the_model(spark):
-    model = quality.Model(0.7, (0.9, 0.6))
+    model = quality.Model(0.7, (0.9, 0.6), (0.5, 0.45))
     votes = spark.createDataFrame([(1, -1), (0, 0), (-1, 1)], "a int, b int")
     import math
 
