@@ -13,10 +13,10 @@ only groups are joined on prefix shingles. Candidates whose prefixes share too l
 are left out, the others are expanded to classes and verified on whole sets.
 
 Component ids need no list of all links. First every group of a shingle is compared
-with one of them and components are formed; then again with another one, chosen at
-random; at last all remaining candidates from different components are verified. A
-cluster of many near copies so costs a few comparisons per member, and a pair is left
-out only if its documents are connected already.
+with the one that shares most, and components are formed; then again with another one,
+chosen at random; at last all remaining candidates from different components are
+verified. A cluster of many near copies so costs a few comparisons per member, and a
+pair is left out only if its documents are connected already.
 
 A text without words has an empty set and links with nothing. Null texts count as
 empty. Repeated rows and null ids are allowed; a null id is never a component id
@@ -218,24 +218,46 @@ def verify(pairs: DataFrame, tokens: DataFrame, percent: int) -> DataFrame:
     return materialise(map_batches(joined, function, "a long, b long, linked boolean"), "verified")
 
 
-def _close(n: str, m: str, percent: int) -> Column:
-    """Whether two sizes allow the similarity."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _overlap(n: str, m: str, percent: int) -> Column:
+    """The smallest overlap of two similar sets of these sizes."""
+    return F.expr(f"({percent} * ({n} + {m}) + {100 + percent - 1}) div {100 + percent}")
+
+
+def _may_meet(n: str, place: str, percent: int) -> Column:
+    """Whether sets of sizes ``n`` can be similar if the shingle at these places of their
+    prefixes is the first one they share; for one shingle of every similar pair it is."""
+    most = 1 + F.least(F.col("n") - F.col("place") - 1, F.col(n) - F.col(place) - 1)
+    return most >= _overlap("n", n, percent)
 
 
 def _proposals(lists: DataFrame, step: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of every member of a list with one member, chosen by hash; ``lists`` is
-    (list, class, n, component)."""
+    """Pairs (a, b) of every member of a list with one member; ``lists`` is (list, class, n,
+    place, component).
+
+    First that is the member with the largest part of its shingles in lists: of many
+    edited copies, the text they come from, which is near to all of them. Then it is a
+    member chosen at random for each list.
+    """
+    if step == 0:
+        shared = lists.groupBy("class").agg(F.count(F.lit(1)).alias("shared"))
+        lists = lists.join(shared, "class")
+        rank = F.struct(-F.col("shared") / F.col("n"), F.xxhash64("class"))
+    else:
+        rank = F.xxhash64(F.concat_ws("-", "class", "list", F.lit(step)))
     order = F.struct(
-        F.xxhash64("class" if step == 0 else F.concat_ws("-", "class", "list", F.lit(step))).alias("h"),
+        rank.alias("h"),
         F.col("class").alias("centre"),
         F.col("n").alias("centre_n"),
+        F.col("place").alias("centre_place"),
         F.col("component").alias("centre_component"),
     )
     centres = lists.groupBy("list").agg(F.min(order).alias("m")).select("list", "m.*")
     return (
         lists.join(centres, "list")
-        .where((F.col("component") != F.col("centre_component")) & _close("n", "centre_n", percent))
+        .where(
+            (F.col("component") != F.col("centre_component"))
+            & _may_meet("centre_n", "centre_place", percent)
+        )
         .select(F.least("class", "centre").alias("a"), F.greatest("class", "centre").alias("b"))
         .distinct()
     )
@@ -248,9 +270,8 @@ def _needed(n: str, m: str, percent: int) -> Column:
     Beyond it that set has one shingle less than ``percent`` of its size, so they add at
     most that many to the overlap.
     """
-    overlap = F.expr(f"({percent} * ({n} + {m}) + {100 + percent - 1}) div {100 + percent}")
     beyond = F.expr(f"({percent} * greatest({n}, {m}) + 99) div 100 - 1")
-    return overlap - beyond
+    return _overlap(n, m, percent) - beyond
 
 
 def _screened(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
@@ -267,29 +288,19 @@ def _screened(pairs: DataFrame, rows: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(lists: DataFrame, percent: int) -> DataFrame:
-    """All pairs of one list from different components whose prefixes share enough.
-
-    Two groups meet in a list for every shingle that their prefixes share.
-    """
+    """All pairs of one list from different components that may be similar enough."""
     other = lists.select(
         "list",
         F.col("class").alias("class_b"),
         F.col("n").alias("n_b"),
-        F.col("group").alias("group_b"),
+        F.col("place").alias("place_b"),
         F.col("component").alias("component_b"),
     )
     return (
         lists.join(other, "list")
-        .where((F.col("component") < F.col("component_b")) & _close("n", "n_b", percent))
-        .groupBy(F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b"))
-        .agg(
-            F.count(F.lit(1)).alias("both"),
-            F.max("n").alias("n"),
-            F.max("n_b").alias("n_b"),
-            F.bool_or(F.col("group") == F.col("group_b")).alias("same"),
-        )
-        .where(F.col("same") | (F.col("both") >= _needed("n", "n_b", percent)))
-        .select("a", "b")
+        .where((F.col("component") < F.col("component_b")) & _may_meet("n_b", "place_b", percent))
+        .select(F.least("class", "class_b").alias("a"), F.greatest("class", "class_b").alias("b"))
+        .distinct()
     )
 
 
@@ -315,14 +326,13 @@ def join(
     links = checked = None
     current = lists.withColumn("component", F.col("class"))
     for step in range(3):
-        if step < 2:
-            pairs = _proposals(current, step, percent)
-            pairs = _screened(materialise(pairs, "proposals"), rows, percent)
-        else:
-            pairs = _rest(current, percent)
+        pairs = _proposals(current, step, percent) if step < 2 else _rest(current, percent)
+        pairs = _screened(materialise(pairs, "proposals"), rows, percent)
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "pairs")
+        if checked is not None and pairs.isEmpty():
+            continue
         ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
         wanted = materialise(classes.join(ends, "class").select("class", "doc", "key"), "wanted")
         found = verify(pairs, whole_sets(documents, doc, text, wanted, size), percent)
@@ -348,8 +358,8 @@ def join(
 
 
 def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """(list, class, n, group): classes whose groups share a prefix shingle, and those of one group."""
-    postings = rows.select(F.explode("prefix").alias("list"), "row")
+    """(list, class, n, place): classes whose groups share a prefix shingle, and those of one group."""
+    postings = rows.select(F.posexplode("prefix").alias("place", "list"), "row")
     # stored, as a join side from an aggregation keeps adaptive execution from splitting hot lists
     often = materialise(
         postings.groupBy("list").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("list"),
@@ -357,7 +367,8 @@ def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
     )
     of_row = rows.select("row", "group")
     places = materialise(
-        postings.join(often, "list").join(of_row, "row").select("list", "group").distinct(), "places"
+        postings.join(often, "list").join(of_row, "row").select("list", "group", "place").distinct(),
+        "places",
     )
     # rows of one group, as copies are, have met here too
     several = materialise(
@@ -369,10 +380,10 @@ def _shared_lists(rows: DataFrame, classes: DataFrame) -> DataFrame:
     return (
         places.join(several, "list")
         .join(members, "group")
-        .select("list", "class", "n", "group")
+        .select("list", "class", "n", "place")
         .union(
             members.join(large, "group").select(
-                F.xxhash64("group").alias("list"), "class", "n", "group"
+                F.xxhash64("group").alias("list"), "class", "n", F.lit(0).alias("place")
             )
         )
     )
@@ -389,7 +400,7 @@ def _open_lists(lists: DataFrame, groups: DataFrame) -> DataFrame:
         .where("low < high")
         .select("list")
     )
-    return placed.join(split, "list").select("list", "class", "n", "group", "component")
+    return placed.join(split, "list").select("list", "class", "n", "place", "component")
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:
