@@ -29,7 +29,22 @@ def test_query_matches_sql(spark, duck, small, key):
 
 
 @pytest.mark.parametrize(
-    "key", ["student_fact", "extract_state", "integrate_fanout", "quality_fk", "mart_state"]
+    "key",
+    [
+        "student_fact",
+        "code_decode",
+        "extract_state",
+        "extract_city",
+        "extract_students",
+        "targets_city",
+        "integrate_fanout",
+        "integrate_by_network",
+        "quality_fk",
+        "mart_city",
+        "mart_state",
+        "mart_comparison",
+        "mart_dashboard",
+    ],
 )
 def test_plans_have_no_python_and_no_cross_join(spark, small, key):
     plan = executed_plan(QUERIES[key](spark, small))
