@@ -190,23 +190,21 @@ def _links(leaves: DataFrame, cosine: float) -> DataFrame:
         copies = rows["n"].to_numpy()
         node = rows["node"][0].as_py()
         vectors = matrix(rows["vector"])
-        leaf_lists = rows["leaves"].combine_chunks()
-        widths = leaf_lists.value_lengths().to_numpy()
-        leaves = np.full((len(ids), widths.max()), np.iinfo(np.int64).max)
-        leaves[np.arange(leaves.shape[1]) < widths[:, None]] = leaf_lists.flatten().to_numpy()
+        before = smaller_leaves(rows["leaves"].combine_chunks(), node)
         links = np.zeros(len(ids), np.int64)
         ends: list[np.ndarray] = []
         for a in range(0, len(ids), 1024):
             for b in range(a, len(ids), 1024):
-                i, j = np.nonzero(vectors[a : a + 1024] @ vectors[b : b + 1024].T >= cosine)
-                i, j = i + a, j + b
-                i, j = i[i < j], j[i < j]
-                ends.append(np.stack([i, j]))
-                for at in range(0, len(i), 200_000):
-                    p, q = i[at : at + 200_000], j[at : at + 200_000]
-                    first = smallest_shared(leaves[p], leaves[q]) == node
-                    np.add.at(links, p[first], copies[q[first]])
-                    np.add.at(links, q[first], copies[p[first]])
+                p, q = slice(a, a + 1024), slice(b, b + 1024)
+                linked = vectors[p] @ vectors[q].T >= cosine
+                if a == b:
+                    np.fill_diagonal(linked, False)
+                i, j = np.nonzero(linked)
+                ends.append(np.stack([i + a, j + b]))
+                first = linked & ~(before[p] @ before[q].T > 0)
+                links[p] += first @ copies[q]
+                if a != b:
+                    links[q] += first.T @ copies[p]
         root = smallest_reached(ids, *np.concatenate(ends, axis=1))
         return pa.table({"class": ids, "links": links, "root": root})
 
@@ -215,12 +213,15 @@ def _links(leaves: DataFrame, cosine: float) -> DataFrame:
     )
 
 
-def smallest_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Smallest number that is in the same row of both; rows are sorted and share one."""
-    best = np.full(len(a), np.iinfo(np.int64).max)
-    for k in range(a.shape[1]):
-        best = np.minimum(best, np.where((b == a[:, k : k + 1]).any(1), a[:, k], best))
-    return best
+def smaller_leaves(leaves: pa.ListArray, node: int) -> np.ndarray:
+    """Which classes (rows) are in which leaves (columns) with a smaller number than ``node``."""
+    row = np.repeat(np.arange(len(leaves)), leaves.value_lengths().to_numpy())
+    number = leaves.flatten().to_numpy()
+    row, number = row[number < node], number[number < node]
+    kinds, column = np.unique(number, return_inverse=True)
+    out = np.zeros((len(leaves), len(kinds)), np.float32)
+    out[row, column] = 1
+    return out[:, out.sum(0) > 1]
 
 
 def smallest_reached(ids: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
