@@ -3,13 +3,18 @@
 Equal vectors of a label are one class, with a count. Every class goes down ``TREES``
 trees. A node with more than ``LEAF`` classes is split by random directions at
 thresholds near the median; classes close to a threshold go to both sides, by as much
-as two linked vectors usually differ along a direction. Classes that share a leaf are
-compared by cosine in double precision, and links are joined to components.
+as two linked vectors usually differ along a direction. Where that is too much of a node
+(``SPILL``), as in a cluster in which all vectors link, another place of the threshold is
+tried; a node that no direction of a round can split stays whole. Classes that share a
+leaf are compared by cosine in double precision, and links are joined to components.
+Leaves of more than ``leaf`` classes are compared in blocks of some ``BLOCK`` classes,
+every pair of blocks for itself, so no task holds or compares a whole cluster.
 
 Nodes are split in rounds. A round fits up to ``LEVELS`` levels below every large node
 on a bounded sample of the node's own rows (``SAMPLE``, spread by hash), in one task
 per node, and then sends every row of the node down. So no model and no group grows
-with the data; the number of rounds grows with its logarithm.
+with the data; the number of rounds grows with its logarithm, as a split leaves at most
+``PAIRS_LEFT`` of a node's pairs.
 
 Classes can meet in several leaves. A pair is counted in the leaf with the smallest
 number that both are in, so link counts need no list of all pairs; for components a
@@ -38,6 +43,10 @@ SAMPLE = 2048
 ROUNDS = 30
 #: Largest share of a node's sample that may go to both sides of a split.
 SPILL = 0.4
+#: Largest share of a node's pairs that may be left to compare after a split off the middle.
+PAIRS_LEFT = 0.9
+#: Mean number of classes of a block, where a leaf is compared in blocks.
+BLOCK = 512
 
 
 def usable(vector: Column) -> Column:
@@ -72,15 +81,39 @@ def fit(node: int, vectors: np.ndarray, cosine: float) -> np.ndarray:
     inside = {0: np.arange(len(vectors))}
     for k in range(2**LEVELS - 1):
         rows = inside[k]
-        values = np.sort(along[rows, k]) if len(rows) else np.zeros(1)
-        share = draw.uniform(0.4, 0.6)
-        low, middle, high = np.quantile(values, [max(0.0, share - SPILL / 2), share, share + SPILL / 2])
-        bounds[k] = max(low, middle - margin), min(high, middle + margin)
+        values = np.sort(along[rows, k])
+        bounds[k] = threshold(values, draw.uniform(0.4, 0.6), margin)
         inside[2 * k + 1] = rows[along[rows, k] <= bounds[k, 1]]
         inside[2 * k + 2] = rows[along[rows, k] > bounds[k, 0]]
     return bounds
 
 
+def threshold(values: np.ndarray, share: float, margin: float) -> tuple[float, float]:
+    """Low and high bound of a split of sorted values; infinite where all have to stay together.
+
+    The bounds are always a whole margin off the threshold.
+    """
+    n = len(values)
+    if not n:
+        return np.inf, np.inf
+    low, middle, high = np.quantile(values, [max(0.0, share - SPILL / 2), share, share + SPILL / 2])
+    if low <= middle - margin and middle + margin <= high:
+        return middle - margin, middle + margin
+    places = np.quantile(values, np.linspace(0.02, 0.98, 49))
+    left = np.searchsorted(values, places + margin, side="right") / n
+    right = 1 - np.searchsorted(values, places - margin, side="right") / n
+    pairs = np.where(left + right - 1 <= SPILL, left**2 + right**2, np.inf)
+    best = int(np.argmin(pairs))
+    if pairs[best] > PAIRS_LEFT:
+        return np.inf, np.inf
+    return places[best] - margin, places[best] + margin
+
+
+def whole(bounds: np.ndarray) -> bool:
+    """Whether the first node of these bounds stays together on all levels."""
+    return bool(np.isinf(bounds[[2**k - 1 for k in range(LEVELS)]]).all())
+
+
 def descend(node: int, vectors: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, leaf number) of every leaf that a row gets to."""
     along = vectors @ directions(node, vectors.shape[1]).T
@@ -95,11 +128,9 @@ def descend(node: int, vectors: np.ndarray, bounds: np.ndarray) -> tuple[np.ndar
     return rows, at - (2**LEVELS - 1)
 
 
-def _split(rows: DataFrame, large: DataFrame, cosine: float) -> DataFrame:
-    """Send the rows of the large nodes (node, n) down by up to ``LEVELS`` levels."""
-    inside = rows.join(large, ["label", "node"])
-    kind = rows.schema["label"].dataType.simpleString()
-    vector = rows.schema["vector"].dataType.simpleString()
+def _fit(inside: DataFrame, cosine: float) -> DataFrame:
+    """(label, node, bounds, whole) of the nodes of ``inside``, which has their size ``n``."""
+    kind = inside.schema["label"].dataType.simpleString()
 
     def fitted(sample: pa.Table) -> pa.Table:
         node = sample["node"][0].as_py()
@@ -109,17 +140,24 @@ def _split(rows: DataFrame, large: DataFrame, cosine: float) -> DataFrame:
                 "label": sample["label"].slice(0, 1),
                 "node": [node],
                 "bounds": pa.array([bounds.ravel().tolist()], pa.list_(pa.float64())),
+                "whole": [whole(bounds)],
             }
         )
 
     drawn = F.pmod(F.xxhash64("class", "node"), F.col("n")) < SAMPLE
-    models = (
+    return (
         inside.where(drawn)
         .select("label", "node", "vector")
         .groupBy("label", "node")
-        .applyInArrow(fitted, f"label {kind}, node long, bounds array<double>")
+        .applyInArrow(fitted, f"label {kind}, node long, bounds array<double>, whole boolean")
     )
 
+
+def _split(inside: DataFrame, models: DataFrame) -> DataFrame:
+    """Send the rows of ``inside`` down by up to ``LEVELS`` levels; nodes without a model are left out."""
+    kind = inside.schema["label"].dataType.simpleString()
+    vector = inside.schema["vector"].dataType.simpleString()
+
     def function():
         def convert(batch: pa.RecordBatch) -> dict:
             node = batch.column(1).to_numpy()
@@ -175,8 +213,10 @@ def forest(classes: DataFrame, cosine: float, trees: int, leaf: int) -> DataFram
         large = sizes.where(F.col("n") > leaf)
         if large.isEmpty():
             break
-        done.append(rows.join(large, ["label", "node"], "left_anti"))
-        rows = materialise(_split(rows, large, cosine), "forest")
+        inside = rows.join(large, ["label", "node"])
+        models = materialise(_fit(inside, cosine), "models")
+        done.append(rows.join(models.where("not whole"), ["label", "node"], "left_anti"))
+        rows = materialise(_split(inside, models.where("not whole")), "forest")
     for part in done:
         rows = rows.unionByName(part)
     return rows
@@ -213,6 +253,109 @@ def _links(leaves: DataFrame, cosine: float) -> DataFrame:
     )
 
 
+def _block_links(leaves: DataFrame, cosine: float) -> DataFrame:
+    """As ``_links``, for large leaves; ``blocks`` is the number of blocks of a row's leaf.
+
+    A block travels as one row. Block i meets the blocks i, i + 1 ... halfway round the
+    ring of all blocks, so every two blocks meet once and every block equally often.
+    """
+    kind = leaves.schema["label"].dataType.simpleString()
+    long_list, double_list = pa.list_(pa.int64()), pa.list_(pa.float64())
+
+    def packed(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("class")
+        return pa.table(
+            {
+                "label": rows["label"].slice(0, 1),
+                "node": rows["node"].slice(0, 1),
+                "blocks": rows["blocks"].slice(0, 1),
+                "block": rows["block"].slice(0, 1),
+                "ids": pa.array([rows["class"].to_numpy()], long_list),
+                "copies": pa.array([rows["n"].to_numpy()], long_list),
+                "vectors": pa.array([matrix(rows["vector"]).ravel()], double_list),
+                "leaves": pa.array([rows["leaves"].to_pylist()], pa.list_(long_list)),
+            }
+        )
+
+    numbered = leaves.withColumn("block", F.pmod(F.xxhash64("class", F.lit("block")), "blocks"))
+    blocks = materialise(
+        numbered.groupBy("label", "node", "block").applyInArrow(
+            packed,
+            f"label {kind}, node long, blocks long, block long, ids array<long>, copies array<long>, "
+            "vectors array<double>, leaves array<array<long>>",
+        ),
+        "blocks",
+    )
+    half = F.floor(F.col("blocks") / 2)
+    twice = (F.col("blocks") % 2 == 0) & (F.col("step") == half) & (F.col("step") > 0) & (F.col("block") >= half)
+    meeting = (
+        blocks.select("label", "node", "blocks", "block", F.explode(F.sequence(F.lit(0).cast("long"), half)).alias("step"))
+        .where(~twice)
+        .select("label", "node", "block", ((F.col("block") + F.col("step")) % F.col("blocks")).alias("other"))
+    )
+    parts = ("ids", "copies", "vectors", "leaves")
+    one = blocks.select("label", "node", "block", *[F.col(c).alias(f"{c}_p") for c in parts])
+    two = blocks.select("label", "node", F.col("block").alias("other"), *[F.col(c).alias(f"{c}_q") for c in parts])
+    pairs = (
+        meeting.join(one, ["label", "node", "block"])
+        .join(two, ["label", "node", "other"])
+        .select("label", "node", "block", "other", *[f"{c}_{x}" for x in "pq" for c in parts])
+    )
+
+    def function():
+        def convert(batch: pa.RecordBatch) -> dict:
+            out: list[list] = [[], [], [], [], [], []]
+            for k in range(batch.num_rows):
+                label, node, block, other = (batch.column(i)[k].as_py() for i in range(4))
+                p, copies_p, x, leaves_p = (batch.column(i)[k].values for i in range(4, 8))
+                q, copies_q, y, leaves_q = (batch.column(i)[k].values for i in range(8, 12))
+                p, q = p.to_numpy(), q.to_numpy()
+                both = pa.concat_arrays([leaves_p, leaves_q])
+                before = smaller_leaves(both, node)
+                first = ~(before[: len(p)] @ before[len(p) :].T > 0)
+                if first.any():
+                    x, y = (v.to_numpy().reshape(len(i), -1) for v, i in ((x, p), (y, q)))
+                    first &= x @ y.T >= cosine
+                if block == other:
+                    np.fill_diagonal(first, False)
+                # pairs met in an earlier leaf have their links and edges there
+                ids = np.concatenate([p, q])
+                i, j = np.nonzero(first)
+                if block == other:
+                    root = smallest_reached(p, i, j)
+                    ends = [(block, p, first @ copies_q.to_numpy(), root)]
+                else:
+                    root = smallest_reached(ids, i, j + len(p))
+                    ends = [
+                        (block, p, first @ copies_q.to_numpy(), root[: len(p)]),
+                        (other, q, first.T @ copies_p.to_numpy(), root[len(p) :]),
+                    ]
+                for at, own, links, reached in ends:
+                    for column, value in zip(out, (label, node, at, own, links, reached), strict=True):
+                        column.append(value)
+            return dict(enumerate(out))
+
+        return convert
+
+    met = map_batches(
+        pairs, function, f"label {kind}, node long, block long, ids array<long>, links array<long>, roots array<long>"
+    )
+
+    def summed(rows: pa.Table) -> pa.Table:
+        ids = rows["ids"].chunk(0)[0].values.to_numpy()
+        links = sum(part.values.to_numpy() for part in rows["links"])
+        roots = np.concatenate([part.values.to_numpy() for part in rows["roots"]])
+        # the classes of the block and what they reach anywhere, as one graph
+        nodes, ends = np.unique(np.concatenate([ids, roots]), return_inverse=True)
+        own = np.tile(ends[: len(ids)], len(roots) // len(ids))
+        reached = smallest_reached(nodes, own, ends[len(ids) :])
+        counted = np.zeros(len(nodes), np.int64)
+        counted[ends[: len(ids)]] = links
+        return pa.table({"class": nodes, "links": counted, "root": reached})
+
+    return met.groupBy("label", "node", "block").applyInArrow(summed, "class long, links long, root long")
+
+
 def smaller_leaves(leaves: pa.ListArray, node: int) -> np.ndarray:
     """Which classes (rows) are in which leaves (columns) with a smaller number than ``node``."""
     row = np.repeat(np.arange(len(leaves)), leaves.value_lengths().to_numpy())
@@ -258,12 +401,17 @@ def near_duplicates(
     of_class = leaves.groupBy("class").agg(
         F.sort_array(F.collect_set("node")).alias("leaves")
     )
+    blocks = F.ceil(F.count(F.lit(1)) / BLOCK)
+    large = materialise(
+        leaves.groupBy("label", "node").agg(F.count(F.lit(1)).alias("size"), blocks.alias("blocks")).where(F.col("size") > leaf).drop("size"),
+        "large-leaves",
+    )
+    placed = leaves.join(of_class.join(classes.select("class", "n"), "class"), "class").select(
+        "label", "node", "class", "vector", "n", "leaves"
+    )
     found = materialise(
-        _links(
-            leaves.join(of_class.join(classes.select("class", "n"), "class"), "class").select(
-                "label", "node", "class", "vector", "n", "leaves"
-            ),
-            cosine,
+        _links(placed.join(large, ["label", "node"], "left_anti"), cosine).unionByName(
+            _block_links(placed.join(large, ["label", "node"]), cosine)
         ),
         "links",
     )

@@ -94,3 +94,28 @@ def test_components_of_a_long_path(spark):
     found = components(spark.createDataFrame(edges, "a long, b long"), "t").collect()
     want = {i: 10 for i in range(10, 401)} | {i: 1000 for i in range(1000, 1200)}
     assert {r.id: r.component for r in found} == want
+
+
+def test_large_groups_of_near_copies_lose_no_link(spark):
+    draw = np.random.default_rng(5)
+    near = draw.standard_normal(16) + 0.06 * draw.standard_normal((4000, 16))
+    far = draw.standard_normal((1500, 16))
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(np.concatenate([near, far]))]
+    want = brute_force(rows)
+    got = results(embeddings.near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)))
+    assert sum(v[0] for v in want.values()) > 4_000_000
+    assert all(got[k][0] <= want[k][0] for k in want)
+    assert sum(v[0] for v in got.values()) >= 0.999 * sum(v[0] for v in want.values())
+    assert {k: v[1] for k, v in got.items()} == {k: v[1] for k, v in want.items()}
+
+
+def test_leaves_compared_in_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "ROUNDS", 0)  # no splits: one large leaf in every tree
+    draw = np.random.default_rng(6)
+    for size in (40, 90, 200):
+        monkeypatch.setattr(embeddings, "BLOCK", 32)
+        near = draw.standard_normal(8) + 0.1 * draw.standard_normal((size, 8))
+        near = np.concatenate([near, near[:10]])  # classes with several vectors
+        rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(near)]
+        frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
+        assert results(embeddings.near_duplicates(frame, leaf=32, trees=2)) == brute_force(rows)
