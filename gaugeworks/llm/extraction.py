@@ -1,12 +1,17 @@
 """Main text of web pages by line-block distribution.
 
 Markup is stripped to lines, one per block element, and every line gets the length of
-its text outside links. Text in boilerplate elements (menus, forms, notices ...)
-gives a line of length zero, and so does text outside the article where a page marks
-one. The lengths are summed over sliding windows of lines. Where the sum surges above
-a threshold the main text begins, where it dives to zero it ends, and all lines in
-between are kept, short ones too. A page whose sums never reach the threshold uses its
-largest sum instead.
+its text outside links. Boilerplate elements (menus, forms, notices ...) have no text.
+Where a page marks an article with text outside links, all lines of the article are
+kept, and nothing else. Elsewhere the lengths are summed over sliding windows of lines.
+Where the sum surges above a threshold the main text begins, where it dives to zero it
+ends, and all lines in between are kept, short ones too. A page whose sums never reach
+the threshold uses its largest sum instead.
+
+A class or id makes an element boilerplate if one of its whole words is known as such,
+alone or joined with words that say no more than where or what part (``site-header``,
+but not ``no-sidebar``), and never an element with more than half of the page's text.
+An anchor without a target is no link, and a link ends with the block it stands in.
 
 Null and empty pages have an empty text. Unclosed elements end with the page; a cut
 tag at the end is dropped. Repeated pages are kept. A page is worked on alone, in one
@@ -49,6 +54,15 @@ CLASS_WORDS = frozenset(
     "outbrain overlay pagination popup promo promotion related reply replies respond share sharing "
     "sidebar signup social sponsor sponsored subscribe taboola toolbar topbar widget".split()
 )
+#: Parts of a joined class word that leave its meaning as it is.
+CLASS_PARTS = frozenset(
+    "area bar block body bottom box btn button buttons container desktop fixed form global google group icon "
+    "icons inner item items label left link links list main message mobile module outer page panel policy post "
+    "posts primary region right row secondary section side site slot sticky stories sub text thread title top "
+    "unit wrap wrapper".split()
+)
+#: Elements that end where the next of their kind begins.
+IMPLIED = frozenset("dd dt li p td th tr".split())
 ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
@@ -60,20 +74,20 @@ TAG = re.compile(
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
-MARKS = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
-WORDS = re.compile(r"[a-z]+")
+MARKS = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?![\w-])\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+TARGET = re.compile(r"(?<![\w-])href\s*=", re.I)
+WORDS = re.compile(r"[a-z]{2,}")
 
 
 def is_boilerplate(name: str, rest: str) -> bool:
+    """By the element's name, its role or because it is hidden."""
     if name in BOILERPLATE:
         return True
-    if name in ("body", "html", *ARTICLE) and "comment" not in rest.lower():
+    if _whole_page(name, rest):
         return False
     for mark, value in MARKS.findall(rest):
         value = value.strip("\"'").lower()
         mark = mark.lower()
-        if mark in ("class", "id") and not CLASS_WORDS.isdisjoint(WORDS.findall(value)):
-            return True
         if mark == "role" and value in ROLES:
             return True
         if mark == "hidden" or (mark == "aria-hidden" and value == "true"):
@@ -81,12 +95,70 @@ def is_boilerplate(name: str, rest: str) -> bool:
     return False
 
 
+def is_named_boilerplate(name: str, rest: str) -> bool:
+    """By a class or the id."""
+    if _whole_page(name, rest):
+        return False
+    for mark, value in MARKS.findall(rest):
+        if mark.lower() in ("class", "id"):
+            for word in value.strip("\"'").lower().split():
+                parts = set(WORDS.findall(word))
+                if not CLASS_WORDS.isdisjoint(parts) and parts <= CLASS_WORDS | CLASS_PARTS:
+                    return True
+    return False
+
+
+def _whole_page(name: str, rest: str) -> bool:
+    return name in ("body", "html", *ARTICLE) and "comment" not in rest.lower()
+
+
+def raw_end(page: str, name: str, at: int) -> int:
+    end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
+    return end.start() if end else len(page)
+
+
+def large_elements(page: str) -> set[int]:
+    """Where the elements begin that a class makes boilerplate but that have most of the page's text."""
+    opened: dict[str, list[tuple[int | None, int]]] = {}
+    inside: list[tuple[int, int]] = []
+    at = length = 0
+    while tag := TAG.search(page, at):
+        length += len(page[at : tag.start()].strip())
+        at = tag.end()
+        name = (tag["name"] or tag["name2"] or "").lower()
+        rest = tag["rest"] or tag["rest2"] or ""
+        if not name or name in VOID:
+            continue
+        if tag["close"] or tag["close2"]:
+            if opened.get(name):
+                start, before = opened[name].pop()
+                if start is not None:
+                    inside.append((start, length - before))
+        elif name in RAW:
+            at = raw_end(page, name, at)
+        elif not rest.rstrip().endswith("/"):
+            named = tag.start() if is_named_boilerplate(name, rest) else None
+            opened.setdefault(name, []).append((named, length))
+    length += len(page[at:].strip())
+    inside += [(start, length - before) for of in opened.values() for start, before in of if start is not None]
+    return {start for start, n in inside if 2 * n > length}
+
+
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, length outside links, inside the article) per line; boilerplate has no text."""
+    found, named = _lines(page, frozenset())
+    large = large_elements(page) if named else None
+    return _lines(page, large)[0] if large else found
+
+
+def _lines(page: str, spared: set[int] | frozenset[int]) -> tuple[list[tuple[str, int, bool]], bool]:
+    """The lines, and whether an element went because of its class; those at ``spared`` stay."""
     found: list[tuple[str, int, bool]] = []
     text: list[str] = []
     plain = 0  # characters outside links
     link = article = 0
+    block, link_block, within = "", "", 0  # the block begun last, that of the open link, and blocks in the link
+    named = False
     skip, depth = "", 0  # the boilerplate element that is open, and how often
     heading = False  # inside a heading of a header inside the article
 
@@ -117,8 +189,7 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
         closing = bool(tag["close"] or tag["close2"])
         rest = tag["rest"] or tag["rest2"] or ""
         if name in RAW and not closing:
-            end = re.compile(rf"</{re.escape(name)}[\s/>]", re.I).search(page, at)
-            at = end.start() if end else len(page)
+            at = raw_end(page, name, at)
             continue
         if skip:
             if article and skip == "header" and name in HEADINGS:
@@ -140,22 +211,36 @@ def lines(page: str) -> list[tuple[str, int, bool]]:
             end_line()
         elif name == "br":
             add(" ")
-        if not closing and name not in VOID and not rest.rstrip().endswith("/") and is_boilerplate(name, rest):
-            end_line()
-            skip, depth = name, 1
-        elif name in ARTICLE:
+        if not closing and name not in VOID and not rest.rstrip().endswith("/"):
+            by_name = is_named_boilerplate(name, rest) and tag.start() not in spared
+            named = named or by_name
+            if by_name or is_boilerplate(name, rest):
+                end_line()
+                skip, depth = name, 1
+                continue
+        if name in BLOCKS and name not in VOID:
+            if closing:
+                link = link if within else 0
+                within = max(0, within - 1)
+            else:
+                if not within and name == link_block and name in IMPLIED:
+                    link = 0
+                within += 1
+            block = "" if closing else name
+        if name in ARTICLE:
             article = max(0, article + (-1 if closing else 1))
         elif name == "a":
-            link = 0 if closing else 1
+            link = 0 if closing or not TARGET.search(rest) else 1
+            link_block, within = block, 0
     add(page[at:])
     end_line()
-    return found
+    return found, named
 
 
 def main_text(page: str | None, window: int = WINDOW, surge: int = SURGE) -> str:
     blocks = lines(page or "")
     if any(inside and n for _, n, inside in blocks):
-        blocks = [(text, n, True) if inside else ("", 0, False) for text, n, inside in blocks]
+        return "\n\n".join(text for text, _, inside in blocks if inside and text)
     lengths = [n for _, n, _ in blocks]
     sums = [sum(lengths[max(0, i - window + 1) : i + 1]) for i in range(len(lengths))]
     if not any(sums):

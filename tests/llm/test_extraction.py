@@ -68,3 +68,31 @@ def test_odd_pages(spark):
 @given(st.text(alphabet="<>/!-\"'= apbr\n&;#xscript", max_size=80))
 def test_any_markup_is_survived(text):
     assert isinstance(extraction.main_text(text), str)
+
+
+def test_marked_articles_keep_all_their_lines():
+    items = "".join(f'<li><a href="/{i}">Item {i}</a></li>' for i in range(5))
+    body = f"<article><h1>Title</h1><p>{PARAGRAPH}</p><ul>{items}</ul><p>End.</p></article><p>{PARAGRAPH}</p>"
+    assert extraction.main_text(page(body)).split("\n\n") == ["Title", PARAGRAPH, *[f"Item {i}" for i in range(5)], "End."]
+
+
+def test_open_links_end_with_their_block():
+    rest = [f"Line {i} of the text." for i in range(9)]
+    for link in ("<a name=x>", "<a href=x>", "<a id=x>"):
+        for open_, close in (("<p>", "</p>"), ("<p>", ""), ("<li>", "")):
+            body = f"<div>{open_}{link}{PARAGRAPH}{close}" + "".join(open_ + x + close for x in [PARAGRAPH, *rest]) + "</div>"
+            first = [] if "href" in link else [PARAGRAPH]  # a line that is a link, before the text
+            assert extraction.main_text(page(body)).split("\n\n") == [*first, PARAGRAPH, *rest]
+    cards = "".join(f"<a href={i}><div><p>{PARAGRAPH}</p></div></a>" for i in range(9))
+    assert extraction.main_text(page(f"<p>{PARAGRAPH}</p>{cards}")).count(PARAGRAPH) == 3  # links till their end
+
+
+def test_only_whole_class_words_remove_an_element():
+    for name in ("no-sidebar", "content with-sidebar", "has-ads", "promotionsfree", "download-menu-guide"):
+        body = f'<div class="{name}"><p>{PARAGRAPH}</p></div><div><p>{PARAGRAPH * 3}</p></div>'
+        assert extraction.main_text(page(body)) == f"{PARAGRAPH}\n\n{PARAGRAPH * 3}"
+    for name in ("x sidebar", "site-footer", "comment-12", "cookie_notice", "sidebar-left"):
+        body = f'<div id="{name}"><p>{PARAGRAPH}</p></div><div><p>{PARAGRAPH * 3}</p></div>'
+        assert extraction.main_text(page(body)) == PARAGRAPH * 3
+    whole = f'<div class="sidebar"><div id="widget"><p>{PARAGRAPH * 3}</p><p class="ad">{PARAGRAPH}</p></div></div>'
+    assert extraction.main_text(page(whole + "<p>x</p>")) == f"{PARAGRAPH * 3}\n\nx"
