@@ -2,8 +2,21 @@
 
 from __future__ import annotations
 
-from gaugeworks.llm import chunks, ctw, embeddings, encoding, extraction, jaccard, language, lines, packing, quality
+from gaugeworks.llm import (
+    chunks,
+    ctw,
+    embeddings,
+    encoding,
+    extraction,
+    jaccard,
+    language,
+    lines,
+    packing,
+    quality,
+    trie,
+)
 from gaugeworks.llm.common import table
+from gaugeworks.sources.shared import materialise
 
 
 def op1_hyperdimensional_language(spark, sf_dir):
@@ -47,6 +60,12 @@ def op10_line_blocks(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op13_block_trie(spark, sf_dir):
+    conversations = table(spark, sf_dir, "conversations")
+    turns = materialise(trie.numbered_turns(conversations), "turns")
+    return trie.prefix_trie(trie.rebuilt(turns), conversations)
+
+
 QUERIES = {
     name: function for name, function in list(globals().items()) if name.startswith("op")
 }
@@ -100,4 +119,45 @@ WITH RECURSIVE words AS (
 )
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op13_block_trie": f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), sizes AS (
+  SELECT conv_id, count(*) AS n FROM turns GROUP BY conv_id
+), families AS (
+  SELECT s.conv_id, s.conv_id - s.conv_id % 20 AS base,
+         xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(s.conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+               lambda v, b: list_reduce([xor(v, b)] || [0::BIGINT for i in range(8)],
+                 lambda a, z: xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END))), 4294967295) % 4 AS lent
+  FROM sizes s
+), rebuilt AS (
+  SELECT f.conv_id, place, role, text FROM families f JOIN turns t ON t.conv_id = f.base AND place <= lent
+  UNION ALL
+  SELECT f.conv_id, place - lent + least(lent, coalesce(n, 0)), role, text
+  FROM families f JOIN turns t ON t.conv_id = f.conv_id AND place > lent LEFT JOIN sizes b ON b.conv_id = f.base
+), paths AS (
+  SELECT f.conv_id, list(md5(role) || md5(text) ORDER BY place) FILTER (place IS NOT NULL) AS path,
+         list(len(list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '')) ORDER BY place)
+           FILTER (place IS NOT NULL) AS words
+  FROM families f LEFT JOIN rebuilt USING (conv_id) GROUP BY f.conv_id
+), steps AS (
+  SELECT conv_id, d AS depth, array_to_string(path[:d], '') AS node, array_to_string(path[:d - 1], '') AS parent,
+         CASE WHEN d = 0 THEN 0 ELSE words[d] END AS words, d = coalesce(len(path), 0) AS ending
+  FROM (SELECT *, unnest(range(0, coalesce(len(path), 0) + 1)) AS d FROM paths)
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, any_value(CASE WHEN depth > 0 THEN parent END) AS parent, count(*) AS n_convs,
+         (count(*) - 1) * any_value(words) AS repeated,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ending), '')) AS ends_sha256
+  FROM steps GROUP BY node, depth
+), children AS (
+  SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent
+), subtrees AS (
+  SELECT s.node, sum(n.repeated) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM nodes n LEFT JOIN children c USING (node) JOIN steps s ON s.conv_id = n.conv_id AND s.depth <= n.depth GROUP BY s.node
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children, s.leaves AS n_leaves,
+       s.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes p ON p.node = n.parent LEFT JOIN children c ON c.node = n.node JOIN subtrees s ON s.node = n.node""",
 }
