@@ -12,6 +12,7 @@ from gaugeworks.llm import (
     language,
     lines,
     packing,
+    parsing,
     quality,
     trie,
 )
@@ -60,6 +61,10 @@ def op10_line_blocks(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op12_prefix_free_parsing(spark, sf_dir):
+    return parsing.removal_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_block_trie(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations")
     turns = materialise(trie.numbered_turns(conversations), "turns")

@@ -5,7 +5,7 @@ import numpy as np
 from gaugeworks.llm import chunks, lines
 from test_jaccard import brute_force as components
 from test_lines import brute_force as without_spread_lines
-from test_quality import brute_force as measures
+from test_weak_supervision import brute_force as measures
 
 
 def quality_rules(before, after):
