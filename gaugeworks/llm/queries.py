@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from gaugeworks.llm import (
     chunks,
     ctw,
@@ -11,6 +13,7 @@ from gaugeworks.llm import (
     jaccard,
     language,
     lines,
+    negatives,
     packing,
     parsing,
     quality,
@@ -61,6 +64,12 @@ def op10_line_blocks(spark, sf_dir):
     return extraction.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_hilbert_zone_maps(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = negatives.whole_vectors(table(spark, sf_dir, "embeddings"), 256, moved, F.col("vec_id") % 100 == 0)
+    return negatives.hard_negatives(vectors)
+
+
 def op12_prefix_free_parsing(spark, sf_dir):
     return parsing.removal_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -124,6 +133,23 @@ WITH RECURSIVE words AS (
 )
 SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
 FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id""",
+    "op11_hilbert_zone_maps": """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+  SELECT a.r, a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+  FROM vectors a JOIN vectors b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT r, anchor_id, vec_id AS positive_id, score AS positive_score, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS k
+  FROM scores WHERE same QUALIFY k <= 5
+)
+SELECT p.anchor_id, positive_id, row_number() OVER (PARTITION BY p.r, k ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scores s ON s.r = p.r AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""",
     "op13_block_trie": f"""
 WITH turns AS (
   SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
