@@ -651,6 +651,7 @@ _QUERIES: dict[str, str] = {
     " meta_alfabetizacao_brasil AS meta_brasil,"
     " round(resultado_alfabetizacao - resultado_alfabetizacao_brasil, 2)"
     " AS gap_municipio_vs_brasil FROM fanout",
+    "mart_trend_integrated": "SELECT * FROM trend LEFT JOIN nation_by_year USING (ano) ORDER BY ano",
     "mart_trend": "SELECT * FROM trend LEFT JOIN nation_by_year USING (ano) ORDER BY ano",
     "mart_dashboard": "SELECT ano, id_municipio, nome_municipio, sigla_uf, nome_uf, rede,"
     " resultado_alfabetizacao AS indicador_municipio_pct, meta_alfabetizacao,"

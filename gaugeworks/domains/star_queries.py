@@ -64,6 +64,7 @@ from gaugeworks.plans.marts import (
     comparison_mart,
     dashboard_mart,
     state_mart,
+    trend_from_tables,
     trend_mart,
 )
 from gaugeworks.plans.monitor import evaluate_alarms, report_metrics
@@ -454,16 +455,17 @@ def _mart(build: Callable, by_network: bool = False) -> Query:
 
 
 def _trend(by_network: bool, spark: SparkSession, folder: str) -> DataFrame:
-    """The mart aggregates the integrated rows twice, so they are stored first."""
-    columns = [
-        LAYOUT.year,
-        LAYOUT.city,
-        LAYOUT.result,
-        LAYOUT.nation_result,
-        LAYOUT.nation_target,
-    ]
-    rows = Star(spark, folder).integrated(by_network).select(*columns)
-    return trend_mart(materialise(rows, "integrated"), LAYOUT)
+    """From the tables that would be integrated, without making integrated rows."""
+    inputs = Star(spark, folder).integration_inputs()
+    city_targets, cities, _, state_targets, national_targets = inputs
+    return trend_from_tables(
+        city_targets, cities, state_targets, national_targets, LAYOUT, by_network
+    )
+
+
+def mart_trend_integrated(spark: SparkSession, folder: str) -> DataFrame:
+    """The same mart from integrated rows."""
+    return trend_mart(Star(spark, folder).integrated(), LAYOUT)
 
 
 def mart_sql_view(spark: SparkSession, folder: str) -> DataFrame:
@@ -704,6 +706,7 @@ QUERIES: dict[str, Query] = {
     "mart_state": _mart(state_mart),
     "mart_comparison": _mart(comparison_mart),
     "mart_trend": partial(_trend, False),
+    "mart_trend_integrated": mart_trend_integrated,
     "mart_dashboard": _mart(dashboard_mart),
     "mart_city_by_network": _mart(city_mart, True),
     "mart_state_by_network": _mart(state_mart, True),

@@ -96,7 +96,8 @@ def exact_mean(column: Column) -> Column:
 
     A number is taken apart into its whole part and three steps of 2 ** -60 of what is
     left. Taking apart is exact, whole numbers add up exactly, and only the four sums
-    are rounded. The whole part may have up to 28 digits; beyond that the mean is null.
+    are rounded. The mean is null if a whole part has more than 28 digits or is infinite;
+    ``operators.means.grouped_mean`` is right for every double.
     """
     total, rest, unit = None, column, 1.0
     for _ in range(4):
@@ -104,4 +105,6 @@ def exact_mean(column: Column) -> Column:
         total = part if total is None else total + part
         rest = (rest - _truncated(rest)) * F.lit(2.0**60)
         unit *= 2.0**-60
-    return total / F.nullif(F.count(column), F.lit(0))
+    number = F.count(column)
+    fitting = F.count(_truncated(column).try_cast("decimal(28,0)"))
+    return F.when(fitting == number, total / F.nullif(number, F.lit(0)))

@@ -29,7 +29,7 @@ from gaugeworks.operators.quality import (
 )
 from gaugeworks.operators.standardise import rejected_rows, standardise_entity
 from gaugeworks.plans.concurrent import concurrently
-from gaugeworks.plans.marts import MARTS
+from gaugeworks.plans.marts import MARTS, trend_from_tables
 from gaugeworks.sources.reports import save_report, utc_now
 from gaugeworks.sources.shared import materialise, remove_folder, replace_folder
 from gaugeworks.sources.tables import publish_table, read_table, write_table
@@ -169,11 +169,21 @@ def run_integration(
     return stored
 
 
-def run_marts(integrated: DataFrame, layout: IndicatorLayout, lake: Lakehouse) -> dict:
-    """Build and store all marts, partitioned by year."""
+def run_marts(
+    integrated: DataFrame,
+    layout: IndicatorLayout,
+    lake: Lakehouse,
+    built: Mapping[str, DataFrame] | None = None,
+) -> dict:
+    """Build and store all marts, partitioned by year.
+
+    ``built`` holds marts that are made of other tables than the integrated one.
+    """
+    built = built or {}
 
     def mart(name: str) -> DataFrame:
-        return publish_table(MARTS[name](integrated, layout), lake.mart_path(name), [layout.year])
+        df = built[name] if name in built else MARTS[name](integrated, layout)
+        return publish_table(df, lake.mart_path(name), [layout.year])
 
     return concurrently(integrated.sparkSession, {name: partial(mart, name) for name in MARTS})
 
@@ -208,5 +218,7 @@ def run_lakehouse(
     tables.update(concurrently(tables[domain.states].sparkSession, jobs))
 
     tables[domain.integrated] = run_integration(tables, domain, lake, by_network)
-    tables.update(run_marts(tables[domain.integrated], layout, lake))
+    targets = (tables[domain.city_targets], tables["cities"], tables[domain.state_targets], tables[domain.national_targets])
+    trend = trend_from_tables(*targets, layout, by_network)
+    tables.update(run_marts(tables[domain.integrated], layout, lake, {"gold_evolucao_temporal": trend}))
     return tables

@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.functions.columns import exact_mean, gap, reached
+from gaugeworks.functions.columns import gap, reached
 from gaugeworks.operators.dedup import keep_one
+from gaugeworks.operators.means import grouped_mean
+from gaugeworks.sources.shared import materialise
 from gaugeworks.spec import IndicatorLayout
 
 
@@ -74,17 +76,68 @@ def trend_mart(df: DataFrame, layout: IndicatorLayout) -> DataFrame:
     ``qtd_municipios_avaliados`` counts rows, as it always did; the number of
     different cities is ``qtd_municipios_distintos``.
     """
-    cities = df.groupBy(layout.year).agg(
-        F.round(exact_mean(F.col(layout.result)), 2).alias("media_indicador_municipios"),
-        F.count(layout.city).alias("qtd_municipios_avaliados"),
-        F.count_distinct(layout.city).alias("qtd_municipios_distintos"),
-    )
     nation = df.select(
         layout.year,
         F.col(layout.nation_result).alias("resultado_brasil"),
         F.col(layout.nation_target).alias("meta_brasil"),
-    ).distinct()
-    one_per_year = keep_one(nation, [layout.year], null_keys="collapse")
+    )
+    return _trend(df.withColumn("_weight", F.lit(1)), nation, layout)
+
+
+def trend_from_tables(
+    city_targets: DataFrame,
+    cities: DataFrame,
+    state_targets: DataFrame,
+    national_targets: DataFrame,
+    layout: IndicatorLayout,
+    by_network: bool = False,
+) -> DataFrame:
+    """The same mart as ``trend_mart`` of the integrated table, without integrating.
+
+    Integration repeats a city row for every state row and every national row of its
+    keys. Here the keys' numbers of rows are counted first, and a city row weighs their
+    product. So no repeated row is made, and what is joined has one row per key.
+    """
+    network = [layout.network] if by_network else []
+    state_keys, nation_keys = [layout.state, layout.year, *network], [layout.year, *network]
+    once = lambda c: F.greatest(F.coalesce(c, F.lit(1)), F.lit(1))
+    rows = (
+        city_targets.select(layout.city, layout.year, *network, layout.result)
+        .join(cities.select(layout.city, layout.state), layout.city, "left")
+        .join(state_targets.groupBy(*state_keys).agg(F.count(F.lit(1)).alias("_states")), state_keys, "left")
+        .join(national_targets.groupBy(*nation_keys).agg(F.count(F.lit(1)).alias("_nations")), nation_keys, "left")
+        .withColumn("_weight", once(F.col("_states")) * once(F.col("_nations")))
+    )
+    nation = (
+        city_targets.select(*nation_keys)
+        .distinct()
+        .join(national_targets.select(*nation_keys, layout.result, layout.target), nation_keys, "left")
+        .select(
+            layout.year,
+            F.col(layout.result).alias("resultado_brasil"),
+            F.col(layout.target).alias("meta_brasil"),
+        )
+    )
+    return _trend(rows, nation, layout)
+
+
+def _trend(rows: DataFrame, nation: DataFrame, layout: IndicatorLayout) -> DataFrame:
+    """City rows are folded by year, city and result first, which both results start from."""
+    folded = rows.groupBy(layout.year, layout.city, layout.result).agg(F.sum("_weight").alias("_weight"))
+    folded = materialise(folded, "trend")
+    mean = grouped_mean(folded, [layout.year], layout.result, "_mean", "_values", "_weight")
+    counts = folded.groupBy(layout.year).agg(
+        F.coalesce(F.sum(F.when(F.col(layout.city).isNotNull(), F.col("_weight"))), F.lit(0)).alias("qtd_municipios_avaliados"),
+        F.count_distinct(layout.city).alias("qtd_municipios_distintos"),
+    )
+    year = F.col("_year").eqNullSafe(F.col(layout.year))
+    cities = counts.join(mean.withColumnRenamed(layout.year, "_year"), year).select(
+        layout.year,
+        F.round("_mean", 2).alias("media_indicador_municipios"),
+        "qtd_municipios_avaliados",
+        "qtd_municipios_distintos",
+    )
+    one_per_year = keep_one(nation.distinct(), [layout.year], null_keys="collapse")
     return cities.join(one_per_year, layout.year, "left").orderBy(layout.year)
 
 
