@@ -524,6 +524,20 @@ def _part_quality(part: int) -> str:
     return f"SELECT *, CAST({part} AS BIGINT) AS _batch_id FROM ({_union(rules)})"
 
 
+def _stream_quality_whole() -> str:
+    """Rules on all stored rows of the stream together."""
+    numbers = ["id_municipio", "ano", "proficiencia_saeb", "peso_aluno"]
+    return _union(
+        [
+            *_unique("dados_alunos", "stored_parts", "id_aluno, ano"),
+            *_source_rules("dados_alunos", "extracted_students", ["id_municipio", "ano"]),
+            *_missing("dados_alunos", "stored_parts", numbers),
+            _state_rule("dados_alunos", "stored_parts"),
+            _year_rule("dados_alunos", "stored_parts"),
+        ]
+    )
+
+
 _QUERIES: dict[str, str] = {
     "scan_roundtrip": "SELECT *, CAST(year(o_orderdate) AS INTEGER) AS ano FROM orders",
     "scan_csv": "SELECT * FROM customer",
@@ -555,6 +569,7 @@ _QUERIES: dict[str, str] = {
     ),
     "wide_target_resolve": f"SELECT id_municipio, ano, rede, {_own_target()} FROM raw_city_targets",
     "standardise_entity": "SELECT * FROM city_targets",
+    "audit_time": "SELECT count(*) AS registros, 0::BIGINT AS fora_do_intervalo FROM city_targets",
     "dim_state": "SELECT * FROM states",
     "dim_city": "SELECT * FROM cities",
     "targets_national": "SELECT * FROM national_targets",
@@ -662,6 +677,9 @@ _QUERIES: dict[str, str] = {
     "mart_sql_view": "SELECT ano, count(*) AS estados,"
     " count(*) FILTER (WHERE atingiu_meta_uf) AS atingiram, max(gap_meta_pct) AS maior_gap"
     " FROM state_mart WHERE sigla_uf IS NOT NULL GROUP BY ano",
+    "mart_sql_catalog": "SELECT ano, count(*) AS estados,"
+    " count(*) FILTER (WHERE atingiu_meta_uf) AS atingiram, max(gap_meta_pct) AS maior_gap"
+    " FROM state_mart WHERE sigla_uf IS NOT NULL GROUP BY ano",
     "json_decode": "SELECT CASE WHEN event_id % 100 > 1"
     " THEN TRY_CAST(regexp_extract(props, '^\\{\"k\": (-?[0-9]+)\\}$', 1) AS INTEGER) END AS k,"
     " count(*) AS eventos FROM events GROUP BY 1",
@@ -672,12 +690,25 @@ _QUERIES: dict[str, str] = {
     " (SELECT * FROM streamed EXCEPT SELECT * FROM smallest_parts))",
     "stream_merged": "SELECT * EXCLUDE (_newest) FROM newest_parts",
     "stream_quality": _union([_part_quality(part) for part in range(PARTS)]),
+    "stream_restarted": "SELECT * FROM smallest_parts",
+    "stream_compacted": "SELECT * FROM stored_parts",
+    "stream_upserted": "SELECT * EXCLUDE (_newest) FROM newest_parts",
+    "quality_incremental": _stream_quality_whole(),
     "quality_metrics": "SELECT * FROM metrics",
+    "metrics_cursor": "SELECT e.event_type AS entidade, e.ts AS reported_at,"
+    " unnest(['QualityCheckAlerts', 'PipelineRunStatus']) AS metrica,"
+    " unnest([CAST(event_id % 4 AS INTEGER), CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END])"
+    " AS valor, CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS rodada FROM events e",
     "quality_alarms": "SELECT entidade, inicio, 'Qualidade-Com-Alerta' AS alarme,"
     " highest AS estatistica, 0.0::DOUBLE AS limite, highest > 0 AS em_alarme FROM alarms"
     " WHERE metrica = 'PipelineRunStatus' UNION ALL"
     " SELECT entidade, inicio, 'Muitos-Alertas-Qualidade', summed, 3.0::DOUBLE, summed > 3"
     " FROM alarms WHERE metrica = 'QualityCheckAlerts'",
+    "alarms_stream": "SELECT entidade, inicio, 'Qualidade-Com-Alerta' AS alarme,"
+    " highest AS estatistica, 0.0::DOUBLE AS limite, highest > 0 AS em_alarme FROM alarms"
+    " WHERE metrica = 'PipelineRunStatus' UNION ALL"
+    " SELECT entidade, inicio, 'Muitos-Alertas-Qualidade', summed, 3.0::DOUBLE, summed > 3"
+    " FROM alarms WHERE metrica = 'QualityCheckAlerts'",
     "end_to_end": _union(
         [
             _count("uf", "raw_state_scores"),

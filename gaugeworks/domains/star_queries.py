@@ -5,6 +5,7 @@ Audit timestamps are left out, so results can be compared value by value.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -70,15 +71,17 @@ from gaugeworks.plans.marts import (
 from gaugeworks.plans.monitor import evaluate_alarms, report_metrics
 from gaugeworks.sources.reports import read_reports, write_documents
 from gaugeworks.sources.shared import materialise, shared_folder
+from gaugeworks.sources.snapshots import TableSet
 from gaugeworks.sources.tables import publish_table, read_table, register_views, write_table
+from gaugeworks.streaming.reports import publish_new_reports, run_alarm_stream
 from gaugeworks.streaming.students import (
-    StreamSink,
     decode_events,
     merge_batches,
     read_events,
     read_stream_table,
     start_stream,
 )
+from gaugeworks.streaming.tables import StreamSink
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -247,6 +250,20 @@ def standardise_city_targets(spark: SparkSession, folder: str) -> DataFrame:
     return Star(spark, folder).city_targets()
 
 
+def audit_time(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a stored entity, and those whose audit time is not within the run."""
+    star = Star(spark, folder)
+    spec = STAR.specs["meta_alfabetizacao_municipio"]
+    before = spark.sql("SELECT current_timestamp()").first()[0]
+    stored = materialise(standardise_entity(star.raw.raw_city_targets(), spec), "audited")
+    after = spark.sql("SELECT current_timestamp()").first()[0]
+    inside = F.col(spec.audit_column).between(F.lit(before), F.lit(after))
+    return stored.agg(
+        F.count(F.lit(1)).alias("registros"),
+        F.count_if(~F.coalesce(inside, F.lit(False))).alias("fora_do_intervalo"),
+    )
+
+
 def dim_state(spark: SparkSession, folder: str) -> DataFrame:
     return Star(spark, folder).states()
 
@@ -486,6 +503,28 @@ def mart_sql_view(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def mart_sql_catalog(spark: SparkSession, folder: str) -> DataFrame:
+    """The same query in another session, on the version that was published last."""
+    star = Star(spark, folder)
+    mart = materialise(state_mart(star.integrated(), LAYOUT), "state-mart")
+    tables = TableSet(shared_folder(spark, "published"))
+    database = f"published_{uuid.uuid4().hex}"
+    for published in (mart.where("ano < 1995"), mart):
+        tables.publish(spark, {"gold_indicador_uf": published}, {"gold_indicador_uf": ["ano"]})
+        tables.register(spark, database)
+    return spark.newSession().sql(
+        f"""
+        SELECT ano,
+               count(*) AS estados,
+               count_if(atingiu_meta_uf) AS atingiram,
+               max(gap_meta_pct) AS maior_gap
+        FROM {database}.gold_indicador_uf
+        WHERE sigla_uf IS NOT NULL
+        GROUP BY ano
+        """
+    )
+
+
 # -- streams ---------------------------------------------------------------------------
 
 
@@ -502,7 +541,9 @@ def json_decode(spark: SparkSession, folder: str) -> DataFrame:
     return decoded.groupBy("k").agg(F.count(F.lit(1)).alias("eventos"))
 
 
-def _run_stream(spark: SparkSession, folder: str) -> tuple[StreamSink, DataFrame]:
+def _run_stream(
+    spark: SparkSession, folder: str, fanout: int = 8, buckets: int = 0
+) -> tuple[StreamSink, DataFrame]:
     """Feed the students through a file stream, in ``PARTS`` micro-batches.
 
     A part arrives, the query runs over all that is new and stops; the next start goes
@@ -514,7 +555,7 @@ def _run_stream(spark: SparkSession, folder: str) -> tuple[StreamSink, DataFrame
     payloads = materialise(
         star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT), "payloads"
     )
-    sink = StreamSink(shared_folder(spark, "stream"))
+    sink = StreamSink(shared_folder(spark, "stream"), fanout, buckets)
     checkpoint = shared_folder(spark, "checkpoint")
     for part in range(PARTS):
         arrived = payloads.filter(F.col("parte") == part).select("data")
@@ -532,7 +573,7 @@ def _run_stream(spark: SparkSession, folder: str) -> tuple[StreamSink, DataFrame
 def _stream_rows(spark: SparkSession, sink: StreamSink, payloads: DataFrame) -> DataFrame:
     """All stored rows with the number of their batch."""
     schema = star_event_batch(payloads).schema
-    return read_stream_table(spark, sink, "rows", schema).drop("_stream")
+    return read_stream_table(spark, sink, "rows", schema).drop("_stream", "_order")
 
 
 def star_event_batch(payloads: DataFrame) -> DataFrame:
@@ -576,13 +617,56 @@ def stream_merged(spark: SparkSession, folder: str) -> DataFrame:
     return merge_batches(_stream_rows(spark, sink, payloads), STAR.specs["dados_alunos"])
 
 
+def stream_restarted(spark: SparkSession, folder: str) -> DataFrame:
+    """A query on a processing-time trigger that is stopped and goes on from its checkpoint."""
+    star = Star(spark, folder)
+    source, checkpoint = shared_folder(spark, "events"), shared_folder(spark, "checkpoint")
+    payloads = materialise(
+        star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT), "payloads"
+    )
+    sink = StreamSink(shared_folder(spark, "stream"))
+    for half in range(2):
+        arrived = payloads.filter(F.col("parte") % 2 == half).select("data")
+        write_table(arrived, source, mode="append")
+        events = read_events(
+            spark, "parquet", {"pathGlobFilter": "*.parquet"}, "data binary", path=source
+        )
+        query = start_stream(
+            events, sink, STAR.specs["dados_alunos"], STUDENT_EVENT, checkpoint, "1 second"
+        )
+        query.processAllAvailable()
+        query.stop()
+    rows = _stream_rows(spark, sink, payloads.select("data"))
+    return merge_batches(rows, STAR.specs["dados_alunos"], newest_first=False)
+
+
+def stream_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of all micro-batches after their parts were rewritten, two at a time."""
+    sink, payloads = _run_stream(spark, folder, fanout=2)
+    return _stream_rows(spark, sink, payloads)
+
+
+def stream_upserted(spark: SparkSession, folder: str) -> DataFrame:
+    """The merged table that every micro-batch has changed in the buckets of its keys."""
+    sink, payloads = _run_stream(spark, folder, buckets=8)
+    batch = star_event_batch(payloads)
+    schema = T.StructType([f for f in batch.schema.fields if f.name != "_silver_processed_at"])
+    return sink.read_merged(spark, schema)
+
+
+def quality_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The report on all stored rows, merged from what each micro-batch counted."""
+    sink, _ = _run_stream(spark, folder, buckets=8)
+    return sink.read_report(spark)
+
+
 def stream_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Quality rows of every micro-batch, and its rejected payloads as a rule."""
     sink, _ = _run_stream(spark, folder)
     spec = STAR.specs["dados_alunos"]
     empty = spark.createDataFrame([], STUDENT_EVENT)
     report_schema = quality_suite(standardise_entity(empty, spec), spec, source=empty).schema
-    report = read_stream_table(spark, sink, "quality", report_schema).drop("_stream")
+    report = read_stream_table(spark, sink, "quality", report_schema).drop("_stream", "_order")
     rejected = read_stream_table(
         spark, sink, "rejected", T.StructType([T.StructField("payload", T.StringType())])
     )
@@ -617,6 +701,33 @@ def quality_alarms(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate_alarms(report_metrics(_stored_reports(spark, folder)))
 
 
+def metrics_cursor(spark: SparkSession, folder: str) -> DataFrame:
+    """Reports that arrive in two runs and a third without any; metrics with the run they are from."""
+    path, checkpoint = shared_folder(spark, "reports"), shared_folder(spark, "cursor")
+    sink = StreamSink(shared_folder(spark, "metrics"))
+    reports = StarTables(spark, folder).reports()
+    runs = []
+    for run in range(3):
+        if run < 2:
+            early = F.col("status_geral") == "OK"
+            write_documents(reports.where(early if run == 0 else ~early), f"{path}/run_id={run}")
+        new = publish_new_reports(spark, path, sink, checkpoint)
+        runs.append(new.withColumn("rodada", F.lit(run)))
+    return reduce(DataFrame.unionByName, runs)
+
+
+def alarms_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Alarms kept up to date by a stream; later reports come first."""
+    path, checkpoint = shared_folder(spark, "reports"), shared_folder(spark, "cursor")
+    sink = StreamSink(shared_folder(spark, "alarms"))
+    reports = StarTables(spark, folder).reports()
+    late = F.day("reported_at") > 15
+    for run, part in enumerate((reports.where(late), reports.where(~late))):
+        write_documents(part, f"{path}/run_id={run}")
+        alarms = run_alarm_stream(spark, path, sink, checkpoint, "3660 days")
+    return alarms
+
+
 # -- everything ----------------------------------------------------------------------------
 
 
@@ -679,6 +790,7 @@ QUERIES: dict[str, Query] = {
     "dedup_latest": dedup_latest,
     "wide_target_resolve": wide_target_resolve,
     "standardise_entity": standardise_city_targets,
+    "audit_time": audit_time,
     "dim_state": dim_state,
     "dim_city": dim_city,
     "targets_national": targets_national,
@@ -714,13 +826,20 @@ QUERIES: dict[str, Query] = {
     "mart_trend_by_network": partial(_trend, True),
     "mart_dashboard_by_network": _mart(dashboard_mart, True),
     "mart_sql_view": mart_sql_view,
+    "mart_sql_catalog": mart_sql_catalog,
     "json_decode": json_decode,
     "stream_ingest": stream_ingest,
     "stream_batch_parity": stream_batch_parity,
     "stream_merged": stream_merged,
     "stream_quality": stream_quality,
+    "stream_restarted": stream_restarted,
+    "stream_compacted": stream_compacted,
+    "stream_upserted": stream_upserted,
+    "quality_incremental": quality_incremental,
     "quality_metrics": quality_metrics,
     "quality_alarms": quality_alarms,
+    "metrics_cursor": metrics_cursor,
+    "alarms_stream": alarms_stream,
     "end_to_end": end_to_end,
     "pipeline_end_to_end": pipeline_end_to_end,
 }

@@ -42,11 +42,13 @@ log = logging.getLogger(__name__)
 class Lakehouse:
     """Where tables and reports are stored, and which jobs alerts stop.
 
-    ``fail_on_alert`` holds for all entities, or for those it names.
+    ``fail_on_alert`` holds for all entities, or for those it names. Reports lie under
+    ``reports_root`` if that is given.
     """
 
     root: str
     fail_on_alert: bool | Collection[str] = False
+    reports_root: str | None = None
 
     def stops(self, entity: str) -> bool:
         if isinstance(self.fail_on_alert, bool):
@@ -64,11 +66,11 @@ class Lakehouse:
 
     @property
     def reports_dir(self) -> str:
-        return f"{self.root.rstrip('/')}/quality_reports"
+        return f"{(self.reports_root or self.root).rstrip('/')}/quality_reports"
 
     @property
     def offenders_dir(self) -> str:
-        return f"{self.root.rstrip('/')}/quality_offenders"
+        return f"{(self.reports_root or self.root).rstrip('/')}/quality_offenders"
 
 
 @dataclass(frozen=True)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from typing import Literal
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.quality import ALERT, OK
@@ -65,6 +66,16 @@ def _evaluate(metrics: DataFrame, period: str, rules: list[AlarmRule]) -> DataFr
         value = F.when(F.col("metrica") == rule.metric, F.col("valor"))
         aggregate = F.max(value) if rule.statistic == "max" else F.sum(value)
         statistics.append(aggregate.cast("double").alias(f"s{i}"))
+    return (
+        wanted.groupBy("entidade", F.window("reported_at", period).alias("w"))
+        .agg(*statistics)
+        .select("entidade", F.col("w.start").alias("inicio"), F.inline(alarm_states(rules)))
+        .filter(F.col("estatistica").isNotNull())
+    )
+
+
+def alarm_states(rules: Iterable[AlarmRule]) -> Column:
+    """Array with the state of every rule, from the statistics s0, s1 and so on."""
     states = [
         F.struct(
             F.lit(rule.name).alias("alarme"),
@@ -74,9 +85,4 @@ def _evaluate(metrics: DataFrame, period: str, rules: list[AlarmRule]) -> DataFr
         )
         for i, rule in enumerate(rules)
     ]
-    return (
-        wanted.groupBy("entidade", F.window("reported_at", period).alias("w"))
-        .agg(*statistics)
-        .select("entidade", F.col("w.start").alias("inicio"), F.inline(F.array(*states)))
-        .filter(F.col("estatistica").isNotNull())
-    )
+    return F.array(*states)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeworks.operators.quality import report_documents
+from gaugeworks.sources.shared import hadoop_path
 
 # State of a document without one, and the time in its file name.
 UNKNOWN_STATUS = "DESCONHECIDO"
@@ -51,14 +52,24 @@ def read_reports(spark: SparkSession, path: str, pretty_printed: bool = False) -
     has a time and none is left out of the alarms. ``pretty_printed`` reads files that hold one
     document over many lines.
     """
-    documents = (
-        spark.read.schema(_DOCUMENT_SCHEMA)
-        .option("multiLine", pretty_printed)
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*.json")
-        .options(**_TIME_FORMAT)
-        .json(path)
-    )
+    reader = spark.read.schema(_DOCUMENT_SCHEMA).options(**_report_options(pretty_printed))
+    return _with_defaults(reader.json(path))
+
+
+def report_stream(spark: SparkSession, path: str, pretty_printed: bool = False) -> DataFrame:
+    """The same documents as a stream of report files; the folder may not exist yet."""
+    place, files = hadoop_path(spark, path)
+    files.mkdirs(place)
+    reader = spark.readStream.schema(_DOCUMENT_SCHEMA).options(**_report_options(pretty_printed))
+    return _with_defaults(reader.json(path))
+
+
+def _report_options(pretty_printed: bool) -> dict:
+    fixed = {"recursiveFileLookup": True, "pathGlobFilter": "*.json", **_TIME_FORMAT}
+    return {"multiLine": pretty_printed, **fixed}
+
+
+def _with_defaults(documents: DataFrame) -> DataFrame:
     file_name = F.col("_metadata.file_name")
     file_time = F.regexp_replace(
         F.regexp_extract(file_name, FILE_TIME, 0), FILE_TIME, "$1-$2-$3 $4:$5:$6"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from functools import cache
 
@@ -32,7 +32,7 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/gaugeworks/{name}-{uuid.uuid4().hex}"
 
 
-def _hadoop(spark: SparkSession, path: str):
+def hadoop_path(spark: SparkSession, path: str):
     """Path and file system, whatever the file system is."""
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -40,20 +40,54 @@ def _hadoop(spark: SparkSession, path: str):
 
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of the library's own."""
-    place, files = _hadoop(spark, path)
+    place, files = hadoop_path(spark, path)
     files.delete(place, True)
 
 
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put the folder ``new`` in the place of ``path``, on one file system."""
-    source, files = _hadoop(spark, new)
-    target, _ = _hadoop(spark, path)
+    source, files = hadoop_path(spark, new)
+    target, _ = hadoop_path(spark, path)
     files.delete(target, True)
     files.mkdirs(target.getParent())
     if not files.rename(source, target):
         raise OSError(f"{new} could not be renamed to {path}")
 
 
+_RECORDS: list[list[str]] = []
+
+
+def _recorded(path: str) -> None:
+    for record in _RECORDS:
+        record.append(path)
+
+
+@contextmanager
+def recorded_intermediates() -> Iterator[list[str]]:
+    """The folders of all tables that are materialised while the block runs.
+
+    Whoever stores the result of the block can remove them afterwards: nothing else reads them.
+    """
+    record: list[str] = []
+    _RECORDS.append(record)
+    try:
+        yield record
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not record]
+
+
+def stored_alone(spark: SparkSession, build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """The result of ``build``, stored, after the tables that it made on its way are removed."""
+    with recorded_intermediates() as record:
+        result = build()
+        path = shared_folder(spark, name)
+        result.write.parquet(path)
+    for folder in record:
+        remove_folder(spark, folder)
+    _recorded(path)
+    return spark.read.schema(result.schema).parquet(path).select(*result.columns)
+
+
 @contextmanager
 def staged(df: DataFrame, name: str) -> Iterator[DataFrame]:
     """``df`` stored in the shared folder while the block runs, and removed afterwards."""
@@ -75,6 +109,7 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     """
     spark = df.sparkSession
     path = shared_folder(spark, name)
+    _recorded(path)
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

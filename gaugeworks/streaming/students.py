@@ -1,14 +1,13 @@
 """Assessment events arriving as a stream.
 
-Micro-batches go through the same cleaning and the same rules as the batch
-table. Every micro-batch owns a folder, which a replay after a failure replaces,
-so the stored rows are exactly-once although the callback may run twice.
+Micro-batches go through the same cleaning and the same rules as the batch table. A
+batch becomes visible with one version of the sink, and a batch that a version has is not
+stored again, so rows are exactly-once although the callback may run twice.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,9 +18,10 @@ from pyspark.sql.streaming import StreamingQuery
 from gaugeworks.operators.dedup import keep_one
 from gaugeworks.operators.quality import quality_suite
 from gaugeworks.operators.standardise import rejected_rows, standardise_entity
+from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.sources.shared import staged
-from gaugeworks.sources.tables import write_table
 from gaugeworks.spec import EntitySpec
+from gaugeworks.streaming.tables import ORIGIN, StreamSink, newest_rows
 
 CORRUPT = "_corrupt_record"
 DEFAULT_TRIGGER = "60 seconds"
@@ -58,23 +58,6 @@ def decode_events(
     return raw.select(F.inline(F.array(event)))
 
 
-@dataclass(frozen=True)
-class StreamSink:
-    """Storage of streams: rows, quality rows, rejected payloads and rejected rows.
-
-    A batch is named by the persistent id of its query and its number, so a query that
-    starts over with a new checkpoint never replaces batches of the old one.
-    """
-
-    root: str
-
-    def batch_path(self, kind: str, stream: str, batch_id: int) -> str:
-        return f"{self.kind_path(kind)}/_stream={stream}/_batch_id={batch_id}"
-
-    def kind_path(self, kind: str) -> str:
-        return f"{self.root.rstrip('/')}/{kind}"
-
-
 def query_id(spark: SparkSession, checkpoint: str) -> str:
     """Persistent id of a query, which its checkpoint holds from the first start on."""
     return spark.read.json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
@@ -93,24 +76,29 @@ def store_micro_batch(
 
     The decoded events feed several tables, so they are stored in the shared folder for
     the time of the batch. Rules are measured on the stored rows, and on the decoded
-    events where cleaning drops rows. No foreign keys are checked here.
+    events where cleaning drops rows. No foreign keys are checked here. All tables of
+    the batch, the merged table and the state of the rules change in one version.
     """
     spark = raw.sparkSession
-
-    def path(kind: str) -> str:
-        return sink.batch_path(kind, stream, batch_id)
-
+    batch = sink.batch(spark, stream, batch_id)
+    if batch is None:
+        return
     with staged(decode_events(raw, schema, payload, corrupt=CORRUPT), "events") as decoded:
         events = decoded.drop(CORRUPT).where(F.col(CORRUPT).isNull() | _has_values(schema))
+        rejected = decoded.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("payload"))
         clean = standardise_entity(events, spec)
-        write_table(clean, path("rows"), spec.partition_by)
-        rejected = decoded.filter(F.col(CORRUPT).isNotNull())
-        rejected.select(F.col(CORRUPT).alias("payload")).write.mode("overwrite").parquet(
-            path("rejected")
+        concurrently(
+            spark,
+            {
+                "rows": lambda: batch.write("rows", clean, spec.partition_by),
+                "rejected": lambda: batch.write("rejected", rejected),
+                "rejected_rows": lambda: batch.write("rejected_rows", rejected_rows(events, spec)),
+            },
         )
-        write_table(rejected_rows(events, spec), path("rejected_rows"))
-        stored = spark.read.schema(clean.schema).parquet(path("rows"))
-        write_table(quality_suite(stored, spec, source=events), path("quality"))
+        stored = spark.read.schema(clean.schema).parquet(batch.folder("rows"))
+        batch.write("quality", quality_suite(stored, spec, source=events))
+        batch.commit(spec, stored.drop(spec.audit_column), events)
+    sink.compact(spark, {"rows": spec.partition_by})
 
 
 def _has_values(schema: T.StructType) -> Column:
@@ -146,10 +134,12 @@ def start_stream(
 def read_stream_table(
     spark: SparkSession, sink: StreamSink, kind: str, schema: T.StructType
 ) -> DataFrame:
-    """All stored micro-batches, with the stream and batch they came from."""
-    origin = [T.StructField("_stream", T.StringType()), T.StructField("_batch_id", T.LongType())]
-    full = T.StructType([*schema.fields, *origin])
-    return spark.read.schema(full).parquet(sink.kind_path(kind)).select(*full.names)
+    """All stored micro-batches at the last version, with the stream and batch they came from.
+
+    ``_order`` tells the order of batches over all streams: streams in the order of their
+    first start, then batches by number.
+    """
+    return sink.read(spark, kind, schema)
 
 
 def merge_batches(
@@ -162,15 +152,16 @@ def merge_batches(
 
     Micro-batches only lose their own duplicates; a student in two of them, or in the
     stream and in the batch table, is stored twice. Here the newest batch wins, the batch
-    table comes before all of them, and ties go to the smallest row. Without
-    ``newest_first`` the choice is the batch path's, so the result equals that of one
-    batch over all events.
+    table comes before all of them, and ties go to the smallest row. Batches follow by
+    ``_order``, or by number if there is no such column. Without ``newest_first`` the choice is
+    the batch path's, so the result equals that of one batch over all events.
     """
-    columns = [c for c in streamed.columns if c not in ("_stream", "_batch_id", spec.audit_column)]
-    rows = streamed.select(*columns, F.col("_batch_id").alias("_newest"))
+    columns = [c for c in streamed.columns if c not in (*ORIGIN, spec.audit_column)]
+    order = "_order" if "_order" in streamed.columns else "_batch_id"
+    rows = streamed.select(*columns, F.col(order).alias("_newest"))
     if batch is not None:
         rows = rows.unionByName(batch.select(*columns, F.lit(-1).cast("long").alias("_newest")))
-    whole = rows.groupBy(*columns).agg(F.max("_newest").alias("_newest"))
     if not newest_first:
-        return keep_one(whole.drop("_newest"), spec.dedup_keys, spec.latest_by, spec.mandatory)
-    return keep_one(whole, spec.dedup_keys, "_newest", spec.mandatory).drop("_newest")
+        whole = rows.drop("_newest").distinct()
+        return keep_one(whole, spec.dedup_keys, spec.latest_by, spec.mandatory)
+    return newest_rows(rows, spec).drop("_newest")
