@@ -10,9 +10,14 @@ the threshold uses its largest sum instead.
 
 A class or id makes an element boilerplate if one of its whole words is known as such,
 alone or joined with words that say no more than where or what part (``site-header``,
-but not ``no-sidebar``), and never an element with more than half of the page's text.
+but not ``no-sidebar``), and never an element with more than half of the text of a page
+that marks no article outside of it.
 An anchor without a target is no link, and a link ends with the block it stands in.
 
+A boilerplate element lasts until its own end, the end of an element around it, or the end
+of the page; an article in it is no article of the page (a reader's comment, a teaser),
+unless the element has no end of its own and the article follows.
+
 Null and empty pages have an empty text. Unclosed elements end with the page; a cut
 tag at the end is dropped. Repeated pages are kept. A page is worked on alone, in one
 pass over its tags.
@@ -42,10 +47,12 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 BOILERPLATE = frozenset(
-    "aside button datalist dialog fieldset footer form head header input label menu nav object "
+    "aside button datalist dialog fieldset footer form head header input menu nav object "
     "option select svg audio video canvas".split()
 )
 ARTICLE = frozenset(("article", "main"))
+#: Elements whose end also ends what was left open in them.
+CONTAINERS = frozenset("article aside body div footer form header main nav section table".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 CLASS_WORDS = frozenset(
     "ad ads adbox adslot advert adverts advertisement advertising banner breadcrumb breadcrumbs "
@@ -67,14 +74,16 @@ ROLES = frozenset(
     "alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split()
 )
 
+#: A quote opens a value after an equals sign only; a value without quotes ends at white space.
+VALUE = r"""(?:"[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""
 TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    rf"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[\s/]+|=?[^\s/>=]+(?:\s*=\s*{VALUE}?)?|=)*+)>"
     r"|<(?P<close2>/?)(?P<name2>[a-zA-Z][^\s/>]*)(?P<rest2>[^>]*)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.DOTALL,
 )
-MARKS = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?![\w-])\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
+MARKS = re.compile(r"(?<![\w-])(class|id|role|hidden|aria-hidden)(?![\w-])\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>][^\s>]*))?", re.I)
 TARGET = re.compile(r"(?<![\w-])href\s*=", re.I)
 WORDS = re.compile(r"[a-z]{2,}")
 
@@ -117,6 +126,26 @@ def raw_end(page: str, name: str, at: int) -> int:
     return end.start() if end else len(page)
 
 
+def closed_elements(page: str) -> dict[int, int]:
+    """Where boilerplate elements with an end of their own begin and end, names matched from the inside."""
+    opened: dict[str, list[int]] = {}
+    found: dict[int, int] = {}
+    at = 0
+    while tag := TAG.search(page, at):
+        at = tag.end()
+        name = (tag["name"] or tag["name2"] or "").lower()
+        if not name or name in VOID:
+            continue
+        if tag["close"] or tag["close2"]:
+            if opened.get(name):
+                found[opened[name].pop()] = tag.start()
+        elif name in RAW:
+            at = raw_end(page, name, at)
+        elif not (tag["rest"] or tag["rest2"] or "").rstrip().endswith("/"):
+            opened.setdefault(name, []).append(tag.start())
+    return found
+
+
 def large_elements(page: str) -> set[int]:
     """Where the elements begin that a class makes boilerplate but that have most of the page's text."""
     opened: dict[str, list[tuple[int | None, int]]] = {}
@@ -147,6 +176,8 @@ def large_elements(page: str) -> set[int]:
 def lines(page: str) -> list[tuple[str, int, bool]]:
     """(text, length outside links, inside the article) per line; boilerplate has no text."""
     found, named = _lines(page, frozenset())
+    if any(inside and n for _, n, inside in found):
+        return found
     large = large_elements(page) if named else None
     return _lines(page, large)[0] if large else found
 
@@ -159,7 +190,10 @@ def _lines(page: str, spared: set[int] | frozenset[int]) -> tuple[list[tuple[str
     link = article = 0
     block, link_block, within = "", "", 0  # the block begun last, that of the open link, and blocks in the link
     named = False
-    skip, depth = "", 0  # the boilerplate element that is open, and how often
+    skip, depth, began = "", 0, 0  # the boilerplate element that is open, how often, and where it began
+    around: dict[str, int] = {}  # containers that are open, and inside of a boilerplate element
+    inner: dict[str, int] = {}
+    ends: dict[int, int] | None = None
     heading = False  # inside a heading of a header inside the article
 
     def end_line() -> None:
@@ -201,11 +235,23 @@ def _lines(page: str, spared: set[int] | frozenset[int]) -> tuple[list[tuple[str
                     end_line()
                     skip, heading = "", False
                     found.append(("", 0, article > 0))
-            elif name in ARTICLE and not closing and not article:  # never closed before
+            elif name in ARTICLE and not closing and not article:
+                ends = closed_elements(page) if ends is None else ends
+                if ends.get(began, 0) > tag.start():
+                    inner[name] = inner.get(name, 0) + 1
+                else:  # the element was never closed
+                    skip, depth, heading = "", 0, False
+                    article = 1
+                    around[name] = around.get(name, 0) + 1
+            elif name in CONTAINERS and not closing:
+                inner[name] = inner.get(name, 0) + 1
+            elif name in CONTAINERS and inner.get(name):
+                inner[name] -= 1
+            elif name in CONTAINERS and around.get(name) and skip != "head":
+                end_line()
                 skip, depth, heading = "", 0, False
-                article = 1
-            elif name in ("article", "body") and closing and skip not in ("head",):
-                skip, depth, heading, article = "", 0, False, 0
+                around[name] -= 1
+                article = max(0, article - 1) if name in ARTICLE else article
             continue
         if name in BLOCKS:
             end_line()
@@ -216,7 +262,7 @@ def _lines(page: str, spared: set[int] | frozenset[int]) -> tuple[list[tuple[str
             named = named or by_name
             if by_name or is_boilerplate(name, rest):
                 end_line()
-                skip, depth = name, 1
+                skip, depth, began, inner = name, 1, tag.start(), {}
                 continue
         if name in BLOCKS and name not in VOID:
             if closing:
@@ -227,6 +273,8 @@ def _lines(page: str, spared: set[int] | frozenset[int]) -> tuple[list[tuple[str
                     link = 0
                 within += 1
             block = "" if closing else name
+        if name in CONTAINERS:
+            around[name] = max(0, around.get(name, 0) + (-1 if closing else 1))
         if name in ARTICLE:
             article = max(0, article + (-1 if closing else 1))
         elif name == "a":

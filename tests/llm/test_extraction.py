@@ -96,3 +96,41 @@ def test_only_whole_class_words_remove_an_element():
         assert extraction.main_text(page(body)) == PARAGRAPH * 3
     whole = f'<div class="sidebar"><div id="widget"><p>{PARAGRAPH * 3}</p><p class="ad">{PARAGRAPH}</p></div></div>'
     assert extraction.main_text(page(whole + "<p>x</p>")) == f"{PARAGRAPH * 3}\n\nx"
+
+
+def test_quotes_open_values_after_an_equals_sign_only():
+    body = "<article><p>Start.</p><img alt=Bob's><p>middle</p><p>It's the end</p></article>"
+    assert extraction.main_text(page(body)).split("\n\n") == ["Start.", "middle", "It's the end"]
+    body = f"<article><p title='it's'>one</p><p>two</p><p>it's three</p><p class=x'y data-a=\"q>r\">{PARAGRAPH}</p></article>"
+    assert extraction.main_text(page(body)).split("\n\n") == ["one", "two", "it's three", PARAGRAPH]
+
+
+def test_articles_in_comments_and_asides_are_not_of_the_page():
+    comments = (
+        f'<div id=comments><ul><li class=comment><article class="comment-body"><p>{PARAGRAPH}</p></article></li>'
+        f"<li><article><p>{PARAGRAPH}</p></article></li></ul></div>"
+    )
+    main = f"<article><h1>T</h1><p>{PARAGRAPH}</p></article>"
+    teaser = f"<aside><article><h3>Other</h3><p>{PARAGRAPH}</p></article></aside>"
+    for body in (main + comments, teaser + main + comments, f"<div>{teaser}{main}</div>{comments}", main + f'<article class="comment">{PARAGRAPH}</article>'):
+        assert extraction.main_text(page(body)) == f"T\n\n{PARAGRAPH}"
+    # an element around it ends one that was left open
+    body = f"<div><div class=ad>x</div><nav><ul><li>menu</div><article><p>{PARAGRAPH}</p></article>"
+    assert extraction.main_text(page(body)) == PARAGRAPH
+
+
+def test_labels_in_prose_stay():
+    body = f"<article><p>Press the <label>red</label> key. {PARAGRAPH}</p><form><label>Name</label></form></article>"
+    assert extraction.main_text(page(body)) == f"Press the red key. {PARAGRAPH}"
+
+
+def test_pages_without_article_tags_still_give_the_text(spark, small):
+    """Recall and precision of the surge and dive points, by lines, against the marked articles."""
+    hits = got = want = 0
+    for row in table(spark, small, "pages").collect():
+        marked = extraction.main_text(row.html).split("\n\n")
+        plain = extraction.main_text(re.sub(r"</?article[^>]*>", "", row.html)).split("\n\n")
+        hits += len(set(marked) & set(plain))
+        want += len(set(marked))
+        got += len(set(plain))
+    assert hits / want > 0.9 and hits / got > 0.9, (hits / want, hits / got)
