@@ -394,9 +394,11 @@ def near_duplicates(
     classes = materialise(
         rows.where(able)
         .groupBy("label", key.alias("key"), "vector")
-        .agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("n")),
+        .agg(F.min(F.col("vec_id").cast("long")).alias("first"), F.count(F.lit(1)).alias("n"))
+        # a number of its own, as ids may be repeated
+        .withColumn("class", F.monotonically_increasing_id()),
         "classes",
-    ).withColumn("class", F.col("class").cast("long"))
+    )
     leaves = materialise(forest(classes, cosine, trees, leaf), "leaves")
     of_class = leaves.groupBy("class").agg(
         F.sort_array(F.collect_set("node")).alias("leaves")
@@ -417,14 +419,21 @@ def near_duplicates(
     )
     links = found.groupBy("class").agg(F.sum("links").alias("links"))
     edges = found.where("class <> root").select(F.col("class").alias("a"), F.col("root").alias("b"))
-    groups = components(edges, "vectors").withColumnRenamed("id", "class")
+    groups = materialise(components(edges, "vectors").withColumnRenamed("id", "class"), "groups")
+    smallest = (
+        groups.join(classes.select("class", "first"), "class")
+        .groupBy("component")
+        .agg(F.min("first").alias("smallest"))
+    )
+    # stored on both sides, so that the join can split a component with a large share of the classes
+    named = groups.join(materialise(smallest, "smallest"), "component").select("class", "smallest")
     linked = materialise(
-        classes.join(links, "class", "left").join(groups, "class", "left").select(
+        classes.join(links, "class", "left").join(named, "class", "left").select(
             "label",
             "key",
             "vector",
             (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "class").alias("component"),
+            F.coalesce("smallest", "first").alias("component"),
         ),
         "linked",
     )

@@ -119,3 +119,11 @@ def test_leaves_compared_in_blocks_equal_brute_force(spark, monkeypatch):
         rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(near)]
         frame = spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)
         assert results(embeddings.near_duplicates(frame, leaf=32, trees=2)) == brute_force(rows)
+
+
+def test_repeated_ids_are_vectors_of_their_own(spark):
+    x, y = [1.0, 0.1, 0.0], [0.0, 0.1, 1.0]
+    rows = [(1, x, 1), (1, y, 1), (2, x, 1), (3, [0.0, 0.11, 1.0], 1), (1, x, 2), (5, [0.0, 1.0, 0.0], 1)]
+    found = embeddings.near_duplicates(spark.createDataFrame([(*r, "x") for r in rows], SCHEMA)).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found)
+    assert got == [(1, 0, 1, True), (1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False), (5, 0, 5, True)]
