@@ -55,6 +55,13 @@ def map_batches(
     return df.mapInArrow(run, kinds)
 
 
+def arrow_rows(columns: dict, rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """Columns of equal length as Arrow batches of limited length."""
+    arrays = [pa.array(c) for c in columns.values()]
+    for at in range(0, len(arrays[0]), rows):
+        yield pa.RecordBatch.from_arrays([a.slice(at, rows) for a in arrays], list(columns))
+
+
 def arrow_schema(schema) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

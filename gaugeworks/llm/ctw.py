@@ -9,14 +9,18 @@ the training texts. The probability of a decision is the weighted mixture along
 path. Contexts without training data have no say.
 
 Counts of all (context, byte) pairs of the corpus come from one pass and a Spark
-aggregation. The model itself has a fixed capacity: at most ``MAX_PAIRS`` pairs. Where
-the corpus has more, contexts with the smallest counts are leaves no longer; their
-data then counts in the shorter context they end in. So the model that is sent to the
-tasks is bounded, and every position of every text is scored.
-
-The unigram base needs exact counts of all words. The ``MAX_WORDS_SENT`` most frequent
-words, which are most positions, are counted from a bounded table; the positions of
-all others are joined to the full table of counts. Words are compared by 64-bit hashes.
+aggregation, and all of them are in the model, so it grows with the corpus. The tree is
+worked out in parts: a part is everything below a context of ``TOP + 1`` bytes, at most
+2^24 pairs, and its task needs nothing else. A first pass over the parts adds up how well
+they code, for each context of ``TOP`` bytes; these contexts, at most 2^16 whatever the
+corpus, are weighed on the driver; a second pass gives every pair its probability. Pairs
+that only texts not learnt from have are among them with count 0: they get a probability,
+but change none.
+
+The ``MAX_PAIRS_SENT`` most frequent pairs and ``MAX_WORDS_SENT`` most frequent words,
+which are most positions, are looked up in a bounded table; the positions of all others
+are joined to the full tables. So the bounds move work, not results. The unigram base
+compares words by 64-bit hashes.
 
 Null and empty texts are one end. Repeated rows count as often as they occur. With
 nothing to learn from, every byte has probability 1/256.
@@ -25,7 +29,7 @@ nothing to learn from, every byte has probability 1/256.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -34,17 +38,20 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import id_remainder, map_batches, words
+from gaugeworks.llm.common import arrow_rows, id_remainder, map_batches, words
 from gaugeworks.llm.encoding import chunks
 from gaugeworks.sources.shared import materialise
 
 DEPTH = 5
-MAX_PAIRS = 1 << 21
+TOP = 2
+MAX_PAIRS_SENT = 1 << 21
 MAX_WORDS_SENT = 1 << 18
-WORDS_IN_TASK = 500_000
+WORDS_IN_TASK = 250_000
+PAIRS_IN_TASK = 1_000_000
+CHARACTERS_AT_ONCE = 1_000_000
+PART_ROWS = 300_000
 END = b"\n"
 PAIR, WORD = 0, 1
-DEPTH_SHIFT = 8 * (DEPTH + 1)
 
 
 def stream_keys(streams: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +89,7 @@ def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Level:
-    """Decisions on one bit in all contexts of one depth, sorted by number.
+    """Decisions in all contexts of one depth, sorted by number.
 
     ``number`` holds the context above the first bits of the byte, which a one marks;
     ``of_pair`` says where the decision of each pair is.
@@ -106,70 +113,134 @@ def decisions(keys: np.ndarray, counts: np.ndarray, bits: int) -> Level:
     return Level(number[first], zeros, ones, np.cumsum(begin) - 1)
 
 
-def mixture(pairs: list[tuple[np.ndarray, np.ndarray]]) -> list[np.ndarray]:
-    """log10 probability of every pair, where its context is the longest; by depth.
+def shorter(number: np.ndarray, depth: int) -> np.ndarray:
+    """The same decisions in contexts of ``depth`` bytes, their farthest byte left out."""
+    return ((number >> 8) & ((1 << 8 * (depth - 1)) - 1)) << 8 | (number & 255)
 
-    ``pairs`` has the sorted keys and training counts of each depth, from 0 on; the
-    contexts of a depth are among those of the depth before, prolonged by one byte.
-    Decisions on different bits have trees of their own, so one bit is done at a time.
-    """
-    scores = [np.zeros(len(k)) for k, _ in pairs]
-    for bits in range(8):
-        levels = [decisions(k, n, bits) for k, n in pairs]
-        for depth, one in enumerate(_ended(levels)):
-            keys, at = pairs[depth][0], levels[depth].of_pair
-            scores[depth] += np.log10(np.where((keys >> (7 - bits)) & 1, one[at], 1 - one[at]))
-    return scores
-
-
-def _ended(levels: list[Level]) -> list[np.ndarray]:
-    """Probability of a one for every decision, where its context is the longest; by depth."""
-
-    def parents(depth: int) -> np.ndarray:
-        number = levels[depth].number
-        shorter = ((number >> 8) & ((1 << 8 * (depth - 1)) - 1)) << 8 | (number & 255)
-        return np.searchsorted(levels[depth - 1].number, shorter)
-
-    weight: list[np.ndarray] = [np.empty(0)] * len(levels)
-    below = None
-    for depth in reversed(range(len(levels))):
-        level = levels[depth]
-        own = log_estimate(level.zeros, level.ones)
-        if below is None:
-            weight[depth], total = np.ones(len(own)), own
-        else:
-            up, zeros, ones, child = below
-            split, left0, left1 = np.zeros(len(own)), level.zeros.copy(), level.ones.copy()
-            np.add.at(split, up, child)
-            np.subtract.at(left0, up, zeros)
-            np.subtract.at(left1, up, ones)
-            split += log_estimate(left0, left1)  # data of contexts the model has no room for
+
+def by_depth(keys: np.ndarray, counts: np.ndarray, depths: range) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Sorted keys and counts of the pairs in their contexts of each depth.
+
+    ``keys`` are sorted and have contexts of the last depth."""
+    out = [(keys, counts)]
+    for depth in reversed(depths[:-1]):
+        keys, where = np.unique(keys & ((1 << 8 * (depth + 1)) - 1), return_inverse=True)
+        counts = np.bincount(where, counts, len(keys)).astype(np.int64)
+        out.append((keys, counts))
+    return out[::-1]
+
+
+def weigh(
+    levels: list[Level], depths: range, split: np.ndarray | None = None
+) -> tuple[list[np.ndarray], np.ndarray, list[np.ndarray]]:
+    """Weights of the own estimates, totals of the first depth, and parents; by depth.
+
+    ``split`` is what longer contexts make of the data of the last depth, if there are any."""
+    weights: list[np.ndarray] = [np.empty(0)] * len(levels)
+    parents: list[np.ndarray] = [np.empty(0, np.int64)] * len(levels)
+    for k in reversed(range(len(levels))):
+        total = own = log_estimate(levels[k].zeros, levels[k].ones)
+        weights[k] = np.ones(len(own))
+        if split is not None:
             total = np.logaddexp(own, split) - np.log(2)
-            weight[depth] = np.exp(np.minimum(0.0, own - np.log(2) - total))
-        if depth:
-            below = (parents(depth), level.zeros, level.ones, total)
-    out: list[np.ndarray] = []
-    mixed, left = np.zeros(1), np.ones(1)
-    for depth, level in enumerate(levels):
+            weights[k] = np.exp(np.minimum(0.0, own - np.log(2) - total))
+        if k:
+            above = levels[k - 1].number
+            parents[k] = np.searchsorted(above, shorter(levels[k].number, depths[k]))
+            split = np.bincount(parents[k], total, len(above))
+    return weights, total, parents
+
+
+@dataclass
+class Mixed:
+    """Of decisions: the mixture so far, the weight that is left, and the probability of a
+    one where the context is the longest."""
+
+    sum: np.ndarray
+    left: np.ndarray
+    one: np.ndarray
+
+    def take(self, at: np.ndarray) -> Mixed:
+        return Mixed(self.sum[at], self.left[at], self.one[at])
+
+    def below(self, level: Level, weight: np.ndarray) -> Mixed:
+        """One byte further; ``self`` is aligned with ``level``."""
         seen = level.zeros + level.ones
         estimate = (level.ones + 0.5) / (seen + 1)
-        if depth:
-            up = parents(depth)
-            mixed, left, before = mixed[up], left[up], out[-1][up]
-        else:
-            mixed, left = np.zeros(len(seen)), np.ones(len(seen))
-            before = np.full(len(seen), 0.5)
-        out.append(np.where(seen > 0, mixed + left * estimate, before))
-        share = np.where(seen > 0, weight[depth], 0.0)
-        mixed, left = mixed + left * share * estimate, left * (1 - share)
-    return out
+        share = np.where(seen > 0, weight, 0.0)
+        one = np.where(seen > 0, self.sum + self.left * estimate, self.one)
+        return Mixed(self.sum + self.left * share * estimate, self.left * (1 - share), one)
+
+
+def start(size: int) -> Mixed:
+    return Mixed(np.zeros(size), np.ones(size), np.full(size, 0.5))
+
+
+PART_DEPTHS = range(TOP + 1, DEPTH + 1)
+TOP_DEPTHS = range(TOP + 1)
+
+
+def code_lengths(keys: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+    """Of whole parts, for each decision in a context of ``TOP`` bytes: its counts, and
+    how well the longer contexts code its data."""
+    pairs = by_depth(keys, counts, PART_DEPTHS)
+    found = []
+    for bits in range(8):
+        levels = [decisions(k, n, bits) for k, n in pairs]
+        _, total, _ = weigh(levels, PART_DEPTHS)
+        number, at = np.unique(shorter(levels[0].number, TOP + 1), return_inverse=True)
+        sums = [np.bincount(at, x, len(number)) for x in (levels[0].zeros, levels[0].ones, total)]
+        found.append((number, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2]))
+    columns = [np.concatenate(c) for c in zip(*found, strict=True)]
+    return dict(zip(("number", "zeros", "ones", "split"), columns, strict=True))
+
+
+def mix_top(number: np.ndarray, zeros: np.ndarray, ones: np.ndarray, split: np.ndarray) -> Mixed:
+    """The mixtures of all decisions in contexts of ``TOP`` bytes, which are sorted."""
+    levels = [Level(number, zeros.astype(float), ones.astype(float), np.empty(0))]
+    for depth in reversed(TOP_DEPTHS[1:]):
+        above, at = np.unique(shorter(levels[0].number, depth), return_inverse=True)
+        sums = [np.bincount(at, x, len(above)) for x in (levels[0].zeros, levels[0].ones)]
+        levels.insert(0, Level(above, *sums, np.empty(0)))
+    weights, _, parents = weigh(levels, TOP_DEPTHS, split)
+    mixed = start(len(levels[0].number)).below(levels[0], weights[0])
+    for level, weight, parent in list(zip(levels, weights, parents, strict=True))[1:]:
+        mixed = mixed.take(parent).below(level, weight)
+    return mixed
+
+
+def probabilities(keys: np.ndarray, counts: np.ndarray, number: np.ndarray, top: Mixed) -> np.ndarray:
+    """log10 probability of every pair of whole parts; ``top`` has the decisions ``number``."""
+    pairs = by_depth(keys, counts, PART_DEPTHS)
+    score = np.zeros(len(keys))
+    for bits in range(8):
+        levels = [decisions(k, n, bits) for k, n in pairs]
+        weights, _, parents = weigh(levels, PART_DEPTHS)
+        parents[0] = np.searchsorted(number, shorter(levels[0].number, TOP + 1))
+        mixed = top
+        for level, weight, parent in zip(levels, weights, parents, strict=True):
+            mixed = mixed.take(parent).below(level, weight)
+        one = mixed.one[levels[-1].of_pair]
+        score += np.log10(np.where((keys >> (7 - bits)) & 1, one, 1 - one))
+    return score
 
 
 class Table:
-    """Values by whole numbers, in open addressing, looked up by the million."""
+    """Values by whole numbers, in open addressing, looked up by the million.
+
+    Tasks are sent ``arrays()`` and make a table ``of_arrays``."""
 
     FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
+    @classmethod
+    def of_arrays(cls, keys: np.ndarray, values: np.ndarray) -> Table:
+        table = cls.__new__(cls)
+        table.bits, table.keys, table.values = len(keys).bit_length() - 1, keys, values
+        return table
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        return self.keys, self.values
+
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.bits = max(4, (3 * len(keys) // 2).bit_length())
         self.keys = np.full(1 << self.bits, -1, np.int64)
@@ -215,13 +286,8 @@ def gather(documents: DataFrame, text: str, learn: str) -> DataFrame:
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-            for at in range(0, len(keys), 100_000):
-                part = slice(at, at + 100_000)
-                kinds = np.full(len(keys[part]), kind, np.int8)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(kinds), pa.array(keys[part]), pa.array(n[part].astype(np.int64))],
-                    ["kind", "key", "n"],
-                )
+            kinds = np.full(len(keys), kind, np.int8)
+            yield from arrow_rows({"kind": kinds, "key": keys, "n": n.astype(np.int64)})
 
         def word_rows() -> Iterator[pa.RecordBatch]:
             keys = np.array([xxhash.xxh3_64_intdigest(w) for w in found], np.uint64).view(np.int64)
@@ -235,7 +301,7 @@ def gather(documents: DataFrame, text: str, learn: str) -> DataFrame:
         for batch in batches:
             learnt = batch.column(1).to_pylist()
             at = 0
-            for texts in chunks(batch.column(0).to_pylist()):
+            for texts in chunks(batch.column(0).to_pylist(), CHARACTERS_AT_ONCE):
                 split = [words(t) for t in texts]
                 use = np.array(learnt[at : at + len(texts)], bool)
                 at += len(texts)
@@ -248,11 +314,12 @@ def gather(documents: DataFrame, text: str, learn: str) -> DataFrame:
                 held.append(np.unique(keys[kept], return_counts=True))
                 other = np.unique(keys[~kept])
                 held.append((other, np.zeros(len(other), np.int64)))
+                del keys, text_of, kept, split
                 if len(found) > WORDS_IN_TASK:
                     yield from word_rows()
-                if sum(len(k) for k, _ in held) > 3_000_000:
+                if sum(len(k) for k, _ in held[1:]) > PAIRS_IN_TASK:
                     held[:] = [merged()]
-                    if len(held[0][0]) > 2_000_000:
+                    if len(held[0][0]) > PAIRS_IN_TASK:
                         yield from rows(PAIR, *held.pop())
         yield from word_rows()
         if held:
@@ -267,108 +334,105 @@ def gather(documents: DataFrame, text: str, learn: str) -> DataFrame:
     return materialise(counted.where((F.col("kind") == PAIR) | (F.col("n") > 0)), "gathered")
 
 
-def retained(counted: DataFrame, max_pairs: int) -> DataFrame:
-    """(depth, key, n) of all pairs whose context has training data and room in the model."""
+def map_parts(pairs: DataFrame, function: Callable, schema: str) -> DataFrame:
+    """``function(keys, counts)``, whose result is columns, of one or more whole parts at a time."""
+    part = F.shiftright("key", 8).bitwiseAND((1 << 8 * (TOP + 1)) - 1)
+
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        held, limit = [], PART_ROWS
+        for batch in batches:
+            held.append(np.stack([batch.column(i).to_numpy() for i in range(2)]))
+            if sum(h.shape[1] for h in held) >= limit:
+                rows = np.concatenate(held, 1)
+                of = (rows[0] >> 8) & ((1 << 8 * (TOP + 1)) - 1)
+                cut = int(np.searchsorted(of, of[-1]))  # the last part may go on
+                if cut:
+                    yield rows[0, :cut], rows[1, :cut]
+                held = [rows[:, cut:].copy()]
+                limit = max(PART_ROWS, 2 * held[0].shape[1])
+        if held:
+            rows = np.concatenate(held, 1)
+            yield rows[0], rows[1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, counts in parts(batches):
+            order = np.argsort(keys)
+            yield from arrow_rows(function(keys[order], counts[order]))
+
+    dealt = pairs.select("key", "n", part.alias("part")).repartition("part").sortWithinPartitions("part")
+    return dealt.select("key", "n").mapInArrow(run, schema)
+
+
+def train(counted: DataFrame) -> DataFrame:
+    """(key, n, value): the model, which is the log10 probability of every pair; stored."""
     pairs = counted.where(F.col("kind") == PAIR)
-    depths = [
-        pairs.groupBy(F.col("key").bitwiseAND((1 << 8 * (d + 1)) - 1).alias("key"))
-        .agg(F.sum("n").alias("n"))
-        .select(F.lit(d).alias("depth"), "key", "n")
-        for d in range(DEPTH + 1)
-    ]
-    every = depths[0]
-    for d in depths[1:]:
-        every = every.union(d)
-    every = materialise(every.withColumn("context", F.shiftright("key", 8)), "pairs")
-    contexts = materialise(
-        every.groupBy("depth", "context").agg(F.sum("n").alias("context_n"), F.count(F.lit(1)).alias("pairs")),
-        "contexts",
+    sums = (
+        map_parts(pairs, code_lengths, "number long, zeros long, ones long, split double")
+        .groupBy("number")
+        .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "split")])
+        .toArrow()  # at most 2^16 contexts with 255 decisions each
     )
-    level = F.floor(F.log2("context_n"))
-    seen = contexts.where((F.col("depth") > 0) & (F.col("context_n") > 0))
-    sizes = seen.groupBy(level.alias("level")).agg(F.sum("pairs").alias("pairs")).collect()
-    total, lowest = 256, 64
-    for row in sorted(sizes, key=lambda r: -r.level):
-        if total + row.pairs > max_pairs:
-            break
-        total, lowest = total + row.pairs, row.level
-    kept = contexts.where((F.col("depth") == 0) | ((F.col("context_n") > 0) & (level >= lowest)))
-    return every.join(kept.select("depth", "context"), ["depth", "context"]).select("depth", "key", "n")
-
-
-def train(counted: DataFrame, max_pairs: int = MAX_PAIRS) -> Table:
-    """The model: log10 probabilities of at most ``max_pairs`` pairs."""
-    found = retained(counted, max_pairs).toArrow()
-    depth, key, n = (found[c].to_numpy() for c in ("depth", "key", "n"))
-    pairs = []
-    for d in range(DEPTH + 1):
-        of = depth == d
-        order = np.argsort(key[of])
-        if of.any() or not pairs:
-            pairs.append((key[of][order], n[of][order]))
-    scores = mixture(pairs) if len(pairs[0][0]) else [np.zeros(0)]
-    keys = np.concatenate([k | d << DEPTH_SHIFT for d, (k, _) in enumerate(pairs)])
-    return Table(keys, np.concatenate(scores))
-
-
-def score_stream(model: Table, streams: list[bytes]) -> np.ndarray:
-    """log10 probability of each stream."""
-    keys, text = stream_keys(streams)
-    scores = np.zeros(len(keys))
-    rest = np.arange(len(keys))
-    for depth in reversed(range(DEPTH + 1)):
-        part = keys[rest] & ((1 << 8 * (depth + 1)) - 1)
-        values, found = model.look_up(part | depth << DEPTH_SHIFT)
-        scores[rest[found]] = values[found]
-        rest = rest[~found]
-        if not len(rest):
-            break
-    scores[rest] = -8 * np.log10(2)
-    return np.bincount(text, scores, len(streams))
+    number, *rest = (sums[c].to_numpy() for c in ("number", "zeros", "ones", "split"))
+    order = np.argsort(number)
+    top = mix_top(number[order], *[c[order] for c in rest])
+    shared = counted.sparkSession.sparkContext.broadcast((number[order], top.sum, top.left, top.one))
 
+    def function(keys: np.ndarray, counts: np.ndarray) -> dict[str, np.ndarray]:
+        number, *mixed = shared.value
+        return {"key": keys, "n": counts, "value": probabilities(keys, counts, number, Mixed(*mixed))}
 
-def frequent_words(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes, sorted, and counts of at most ``MAX_WORDS_SENT`` words."""
-    found = counted.where(F.col("kind") == WORD)
+    return materialise(map_parts(pairs, function, "key long, n long, value double"), "model")
+
+
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """The rows with the largest ``n``, at most ``most``."""
     level = F.floor(F.log2("n"))
-    sizes = found.groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    sizes = counts.where("n > 0").groupBy(level.alias("level")).agg(F.count(F.lit(1)).alias("rows")).collect()
     total, lowest = 0, 64
     for row in sorted(sizes, key=lambda r: -r.level):
-        if total + row.rows > MAX_WORDS_SENT:
+        if total + row.rows > most:
             break
         total, lowest = total + row.rows, row.level
-    sent = found.where(level >= lowest).select("key", "n").toArrow()
-    keys, n = sent["key"].to_numpy(), sent["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
+    return counts.where((F.col("n") > 0) & (level >= lowest))
 
 
-def score(documents: DataFrame, learn: str, text: str = "text", max_pairs: int = MAX_PAIRS) -> DataFrame:
+def score(documents: DataFrame, learn: str, text: str = "text", max_pairs_sent: int = MAX_PAIRS_SENT) -> DataFrame:
     """``documents`` without ``text`` and ``learn``, with the scores of every row.
 
     ``learn`` is a boolean column: whether the row is learnt from.
     """
     counted = gather(documents, text, learn)
     spark = documents.sparkSession
-    totals = counted.where(F.col("kind") == WORD).agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")
-    ).first()
+    counts = counted.where(F.col("kind") == WORD)
+    totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     space = totals.n + 0.1 * (totals.v + 1)
-    keys, n = frequent_words(counted)
+    model = train(counted)
+    sent = most_frequent(model, max_pairs_sent).select("key", "value").toArrow()
+    often = most_frequent(counts, MAX_WORDS_SENT).select("key", "n").toArrow().sort_by("key")
     shared = spark.sparkContext.broadcast(
-        (train(counted, max_pairs), keys, np.log10((n + 0.1) / space))
+        (
+            *Table(sent["key"].to_numpy(), sent["value"].to_numpy()).arrays(),
+            often["key"].to_numpy(),
+            np.log10((often["n"].to_numpy() + 0.1) / space),
+        )
     )
     rest = [c for c in documents.columns if c not in (text, learn)]
 
     def function():
-        model, frequent, logs = shared.value
+        *arrays, frequent, logs = shared.value
+        pairs = Table.of_arrays(*arrays)
         hashes: dict[bytes, int] = {}
 
         def convert(batch: pa.RecordBatch) -> dict:
-            n_tokens, known, base, rare, scores = [], [], [], [], []
-            for texts in chunks(batch.column(batch.num_columns - 1).to_pylist()):
+            n_tokens, known, base, rare, rare_pairs, scores = [], [], [], [], [], []
+            for texts in chunks(batch.column(batch.num_columns - 1).to_pylist(), CHARACTERS_AT_ONCE):
                 split = [words(t) for t in texts]
-                scores.append(score_stream(model, [b" ".join(ws) + END for ws in split]))
+                keys, text_of = stream_keys([b" ".join(ws) + END for ws in split])
+                values, hit = pairs.look_up(keys)
+                scores.append(np.bincount(text_of[hit], values[hit], len(split)))
+                missed = np.cumsum(np.bincount(text_of[~hit], minlength=len(split)))
+                rare_pairs += np.split(keys[~hit], missed[:-1])
+                del keys, text_of, values, hit
                 if len(hashes) > WORDS_IN_TASK:
                     hashes.clear()
                 for word in set().union(*split, [END]).difference(hashes):
@@ -389,7 +453,8 @@ def score(documents: DataFrame, learn: str, text: str = "text", max_pairs: int =
                     rare.append(tokens)
             kept = {c: batch.column(i) for i, c in enumerate(rest)}
             return kept | {
-                "_n": n_tokens, "_known": known, "_base": base, "_rare": rare, "_score": np.concatenate(scores),
+                "_n": n_tokens, "_known": known, "_base": base, "_rare": rare, "_pairs": rare_pairs,
+                "_score": np.concatenate(scores),
             }
 
         return convert
@@ -397,18 +462,25 @@ def score(documents: DataFrame, learn: str, text: str = "text", max_pairs: int =
     source = documents.select(*rest, text)
     kinds = "".join(f"`{c}` {source.schema[c].dataType.simpleString()}, " for c in rest)
     found = map_batches(
-        source, function, f"{kinds}_n long, _known long, _base double, _rare array<long>, _score double"
+        source,
+        function,
+        f"{kinds}_n long, _known long, _base double, _rare array<long>, _pairs array<long>, _score double",
     )
     found = materialise(found.withColumn("_row", F.monotonically_increasing_id()), "scored")
-    counts = counted.where(F.col("kind") == WORD).select("key", F.col("n").alias("c"))
-    count = F.coalesce("c", F.lit(0))
+    rare = found.select("_row", F.lit(WORD).alias("kind"), F.explode("_rare").alias("key")).union(
+        found.select("_row", F.lit(PAIR).alias("kind"), F.explode("_pairs").alias("key"))
+    )
+    values = counts.select(
+        "kind", "key", F.lit(1).alias("known"), F.log10((F.col("n") + 0.1) / F.lit(space)).alias("value")
+    ).union(model.select(F.lit(PAIR).alias("kind"), "key", F.lit(0).alias("known"), "value"))
+    unknown = F.log10(F.lit(0.1) / F.lit(space))  # of a word; the model has all pairs
     of_rare = (
-        found.select("_row", F.explode("_rare").alias("key"))
-        .join(counts, "key", "left")
+        rare.join(values, ["kind", "key"], "left")
         .groupBy("_row")
         .agg(
-            F.sum(F.log10((count + 0.1) / F.lit(space))).alias("more"),
-            F.sum((count > 0).cast("long")).alias("also"),
+            F.sum(F.when(F.col("kind") == WORD, F.coalesce("value", unknown))).alias("more"),
+            F.sum(F.when(F.col("kind") == PAIR, F.col("value"))).alias("deeper"),
+            F.sum("known").alias("also"),
         )
     )
     return found.join(of_rare, "_row", "left").select(
@@ -417,7 +489,7 @@ def score(documents: DataFrame, learn: str, text: str = "text", max_pairs: int =
         (F.col("_known") + F.coalesce("also", F.lit(0))).alias("n_known"),
         F.lit(totals.n).cast("long").alias("train_tokens"),
         (F.col("_base") + F.coalesce("more", F.lit(0.0))).alias("base_score"),
-        F.col("_score").alias("score"),
+        (F.col("_score") + F.coalesce("deeper", F.lit(0.0))).alias("score"),
     )
 
 

@@ -98,24 +98,52 @@ def test_scores_equal_a_plain_tree(spark):
     assert Counter((r.doc_id, round(r.score, 3)) for r in found) == want
 
 
-def test_probabilities_add_up_to_one(spark):
-    docs = frame(spark, [(0, "abab abba", True, "", 0), (1, "ab ba xyz", True, "", 0)])
-    model = ctw.train(ctw.gather(docs, "text", "learn"))
-    keys, _ = ctw.stream_keys([stream("abab abba")])
-    tree = PlainTree([stream("abab abba"), stream("ab ba xyz")], ctw.DEPTH)
+def test_pairs_that_are_only_joined_give_the_same_scores(spark):
+    rows = [(i, t, i % 3 != 0, "x", 7) for i, t in enumerate(TEXTS)]
+    tree = PlainTree([stream(r[1]) for r in rows if r[2]], ctw.DEPTH)
+    docs = frame(spark, rows).drop("kind", "n_tokens")
+    for sent in (0, 40):
+        found = {r.doc_id: r.score for r in ctw.score(docs, "learn", max_pairs_sent=sent).collect()}
+        assert found == pytest.approx({r[0]: tree.score(stream(r[1])) for r in rows}, rel=1e-6)
+
+
+def test_parts_in_small_pieces_give_the_same_model(spark, small, monkeypatch):
+    docs = table(spark, small, "documents").select("text", ctw.F.lit(True).alias("learn"))
+    counted = ctw.gather(docs, "text", "learn")
+    whole = {r.key: r.value for r in ctw.train(counted).collect()}
+    monkeypatch.setattr(ctw, "PART_ROWS", 50)
+    assert {r.key: r.value for r in ctw.train(counted).collect()} == pytest.approx(whole)
+    assert len(whole) == counted.where(f"kind = {ctw.PAIR}").count() > 10_000
+
+
+def test_texts_that_are_not_learnt_from_change_no_score(spark):
+    rows = [(i, t, i % 3 != 0, "x", 7) for i, t in enumerate(TEXTS)]
+    more = [(100 + i, f"quite other words {i} xyz{i * 977}" * 20, False, "x", 7) for i in range(20)]
+    few = {r.doc_id: r.score for r in ctw.score(frame(spark, rows).drop("kind", "n_tokens"), "learn").collect()}
+    many = {r.doc_id: r.score for r in ctw.score(frame(spark, rows + more).drop("kind", "n_tokens"), "learn").collect()}
+    assert {k: many[k] for k in few} == pytest.approx(few, rel=1e-9) and len(many) == len(few) + 20
+
+
+def test_probabilities_of_all_bytes_add_up_to_one(spark):
+    learnt = ["abab abba", "ab ba xyz"]
+    held = [(i + 10, "abab" + chr(i), False, "", 0) for i in range(33, 127)]
+    rows = [(i, t, True, "", 0) for i, t in enumerate(learnt)] + held
+    model = {r.key: r.value for r in ctw.train(ctw.gather(frame(spark, rows), "text", "learn")).collect()}
+    tree = PlainTree([stream(t) for t in learnt], ctw.DEPTH)
+    ctx = tuple(b"baba\n")
+    above = sum(b << 8 * (k + 1) for k, b in enumerate(ctx))
     total = 0
     for byte in range(256):
-        p = 1.0
-        ctx = tuple(b"baba\n")
-        prefix = ""
+        p, prefix = 1.0, ""
         for k in range(7, -1, -1):
             q = tree.probability(ctx, prefix)
             bit = byte >> k & 1
             p *= q if bit else 1 - q
             prefix += str(bit)
+        if above | byte in model:
+            assert model[above | byte] == pytest.approx(math.log10(p), rel=1e-6)
         total += p
-    assert total == pytest.approx(1)
-    assert np.isfinite(ctw.score_stream(model, [stream("abab abba"), b"\n"])).all() and len(keys)
+    assert total == pytest.approx(1) and sum(above | b in model for b in range(256)) > 60
 
 
 def test_base_counts_on_a_table(spark, small, monkeypatch):
@@ -141,14 +169,6 @@ def test_held_out_texts_are_coded_better_than_by_the_base(spark, small):
     assert len(out) > 50 and sum(s for s, _ in out) > sum(b for _, b in out)
 
 
-def test_a_small_model_still_scores_everything(spark, small):
-    docs = table(spark, small, "documents").select("doc_id", "text", ctw.F.lit(True).alias("learn"))
-    whole = {r.doc_id: r.score for r in ctw.score(docs, "learn").collect()}
-    little = {r.doc_id: r.score for r in ctw.score(docs, "learn", max_pairs=3000).collect()}
-    assert whole.keys() == little.keys()
-    assert sum(whole.values()) > sum(little.values()) > 1.6 * sum(whole.values())
-
-
 def test_nothing_to_learn_from(spark):
     docs = frame(spark, [(1, "ab", False, "", 0), (2, None, False, "", 0)]).drop("n_tokens")
     found = {r.doc_id: r for r in ctw.score(docs, "learn").collect()}
