@@ -42,6 +42,8 @@ class Bundler:
         self.letters: dict[int, np.ndarray] = {}
         self.codes = np.zeros(0x110000, np.int32)  # code point -> 1 + code of its letter, 0: no letter
         self.seen = np.zeros(0x110000, bool)
+        self.seen_here = np.zeros(0x110001, bool)
+        self.rank = np.zeros(0x110001, np.int64)
 
     def letter(self, code: int) -> np.ndarray:
         if code not in self.letters:
@@ -66,14 +68,21 @@ class Bundler:
         middle = np.flatnonzero(codes > 0)
         if not len(middle):
             return out
-        padded = np.concatenate(([0], codes, [0])).astype(np.int64)
         # letters of a text are apart from those of the next by a separator
-        kinds, small = np.unique(padded, return_inverse=True)
+        padded = np.concatenate(([0], codes, [0]))
+        self.seen_here[padded] = True
+        kinds = np.flatnonzero(self.seen_here)
+        self.seen_here[kinds] = False
+        self.rank[kinds] = np.arange(len(kinds))
         size = len(kinds)
+        if len(texts) > 1 and len(texts) * size**3 >= 1 << 63:
+            half = len(texts) // 2
+            return np.concatenate([self(texts[:half]), self(texts[half:])])
+        small = self.rank[padded]
         grams = (small[middle] * size + small[middle + 1]) * size + small[middle + 2]
+        pairs, counts = np.unique(owner[middle] * size**3 + grams, return_counts=True)
+        text, grams = np.divmod(pairs, size**3)
         gram_kinds, gram = np.unique(grams, return_inverse=True)
-        pairs, counts = np.unique(owner[middle] * len(gram_kinds) + gram, return_counts=True)
-        text, gram = np.divmod(pairs, len(gram_kinds))
         basis = np.stack([self.letter(int(k)) for k in kinds])
         first, rest = np.divmod(gram_kinds, size * size)
         vectors = np.roll(basis, 2, 1)[first] * np.roll(basis, 1, 1)[rest // size] * basis[rest % size]
