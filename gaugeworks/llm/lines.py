@@ -6,9 +6,9 @@ of every document costs a task no more than any other. An estimate clearly off t
 threshold decides; lines near it get an exact distinct count. Lines are compared by a
 64-bit hash of their text without white space at the ends.
 
-A text of which more than half the lines are spread is a copy of another text, not a
-text with boilerplate, and stays whole for the near-duplicate stage. So no text loses
-all its lines.
+A text loses its spread lines wherever it has a line of its own. A text all of whose
+lines are spread is a copy of other texts and stays whole for the near-duplicate stage.
+So no text loses all its lines.
 
 Null texts stay null, empty texts empty; lines without a word are never removed. A
 null site counts as no site. Repeated rows are kept and treated alike.
@@ -109,7 +109,7 @@ def remove_spread_lines(
     )
     n_lines = F.size(F.array_compact(_keys(F.col(text))))
     n_found = F.coalesce(F.size(F.filter(F.col(drop), lambda x: x)), F.lit(0))
-    copy = 2 * n_found > n_lines
+    copy = n_found >= n_lines
     kept = F.array_join(F.filter(split, lambda x, i: ~F.get(F.col(drop), i)), "\n")
     removed = F.col(found).isNotNull() & ~copy
     out = {text: F.when(removed, kept).otherwise(F.col(text))}

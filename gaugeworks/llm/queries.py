@@ -105,9 +105,9 @@ WITH split AS (
   FROM marked GROUP BY doc_id
 )
 SELECT doc_id, source,
-       CASE WHEN n_found > 0 AND 2 * n_found <= n_lines THEN rest ELSE text END AS text,
+       CASE WHEN n_found > 0 AND n_found < n_lines THEN rest ELSE text END AS text,
        coalesce(n_lines, 0) AS n_lines,
-       CASE WHEN 2 * n_found <= n_lines THEN n_found ELSE 0 END AS n_removed
+       CASE WHEN n_found < n_lines THEN n_found ELSE 0 END AS n_removed
 FROM documents LEFT JOIN totals USING (doc_id)""",
     "op8_grouped_prefix_join": f"""
 WITH RECURSIVE words AS (

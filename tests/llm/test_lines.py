@@ -19,7 +19,7 @@ def brute_force(rows, min_sites):
             continue
         marked = [(x, len(sites[x.strip(white)]) >= min_sites) for x in text.split("\n")]
         spread = sum(m for _, m in marked)
-        if 2 * spread > sum(bool(x.strip(white)) for x, _ in marked):
+        if spread >= sum(bool(x.strip(white)) for x, _ in marked):
             out.append(text)
         else:
             out.append("\n".join(x for x, m in marked if not m))
@@ -43,11 +43,13 @@ def test_odd_rows(spark):
     rows = [(f"s{i}", f"own line {i}\n{foot}\n\nmore {i}") for i in range(20)]
     rows += [(None, "own\nRead our terms.\nmore"), ("s1", None), ("s1", ""), ("s2", " \n\t"), ("s3", "Read our terms.")]
     rows += [(f"s{i % 15}", "copy one\ncopy two\ncopy three") for i in range(40)]
+    rows += [(f"s{i}", f"one head\nown line {i}\none foot") for i in range(20)]
     rows += [("s1", "local\nlocal\nlocal two") for _ in range(40)]  # many documents, one site
     docs = spark.createDataFrame([(i, t, s, 1) for i, (s, t) in enumerate(rows)], "doc_id int, text string, source string, line_dedup int")
     found = {r.doc_id: r.text for r in lines.remove_spread_lines(docs).collect()}
     assert [found[i] for i in range(len(rows))] == brute_force(rows, 12)
     assert found[0] == "own line 0\n\nmore 0" and found[24] == "Read our terms."
+    assert found[65] == "own line 0" and found[25] == rows[25][1]
     assert lines.remove_spread_lines(docs.limit(0)).collect() == []
 
 
