@@ -28,6 +28,8 @@ from gaugeworks.llm.common import map_batches
 
 VOCABULARY = "word_bpe_49k.json"
 MAX_WORDS = 500_000
+#: Punctuation of ASCII without the apostrophe.
+TAIL = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -53,10 +55,10 @@ class WordTable:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.pieces = {i: p.encode() for p, i in vocabulary.items()}
         self.ends = {i for p, i in vocabulary.items() if p.endswith("</w>")}
-        self.run_and_tail = regex.compile(r"(\p{L}+)([!-&(-/:-@\[-`{-~]*)").fullmatch
+        self.run_and_tail = regex.compile(rf"(\p{{L}}+)([{regex.escape(TAIL.decode())}]*)").fullmatch
         self.max_words = max_words
         self.words: dict[bytes, bytes] = {}
-        self.runs: dict[str, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
         self.texts: dict[bytes, bytes] = {}
 
     def ids(self, texts: list[str | None]) -> list[list[bytes]]:
@@ -78,35 +80,34 @@ class WordTable:
         return b" ".join(map(known.__getitem__, ids))
 
     def add(self, words: set[bytes]) -> None:
-        words = list(words)
-        runs, alone = set(), set()
-        parts = []
-        for text in map(bytes.decode, words):
-            if match := self.run_and_tail(text):
-                run, tail = match.groups()
-                runs.add(run)
-                runs.add(tail)
-                parts.append((run, tail))
+        alone, parts = set(), []
+        for word in words:
+            run = word.rstrip(TAIL)
+            if run.isalpha():  # letters of ASCII only
+                parts.append((run, word[len(run) :]))
+            elif match := self.run_and_tail(word.decode()):
+                parts.append(tuple(map(str.encode, match.groups())))
             else:
-                alone.add(text)
-                parts.append((text, ""))
-        runs.discard("")
-        self.encode_runs(sorted(runs.difference(self.runs)))
-        self.encode_each(sorted(alone.difference(self.runs)))
+                alone.add(word)
+                parts.append((word, b""))
         known = self.runs
-        known[""] = b""
+        known[b""] = b""
+        new = {run for run, _ in parts}.union(tail for _, tail in parts).difference(known)
+        self.encode_runs(sorted(new.difference(alone)))
+        self.encode_each(sorted(new.intersection(alone)))
         self.words.update(zip(words, [known[run] + known[tail] for run, tail in parts], strict=True))
 
-    def encode_each(self, runs: list[str]) -> None:
+    def encode_each(self, runs: list[bytes]) -> None:
+        texts = [run.decode() for run in runs]
         for run, found in zip(
-            runs, self.tokenizer.encode_batch_fast(runs, add_special_tokens=False), strict=True
+            runs, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
         ):
             self.runs[run] = array("I", found.ids).tobytes()
 
-    def encode_runs(self, runs: list[str], together: int = 200) -> None:
+    def encode_runs(self, runs: list[bytes], together: int = 200) -> None:
         groups = [runs[i : i + together] for i in range(0, len(runs), together)]
         encoded = self.tokenizer.encode_batch_fast(
-            [" ".join(g) for g in groups], add_special_tokens=False
+            [b" ".join(g).decode() for g in groups], add_special_tokens=False
         )
         for group, found in zip(groups, encoded, strict=True):
             ids = found.ids
