@@ -29,6 +29,7 @@ def keep_one(
     latest_by: str | None = None,
     never_null: Iterable[str] = (),
     null_keys: Literal["keep", "collapse"] = "keep",
+    aside: Iterable[str] = (),
 ) -> DataFrame:
     """One row per key, the same row on every run.
 
@@ -36,9 +37,10 @@ def keep_one(
     ``latest_by``, are settled by the remaining columns in ascending order, nulls
     first. A row whose key is partly null identifies nothing: such rows only lose
     their exact duplicates, unless ``null_keys="collapse"``. ``never_null`` names
-    keys already known to be set, which spares the null test.
+    keys already known to be set, which spares the null test. Columns in ``aside`` are
+    no part of a row's value: rows with a partly null key that differ in them only are copies.
     """
-    keys = list(keys)
+    keys, aside = list(keys), list(aside)
     rest = [c for c in df.columns if c not in keys]
     order = []
     if latest_by in rest:
@@ -52,7 +54,7 @@ def keep_one(
     if null_keys == "keep" and nullable and len(keys) < len(df.columns):
         # The whole row becomes part of the key, which also spreads these rows.
         incomplete = reduce(lambda a, b: a | b, nullable)
-        others = F.struct(*[F.col(c) for c in df.columns if c not in keys])
+        others = F.struct(*[F.col(c) for c in df.columns if c not in [*keys, *aside]])
         groups.append(F.when(incomplete, others))
 
     ranked = Window.partitionBy(*groups).orderBy(*(order or groups))

@@ -1,13 +1,13 @@
 """Quality reports that are merged from the reports of parts, without reading the rows again.
 
 Counts of violations add up over parts of a table. The exception is the number of
-different keys: a key of two parts counts once. So the set of keys met so far is stored
-in hash buckets, a part is checked against the buckets of its own keys only, and
-its duplicates are its complete rows less the keys that it is the first to have.
+different keys: a key of two parts counts once. So these are counted over the keys of all
+parts, and duplicates are the complete rows less the different keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -21,64 +21,43 @@ from gaugeworks.operators.quality import (
     MISSING_ALERT_PERCENT,
     NOT_APPLICABLE,
     OK,
-    Check,
-    key_checks,
-    measure,
-    named_columns,
-    spec_checks,
 )
 from gaugeworks.operators.standardise import ABSENT_KEY
-from gaugeworks.spec import EntitySpec
 
 BUCKET = "_bucket"
 
 
-def has_keys(df: DataFrame, spec: EntitySpec) -> bool:
-    return bool(spec.dedup_keys) and all(k in df.columns for k in spec.dedup_keys)
+def has_keys(df: DataFrame, keys: Sequence[str]) -> bool:
+    return bool(keys) and all(k in df.columns for k in keys)
 
 
-def _complete(spec: EntitySpec) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in spec.dedup_keys])
-
-
-def key_bucket(df: DataFrame, spec: EntitySpec, buckets: int) -> Column:
+def key_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> Column:
     """Bucket of a row by its key; a row without a whole key goes by all of its columns."""
     every = F.pmod(F.xxhash64(*df.columns), F.lit(buckets))
-    if not has_keys(df, spec):
+    if not has_keys(df, keys):
         return every.cast("int")
-    by_key = F.pmod(F.xxhash64(*spec.dedup_keys), F.lit(buckets))
-    return F.when(_complete(spec), by_key).otherwise(every).cast("int")
-
+    by_key = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    complete = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    return F.when(complete, by_key).otherwise(every).cast("int")
 
-def distinct_keys(df: DataFrame, spec: EntitySpec, buckets: int) -> DataFrame:
-    """Different whole keys of a part, with their buckets."""
-    keys = df.where(_complete(spec)).select(*spec.dedup_keys).distinct()
-    return keys.withColumn(BUCKET, key_bucket(keys, spec, buckets))
 
+def merged_report(reports: DataFrame, keys: DataFrame | None = None) -> DataFrame:
+    """The report on all parts together, as ``quality_suite`` gives it on the whole table.
 
-def part_state(df: DataFrame, spec: EntitySpec, new_keys: int | None, source: DataFrame | None = None) -> DataFrame:
-    """Counts of one part in the form of a report; states of several parts add up.
-
-    ``new_keys`` is the number of keys that no earlier part has.
+    ``keys`` has the key columns of all parts; a row of each different key is enough.
     """
-    checks = spec_checks(df, spec)
-    if new_keys is not None:
-        first = F.count_if(_complete(spec)) - F.lit(new_keys)
-        checks = [
-            Check(c.rule, c.label, first if c.rule == DUPLICATES else c.violations, c.alert_percent)
-            for c in checks
-        ]
-    state = measure(df, spec.name, checks)
-    if source is not None and spec.mandatory:
-        state = state.unionByName(measure(named_columns(source, spec), spec.name, key_checks(source, spec)))
-    return state.select("entidade", "regra", "coluna", "total_registros", "violacoes")
-
-
-def merged_report(states: DataFrame) -> DataFrame:
-    """The report on all parts together, as ``quality_suite`` gives it on the whole table."""
-    summed = states.groupBy("entidade", "regra", "coluna").agg(
+    summed = reports.groupBy("entidade", "regra", "coluna").agg(
         F.sum("total_registros").alias("total_registros"), F.sum("violacoes").alias("violacoes")
     )
+    if keys is not None:
+        # the rule on incomplete keys has the same columns, so it counts the complete rows
+        complete = F.when(F.col("regra") == INCOMPLETE, F.col("total_registros") - F.col("violacoes"))
+        # count_distinct of several columns skips rows with a null among them
+        different = keys.agg(F.count_distinct(*keys.columns).alias("_different"))
+        counted = summed.agg(F.max(complete).alias("_complete")).crossJoin(different)
+        repeated = F.when(F.col("regra") == DUPLICATES, F.col("_complete") - F.col("_different"))
+        summed = summed.crossJoin(counted).withColumn("violacoes", F.coalesce(repeated, "violacoes"))
+        summed = summed.drop("_complete", "_different")
     by_share = F.col("regra").isin(MISSING, INCOMPLETE, ABSENT_KEY)
     share = F.round(F.col("violacoes") / F.col("total_registros") * 100, 2)
     percent = F.when(by_share, F.when(F.col("total_registros") > 0, share).otherwise(0.0))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.operators.dedup import keep_one
+from gaugeworks.operators.dedup import deduplicate
 from gaugeworks.operators.quality import quality_suite
 from gaugeworks.operators.standardise import rejected_rows, standardise_entity
 from gaugeworks.plans.concurrent import concurrently
@@ -77,7 +77,7 @@ def store_micro_batch(
     The decoded events feed several tables, so they are stored in the shared folder for
     the time of the batch. Rules are measured on the stored rows, and on the decoded
     events where cleaning drops rows. No foreign keys are checked here. All tables of
-    the batch, the merged table and the state of the rules change in one version.
+    the batch change in one version, which the merged table and the merged report follow.
     """
     spark = raw.sparkSession
     batch = sink.batch(spark, stream, batch_id)
@@ -97,7 +97,7 @@ def store_micro_batch(
         )
         stored = spark.read.schema(clean.schema).parquet(batch.folder("rows"))
         batch.write("quality", quality_suite(stored, spec, source=events))
-        batch.commit(spec, stored.drop(spec.audit_column), events)
+        batch.commit(spec, stored.drop(spec.audit_column))
     sink.compact(spark, {"rows": spec.partition_by})
 
 
@@ -162,6 +162,5 @@ def merge_batches(
     if batch is not None:
         rows = rows.unionByName(batch.select(*columns, F.lit(-1).cast("long").alias("_newest")))
     if not newest_first:
-        whole = rows.drop("_newest").distinct()
-        return keep_one(whole, spec.dedup_keys, spec.latest_by, spec.mandatory)
-    return newest_rows(rows, spec).drop("_newest")
+        return deduplicate(rows.drop("_newest"), spec)
+    return newest_rows(rows, spec.dedup_keys, spec.mandatory).drop("_newest")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
@@ -11,14 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeworks.operators.dedup import keep_one
-from gaugeworks.operators.quality_state import (
-    BUCKET,
-    distinct_keys,
-    has_keys,
-    key_bucket,
-    merged_report,
-    part_state,
-)
+from gaugeworks.operators.quality_state import BUCKET, has_keys, key_bucket, merged_report
 from gaugeworks.sources.snapshots import SnapshotLog
 from gaugeworks.sources.tables import write_table
 from gaugeworks.spec import EntitySpec
@@ -27,18 +21,20 @@ ORIGIN = ("_stream", "_batch_id", "_order")
 _ORIGIN_TYPES = (T.StringType(), T.LongType(), T.LongType())
 # A stream may have so many batches before its order runs into the next stream's.
 _BATCHES = 1 << 40
-_STATE = "entidade string, regra string, coluna string, total_registros bigint, violacoes bigint"
+_COUNTS = "entidade string, regra string, coluna string, total_registros bigint, violacoes bigint"
 
 
-def newest_rows(rows: DataFrame, spec: EntitySpec) -> DataFrame:
+def newest_rows(rows: DataFrame, keys: Iterable[str], never_null: Iterable[str] = ()) -> DataFrame:
     """One row per key, that of the greatest ``_newest``, then the smallest one.
 
     Of rows without a whole key only exact copies go. The result of some rows and that
     of others can be put together by the same function.
     """
-    columns = [c for c in rows.columns if c != "_newest"]
-    whole = rows.groupBy(*columns).agg(F.max("_newest").alias("_newest"))
-    return keep_one(whole, spec.dedup_keys, "_newest", spec.mandatory)
+    keys = list(keys)
+    if not keys or any(k not in rows.columns for k in keys):
+        columns = [c for c in rows.columns if c != "_newest"]
+        return rows.groupBy(*columns).agg(F.max("_newest").alias("_newest"))
+    return keep_one(rows, keys, "_newest", never_null, aside=["_newest"])
 
 
 @dataclass(frozen=True)
@@ -50,8 +46,9 @@ class StreamSink:
     list of part folders. As soon as ``fanout`` parts of one level are there, they are rewritten
     as one part of the next level, so parts stay few and a row is rewritten a few times only.
 
-    With ``buckets`` there is also a merged table with one row per key, and a state of all
-    rules. Both are kept by hash of the key, and a batch touches the buckets of its keys only.
+    With ``buckets`` there is also a merged table with one row per key, kept by hash of the key,
+    and a report on all rows. The rows of a batch wait, as they are stored, until ``fanout`` batches
+    do; these are merged at once, into the buckets of their keys only. A reader merges what waits.
     ``keep`` versions stay readable; folders that only older ones name are removed.
     """
 
@@ -108,18 +105,41 @@ class StreamSink:
         """The merged table at the last version: one row per key over all batches."""
         content = self.log.latest(spark)[1]
         merged = [f"{path}/{BUCKET}={b}" for b, path in content.get("merged", {}).items()]
-        return self._parts(spark, "merged", merged, schema)
+        if not content.get("waiting"):
+            return self._parts(spark, "merged", merged, schema)
+        table = content["table"]
+        rows = newest_rows(self._unmerged(spark, content, merged), table["keys"], table["mandatory"])
+        return rows.select(*schema.names)
+
+    def _unmerged(self, spark: SparkSession, content: dict, merged: list[str]) -> DataFrame:
+        """Rows of merged buckets and of the batches that wait, with their ``_newest``."""
+        schema = T.StructType.fromJson(json.loads(content["table"]["schema"]))
+        new = T.StructType([*schema.fields, T.StructField("_order", T.LongType())])
+        old = T.StructType([*schema.fields, T.StructField("_newest", T.LongType())])
+        rows = self._parts(spark, "rows", content["waiting"], new).withColumnRenamed("_order", "_newest")
+        return rows.unionByName(self._parts(spark, "merged", merged, old)) if merged else rows
 
     def read_report(self, spark: SparkSession) -> DataFrame:
-        """The quality report on all stored rows together, merged from the batches' states."""
-        state = self.read(spark, "state", spark.createDataFrame([], _STATE).schema).drop(*ORIGIN)
-        return merged_report(state)
+        """The quality report on all stored rows together, merged from the batches' reports.
+
+        Counts add up. Different keys do not, so they are counted over the merged table and
+        the batches that wait, of which no other column is read.
+        """
+        content = self.log.latest(spark)[1]
+        counts = self.read(spark, "quality", spark.createDataFrame([], _COUNTS).schema).drop(*ORIGIN)
+        if "table" not in content:
+            return merged_report(counts.limit(0))
+        merged = [f"{path}/{BUCKET}={b}" for b, path in content.get("merged", {}).items()]
+        keys = content["table"]["keys"]
+        if not keys:
+            return merged_report(counts)
+        return merged_report(counts, self._unmerged(spark, content, merged).select(*keys))
 
     # -- keeping it small ----------------------------------------------------------
 
     def compact(self, spark: SparkSession, partition_by: Mapping[str, Iterable[str]] | None = None) -> None:
         """Rewrite every level that has ``fanout`` parts as one part of the next level."""
-        by = {"keys": [BUCKET], **(partition_by or {})}
+        by = partition_by or {}
         while True:
             content = self.log.latest(spark)[1]
             full = self._full_levels(content)
@@ -130,8 +150,38 @@ class StreamSink:
                 target = self.part_path(kind, f"c-{uuid.uuid4().hex}")
                 write_table(rows, target, by.get(kind, ()))
                 self.log.update(spark, lambda c, kind=kind, paths=paths, new={"path": target, "level": level + 1}: _replaced(c, kind, paths, new))
+        self._merge_waiting(spark)
         self.log.expire(spark, self.keep, _folders)
 
+    def _merge_waiting(self, spark: SparkSession) -> None:
+        """Once ``fanout`` batches wait, rewrite the buckets that they have keys of."""
+        while True:
+            content = self.log.latest(spark)[1]
+            waiting, merged = content.get("waiting", []), content.get("merged", {})
+            if len(waiting) < self.fanout:
+                return
+            table = content["table"]
+
+            def placed(rows: DataFrame, table: dict = table) -> DataFrame:
+                plain = rows.drop("_newest")
+                return rows.withColumn(BUCKET, key_bucket(plain, table["keys"], self.buckets))
+
+            new = placed(self._unmerged(spark, content, []))
+            touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # at most buckets
+            old = [f"{merged[str(b)]}/{BUCKET}={b}" for b in touched if str(b) in merged]
+            kept = newest_rows(self._unmerged(spark, content, old), table["keys"], table["mandatory"])
+            path = self.part_path("merged", f"m-{uuid.uuid4().hex}")
+            write_table(placed(kept), path, [BUCKET])
+
+            def merge(content: dict, waiting=waiting, merged=merged, new=dict.fromkeys(map(str, touched), path)) -> dict | None:
+                if content.get("merged", {}) != merged or content.get("waiting", [])[: len(waiting)] != waiting:
+                    return None  # another writer has merged them
+                content["waiting"] = content["waiting"][len(waiting) :]
+                content["merged"] = {**merged, **new}
+                return content
+
+            self.log.update(spark, merge)
+
     def _full_levels(self, content: dict) -> list[tuple[str, int, list[str]]]:
         full = []
         for kind, parts in content.get("parts", {}).items():
@@ -153,7 +203,7 @@ def _replaced(content: dict, kind: str, paths: list[str], new: dict) -> dict | N
 
 def _folders(content: dict) -> list[str]:
     parts = [p["path"] for kind in content.get("parts", {}).values() for p in kind]
-    return parts + list(content.get("merged", {}).values())
+    return parts + list(content.get("merged", {}).values()) + content.get("waiting", [])
 
 
 @dataclass
@@ -195,45 +245,16 @@ class Batch:
         content["streams"][self.stream]["last"] = self.batch_id
         return content
 
-    def commit(self, spec: EntitySpec, rows: DataFrame, source: DataFrame) -> None:
-        """Make the version that has the batch; merge again if another stream was first."""
-        while True:
-            version, content = self.sink.log.latest(self.spark)
+    def commit(self, spec: EntitySpec, rows: DataFrame) -> None:
+        """Make the version that has the batch; with ``buckets`` its rows wait to be merged."""
+
+        def add(content: dict) -> dict | None:
             if self.batch_id <= content["streams"][self.stream]["last"]:
-                return
-            kinds = list(self.kinds)
+                return None
             if self.sink.buckets:
-                content["merged"] = {**content.get("merged", {}), **self._merged(content, spec, rows)}
-                self._state(content, spec, rows, source)
-                kinds += ["state", *(["keys"] if has_keys(rows, spec) else [])]
-            if self.sink.log.commit(self.spark, version + 1, self._with_parts(content, kinds)):
-                return
+                keys = list(spec.dedup_keys) if has_keys(rows, spec.dedup_keys) else []
+                content["table"] = {"keys": keys, "mandatory": list(spec.mandatory), "schema": rows.schema.json()}
+                content.setdefault("waiting", []).append(self.folder("rows"))
+            return self._with_parts(content, self.kinds)
 
-    def _merged(self, content: dict, spec: EntitySpec, rows: DataFrame) -> dict[str, str]:
-        """Rewrite the buckets that the batch has keys of; returns their new folders."""
-        sink = self.sink
-        new = rows.withColumn(BUCKET, key_bucket(rows, spec, sink.buckets)).withColumn("_newest", F.lit(self.order).cast("long"))
-        touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())  # at most sink.buckets
-        if not touched:
-            return {}
-        merged = content.get("merged", {})
-        old = [f"{merged[str(b)]}/{BUCKET}={b}" for b in touched if str(b) in merged]
-        together = sink._parts(self.spark, "merged", old, new.schema).unionByName(new)
-        kept = newest_rows(together, spec)
-        path = sink.part_path("merged", f"m-{uuid.uuid4().hex}")
-        write_table(kept, path, [BUCKET])
-        return {str(b): path for b in touched}
-
-    def _state(self, content: dict, spec: EntitySpec, rows: DataFrame, source: DataFrame) -> None:
-        """Store the keys that no earlier batch has, and the counts of the rules."""
-        number = None
-        if has_keys(rows, spec):
-            keys = distinct_keys(rows, spec, self.sink.buckets)
-            known = [p["path"] for p in content.get("parts", {}).get("keys", [])]
-            if known:
-                touched = [r[0] for r in keys.select(BUCKET).distinct().collect()]
-                earlier = self.sink._parts(self.spark, "keys", known, keys.schema).where(F.col(BUCKET).isin(touched))
-                keys = keys.join(earlier, [*spec.dedup_keys, BUCKET], "left_anti")
-            write_table(self._origin(keys), self.folder("keys"), [BUCKET])
-            number = self.spark.read.schema(keys.schema).parquet(self.folder("keys")).count()
-        write_table(self._origin(part_state(rows, spec, number, source)), self.folder("state"))
+        self.sink.log.update(self.spark, add)

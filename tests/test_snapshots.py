@@ -16,6 +16,7 @@ from gaugeworks.sources.snapshots import SnapshotLog, TableSet
 from gaugeworks.streaming import reports as report_streams
 from gaugeworks.streaming.students import merge_batches, read_stream_table, store_micro_batch
 from gaugeworks.streaming.tables import StreamSink
+from plan_text import executed_plan
 from test_lakehouse import raw  # noqa: F401
 from test_stream import SPEC, clean, event, payloads, plain
 
@@ -181,6 +182,27 @@ def test_a_version_of_another_stream_makes_a_batch_merge_again(spark, tmp_path,
     assert report == {"duplicidade": 1}
 
 
+def test_batches_wait_and_are_merged_together(spark, tmp_path):
+    sink = StreamSink(str(tmp_path), fanout=3, buckets=2)
+    buckets = []
+    for batch in range(7):
+        texts = [event(str(i), serie=str(batch)) for i in range(batch, batch + 5)]
+        store_micro_batch(payloads(spark, [*texts, event(None)]), batch, sink, "s", SPEC, STUDENT_EVENT)
+        content = sink.log.latest(spark)[1]
+        buckets.append(sorted(content.get("merged", {}).values()))
+        assert len(content["waiting"]) == (batch + 1) % 3
+        rows = read_stream_table(spark, sink, "rows", clean(spark, []).schema)
+        whole = merge_batches(rows, SPEC)
+        assert plain(sink.read_merged(spark, whole.schema)) == plain(whole)
+        repeated = sink.read_report(spark).where("regra = 'duplicidade'").first().violacoes
+        assert repeated == 5 * (batch + 1) - (batch + 5)
+    # a batch rewrites nothing by itself: buckets change with every third one
+    assert buckets[0] == buckets[1] == [] and buckets[2] == buckets[4] and buckets[5] == buckets[6] != buckets[4]
+    assert set(content["parts"]) == {"rows", "rejected", "rejected_rows", "quality"}
+    merged = executed_plan(merge_batches(rows, SPEC))
+    assert merged.count("Exchange hashpartitioning") == 1
+
+
 REPORT = (
     "entidade string, status_geral string, reported_at timestamp_ntz,"
     " checks array<struct<regra: string, coluna: string, status: string>>"
