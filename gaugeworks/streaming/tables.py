@@ -6,6 +6,7 @@ import json
 import uuid
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import types as T
 
 from gaugeworks.operators.dedup import keep_one
 from gaugeworks.operators.quality_state import BUCKET, has_keys, key_bucket, merged_report
+from gaugeworks.plans.concurrent import concurrently
 from gaugeworks.sources.snapshots import SnapshotLog
 from gaugeworks.sources.tables import write_table
 from gaugeworks.spec import EntitySpec
@@ -138,21 +140,30 @@ class StreamSink:
     # -- keeping it small ----------------------------------------------------------
 
     def compact(self, spark: SparkSession, partition_by: Mapping[str, Iterable[str]] | None = None) -> None:
-        """Rewrite every level that has ``fanout`` parts as one part of the next level."""
+        """Rewrite every level that has ``fanout`` parts as one part of the next level, all kinds at the same time."""
         by = partition_by or {}
         while True:
             content = self.log.latest(spark)[1]
             full = self._full_levels(content)
             if not full:
                 break
-            for kind, level, paths in full:
-                rows = spark.read.option("basePath", self.kind_path(kind)).parquet(*paths).drop("_part")
-                target = self.part_path(kind, f"c-{uuid.uuid4().hex}")
-                write_table(rows, target, by.get(kind, ()))
-                self.log.update(spark, lambda c, kind=kind, paths=paths, new={"path": target, "level": level + 1}: _replaced(c, kind, paths, new))
+            concurrently(
+                spark,
+                {
+                    kind: partial(self._rewrite, spark, kind, level, paths, by.get(kind, ()))
+                    for kind, level, paths in full
+                },
+            )
         self._merge_waiting(spark)
         self.log.expire(spark, self.keep, _folders)
 
+    def _rewrite(self, spark: SparkSession, kind: str, level: int, paths: list[str], by: Iterable[str]) -> None:
+        rows = spark.read.option("basePath", self.kind_path(kind)).parquet(*paths).drop("_part")
+        target = self.part_path(kind, f"c-{uuid.uuid4().hex}")
+        write_table(rows, target, by)
+        new = {"path": target, "level": level}
+        self.log.update(spark, lambda content: _replaced(content, kind, paths, new))
+
     def _merge_waiting(self, spark: SparkSession) -> None:
         """Once ``fanout`` batches wait, rewrite the buckets that they have keys of."""
         while True:
@@ -183,12 +194,23 @@ class StreamSink:
             self.log.update(spark, merge)
 
     def _full_levels(self, content: dict) -> list[tuple[str, int, list[str]]]:
+        """Per kind with a full level: kind, level of the new part, and the parts to rewrite.
+
+        If the new part fills its level too, that one's parts are taken along, so no row is
+        rewritten twice at once.
+        """
         full = []
         for kind, parts in content.get("parts", {}).items():
             levels: dict[int, list[str]] = {}
             for part in parts:
                 levels.setdefault(part["level"], []).append(part["path"])
-            full += [(kind, level, paths) for level, paths in levels.items() if len(paths) >= self.fanout]
+            level = min((n for n, paths in levels.items() if len(paths) >= self.fanout), default=None)
+            if level is None:
+                continue
+            paths = levels[level]
+            while len(above := levels.get(level + 1, [])) + 1 >= self.fanout:
+                paths, level = above + paths, level + 1
+            full.append((kind, level + 1, paths))
         return full
 
 

@@ -1,6 +1,7 @@
 """What the whole flow reads its sources from."""
 
 from gaugeworks.domains import star_queries
+from gaugeworks.domains.education import STUDENT_EVENT
 from plan_text import optimised_plan
 
 
@@ -12,3 +13,18 @@ def test_sources_of_the_flow_are_extracted_once(spark, small, monkeypatch):
         plan = optimised_plan(df)
         assert "Join" not in plan and "Aggregate" not in plan, name
     assert sources["dados_alunos"].count() == star_queries.Star(spark, small).extracted_students().count()
+
+
+def test_a_part_arrives_by_a_rename_and_payloads_are_written_once(spark, small, monkeypatch):
+    written, moved = [], []
+    real = star_queries.replace_folder
+    monkeypatch.setattr(star_queries, "replace_folder", lambda s, a, b: (moved.append((a, b)), real(s, a, b)))
+    monkeypatch.setattr(star_queries, "write_table", lambda *a, **k: written.append(a))
+    sink, payloads = star_queries._run_stream(spark, small)
+    assert len(moved) == 4 and not written
+    star = star_queries.Star(spark, small)
+    expected = star.raw.student_payloads(star.extracted_students(), STUDENT_EVENT).select("data")
+    assert payloads.exceptAll(expected).isEmpty() and expected.exceptAll(payloads).isEmpty()
+    shared = str(star_queries.shared_folder(spark, "parts"))
+    star_queries._arrive(spark, f"{shared}/waiting", f"{shared}/source", 2)  # a part without rows
+    assert spark.read.schema("data binary, parte int").parquet(f"{shared}/source").count() == 0

@@ -13,7 +13,9 @@ from gaugeworks.plans.publication import PublishedLake
 from gaugeworks.sources import snapshots
 from gaugeworks.sources.reports import read_reports, write_documents
 from gaugeworks.sources.snapshots import SnapshotLog, TableSet
+from gaugeworks.sources.tables import write_table
 from gaugeworks.streaming import reports as report_streams
+from gaugeworks.streaming import tables
 from gaugeworks.streaming.students import merge_batches, read_stream_table, store_micro_batch
 from gaugeworks.streaming.tables import StreamSink
 from plan_text import executed_plan
@@ -244,3 +246,19 @@ def test_alarms_of_a_stream_equal_the_batch_in_any_order(spark, tmp_path, order)
         alarms = report_streams.run_alarm_stream(spark, folder, sink, checkpoint, "30 days")
         assert plain(alarms) == plain(evaluate_alarms(report_metrics(read_reports(spark, folder))))
     assert {(r.entidade, r.alarme) for r in alarms.where("em_alarme").collect()} >= {("a", "Muitos-Alertas-Qualidade")}
+
+
+def test_levels_that_become_full_together_are_rewritten_once(spark, tmp_path, monkeypatch):
+    sink, rewritten = StreamSink(str(tmp_path), fanout=2), []
+    monkeypatch.setattr(tables, "write_table", lambda df, *a: (rewritten.append(df.count()), write_table(df, *a)))
+    for batch in range(4):
+        part = sink.batch(spark, "s", batch)
+        write_table(part._origin(clean(spark, [event(str(batch))])), part.folder("rows"), SPEC.partition_by)
+        part.kinds.append("rows")
+        part.commit_parts()
+        sink.compact(spark, {"rows": SPEC.partition_by})
+    assert rewritten == [2, 4]  # and not 2, 2, 4
+    parts = sink.log.latest(spark)[1]["parts"]["rows"]
+    assert [p["level"] for p in parts] == [2]
+    rows = read_stream_table(spark, sink, "rows", clean(spark, []).schema).collect()
+    assert sorted((r._batch_id, r.id_aluno) for r in rows) == [(b, str(b)) for b in range(4)]
