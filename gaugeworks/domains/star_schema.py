@@ -260,10 +260,15 @@ class StarTables:
 
     # -- students ----------------------------------------------------------------
 
-    def raw_students(self) -> DataFrame:
-        orders = self.table("orders").select(
+    def student_orders(self) -> DataFrame:
+        return self.table("orders").select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderstatus"
         )
+
+    def raw_students(self, orders: DataFrame | None = None) -> DataFrame:
+        """Students of all orders; further columns of ``orders`` follow."""
+        orders = self.student_orders() if orders is None else orders
+        extra = [c for c in orders.columns if c not in ("l_orderkey", "o_custkey", "o_orderstatus")]
         order = F.col("l_orderkey")
         cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
         score = F.lit(600.0) + _percent(cents % 30001)
@@ -282,6 +287,7 @@ class StarTables:
             score.alias("proficiencia"),
             (F.lit(0.8) + F.col("l_tax")).alias("peso_aluno"),
             F.col("l_shipdate").alias("_ingested_at"),
+            *extra,
         )
 
     def student_payloads(self, students: DataFrame, schema: T.StructType) -> DataFrame:

@@ -58,8 +58,12 @@ def extract_students(
     students: DataFrame, city_directory: DataFrame, dictionary: DataFrame
 ) -> DataFrame:
     """Students with decoded answers; an ingestion time is kept if there is one."""
-    named = attach_city(students, city_directory)
-    extra = [INGESTION_TIME] if INGESTION_TIME in students.columns else []
+    return decode_students(attach_city(students, city_directory), dictionary)
+
+
+def decode_students(named: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The same for students that have the name and the state of their city."""
+    extra = [INGESTION_TIME] if INGESTION_TIME in named.columns else []
     return decode_codes(named, dictionary, "alunos", STUDENT_CODES).select(
         *STUDENT_COLUMNS, *extra
     )
