@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -202,33 +203,30 @@ def remove_repeats(
 ) -> DataFrame:
     """``documents`` with every repeated passage left at its first place only."""
     own = free_name(documents, "chunk_dedup")
-    row, content = f"{own}_row", f"{own}_text"
+    row, cuts = f"{own}_row", f"{own}_spans"
     stored = numbered(documents, row)
     spans = (
         repeated_spans(stored, row, text, min_bytes)
         .where("not own")
         .groupBy(F.col("row").alias(row))
-        .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("spans"))
+        .agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias(cuts))
     )
-    changed = spans.join(stored.select(row, text), row)
+    # one join brings the spans to the rows, so texts are shuffled once; a text without any stays as it is
+    joined = stored.join(spans, row, "left").select(*documents.columns, cuts)
+    at = documents.columns.index(text)
 
     def function():
         def convert(batch: pa.RecordBatch) -> dict:
-            return {
-                "row": batch.column(0),
-                "text": [cleaned(t, s) for t, s in zip(*[batch.column(i).to_pylist() for i in (1, 2)], strict=True)],
-            }
+            *columns, found = batch.columns
+            changed = found.is_valid()
+            pairs = zip(columns[at].filter(changed).to_pylist(), found.filter(changed).to_pylist(), strict=True)
+            texts = pa.array([cleaned(t, s) for t, s in pairs], columns[at].type)
+            columns[at] = pc.replace_with_mask(columns[at], changed, texts)
+            return dict(enumerate(columns))
 
         return convert
 
-    cleaned_texts = map_batches(
-        changed.select(row, text, "spans"), function, "row long, text string"
-    ).select(F.col("row").alias(row), F.col("text").alias(content))
-    return (
-        stored.join(cleaned_texts, row, "left")
-        .withColumn(text, F.coalesce(content, text))
-        .select(*documents.columns)
-    )
+    return map_batches(joined, function, documents.schema)
 
 
 def cleaned(text: str, spans: list[dict]) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gaugeworks.sources.shared import materialise
 
@@ -30,7 +31,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 def map_batches(
-    df: DataFrame, function: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str
+    df: DataFrame, function: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str | StructType
 ) -> DataFrame:
     """Apply a function to Arrow batches; ``function()`` makes it once per task.
 

@@ -1,9 +1,11 @@
 import random
+import re
 
 import numpy as np
 
 from gaugeworks.llm import chunks
 from gaugeworks.llm.common import table
+from plan_text import executed_plan
 
 
 def text(seed, words=120):
@@ -78,6 +80,14 @@ def test_removal_keeps_first_places(spark):
     assert sum(shared in (t or "") for t in after.values()) == 1
 
 
+def test_texts_are_shuffled_once(spark):
+    docs = passages(spark)[2]
+    cleaned = chunks.remove_repeats(docs)
+    assert cleaned.schema == docs.schema
+    scans = re.findall(r"FileScan parquet \[([^\]]*)", executed_plan(cleaned).split("== Initial Plan")[0])
+    assert sum("text#" in columns for columns in scans) == 1
+
+
 def test_odd_rows(spark):
     same = text(7)
     docs = spark.createDataFrame([(1, same), (1, same), (None, same), (2, text(8) * 300)], "doc_id int, text string")
