@@ -16,8 +16,10 @@ Null and empty texts have no ids and decode to an empty text. Repeated rows are
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from array import array
+from operator import add
 
 import public_tokenizers
 import pyarrow as pa
@@ -36,12 +38,26 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+_CASE_AND_FORMS = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase"}
+_WHITE_PATTERN = {"Regex": r"\s+"}
+
+
+def _steps(normalizer) -> list[dict]:
+    """The steps of a normalizer in order, as its own JSON describes them."""
+    if normalizer is None:
+        return []
+    step = json.loads(normalizer.__getstate__())
+    return step["normalizers"] if step["type"] == "Sequence" else [step]
+
+
 class WordTable:
     """Ids (little-endian unsigned 32-bit) of the words met so far, and the text of such ids.
 
     Most new words are a run of letters and some punctuation, one pre-token each, and
     many share the run, so runs have a table of their own. Unknown runs are encoded
-    many at a time, apart by spaces: a piece that ends a word then ends a run.
+    many at a time, apart by spaces: a piece that ends a word then ends a run. Runs of
+    ASCII letters skip a normalizer that changes at most their case; the case is changed
+    here, so runs that differ in it only are encoded once.
     """
 
     def __init__(self, path: str, max_words: int = MAX_WORDS):
@@ -55,7 +71,12 @@ class WordTable:
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.pieces = {i: p.encode() for p, i in vocabulary.items()}
         self.ends = {i for p, i in vocabulary.items() if p.endswith("</w>")}
-        self.run_and_tail = regex.compile(rf"(\p{{L}}+)([{regex.escape(TAIL.decode())}]*)").fullmatch
+        steps = _steps(self.tokenizer.normalizer)
+        # what these steps do to letters of ASCII is known, so such runs need no normalizer
+        self.plain = all(s["type"] in _CASE_AND_FORMS or s.get("pattern") == _WHITE_PATTERN for s in steps)
+        self.lower = any(s["type"] == "Lowercase" for s in steps)
+        self.letters = regex.compile(r"\p{L}+").fullmatch
+        self.silent = False  # whether any word so far has no ids
         self.max_words = max_words
         self.words: dict[bytes, bytes] = {}
         self.runs: dict[bytes, bytes] = {}
@@ -70,7 +91,9 @@ class WordTable:
         known = self.words
         if new := set().union(*split).difference(known):
             self.add(new)
-        return [[i for i in map(known.__getitem__, ws) if i] for ws in split]
+        if self.silent:
+            return [[i for i in map(known.__getitem__, ws) if i] for ws in split]
+        return [list(map(known.__getitem__, ws)) for ws in split]
 
     def decoded(self, ids: list[bytes]) -> bytes:
         """The text of the ids of consecutive words: their pieces, apart by spaces."""
@@ -80,22 +103,29 @@ class WordTable:
         return b" ".join(map(known.__getitem__, ids))
 
     def add(self, words: set[bytes]) -> None:
-        alone, parts = set(), []
-        for word in words:
-            run = word.rstrip(TAIL)
-            if run.isalpha():  # letters of ASCII only
-                parts.append((run, word[len(run) :]))
-            elif match := self.run_and_tail(word.decode()):
-                parts.append(tuple(map(str.encode, match.groups())))
-            else:
-                alone.add(word)
-                parts.append((word, b""))
+        """Take up new words; runs are looked at once each, however many words share them."""
+        words = list(words)
+        runs = [word.rstrip(TAIL) for word in words]
+        mixed = {run for run in set(runs) if not (run.isalpha() or self.letters(run.decode()))}
+        alone = {word for word, run in zip(words, runs, strict=True) if run in mixed}
+        runs = [word if run in mixed else run for word, run in zip(words, runs, strict=True)]
+        tails = [word[len(run) :] for word, run in zip(words, runs, strict=True)]
+        if self.plain and self.lower:
+            runs = [run.lower() if run.isalpha() else run for run in runs]
         known = self.runs
         known[b""] = b""
-        new = {run for run, _ in parts}.union(tail for _, tail in parts).difference(known)
-        self.encode_runs(sorted(new.difference(alone)))
-        self.encode_each(sorted(new.intersection(alone)))
-        self.words.update(zip(words, [known[run] + known[tail] for run, tail in parts], strict=True))
+        new = set(runs).union(tails).difference(known)
+        ascii_runs = [run for run in new if run.isalpha()] if self.plain else []
+        normalizer = self.tokenizer.normalizer
+        if ascii_runs:
+            self.tokenizer.normalizer = None
+            self.encode_runs(ascii_runs)
+            self.tokenizer.normalizer = normalizer
+        self.encode_runs(list(new.difference(alone, ascii_runs)))
+        self.encode_each(list(new.intersection(alone)))
+        found = list(map(add, map(known.__getitem__, runs), map(known.__getitem__, tails)))
+        self.silent = self.silent or b"" in found
+        self.words.update(zip(words, found, strict=True))
 
     def encode_each(self, runs: list[bytes]) -> None:
         texts = [run.decode() for run in runs]

@@ -1,5 +1,6 @@
 import hashlib
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -137,3 +138,15 @@ def test_two_pieces_replace_the_smallest():
     slots = packing.plan({60: 1, 25: 1, 20: 1, 19: 1}, 100)
     first = {s.length for s in slots if s.sequence == 0}
     assert first == {60, 20, 19}
+
+
+def test_runs_of_ascii_letters_are_encoded_once_and_without_the_normalizer():
+    words = WordTable(vocabulary_path())
+    texts = ["Word word, WORD; wOrd don't Don'T", "İstanbul ǅ Straße é É x́y A1 ... ﬁn K", ""]
+    whole = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(array("I", b"".join(ids))) for ids in words.ids(texts)] == whole
+    assert {run for run in words.runs if run.lower() == b"word"} == {b"word"}
+    assert [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts] == whole  # normalizer is back
+    words.plain = False  # as with steps that nothing is known of
+    words.words.clear(), words.runs.clear()
+    assert [list(array("I", b"".join(ids))) for ids in words.ids(texts)] == whole
