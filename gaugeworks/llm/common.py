@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,8 @@ from gaugeworks.sources.shared import materialise
 # The white space that separates words, as a regular expression and as characters.
 WHITE = r"[\x20\x09-\x0D]+"
 WHITE_CHARACTERS = " \t\n\x0b\x0c\r"
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +33,26 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Arrow batches end at ``BATCH_BYTES`` in jobs that the block runs; one row may be larger.
+
+    A batch exists several times at once, in buffers outside the heap and in the Python
+    worker, so with Spark's own limit of 64 MB texts take much more than they need. Results
+    must not depend on where batches end. The setting is the session's: jobs of other threads
+    get smaller batches too.
+    """
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[], Callable[[pa.RecordBatch], dict]], schema: str | StructType
 ) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gaugeworks.llm.common import components, map_batches, words
+from gaugeworks.llm.common import components, map_batches, small_batches, words
 from gaugeworks.sources.shared import materialise
 
 SHINGLE = 5
@@ -88,10 +88,14 @@ def frequent_shingles(documents: DataFrame, text: str, size: int) -> tuple[np.nd
         total = 0
 
         def often() -> pa.RecordBatch:
-            found, n = np.unique(np.concatenate(held), return_counts=True)
+            tokens = np.concatenate(held)
+            held.clear()
+            tokens.sort()
+            start = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+            n = np.diff(start, append=len(tokens))
             keep = n >= SEEN_OFTEN
             return pa.RecordBatch.from_arrays(
-                [pa.array(found[keep].view(np.int64)), pa.array(n[keep])], ["shingle", "n"]
+                [pa.array(tokens[start[keep]].view(np.int64)), pa.array(n[keep])], ["shingle", "n"]
             )
 
         for batch in batches:
@@ -100,8 +104,8 @@ def frequent_shingles(documents: DataFrame, text: str, size: int) -> tuple[np.nd
                 total += len(held[-1])
                 if total >= TOKENS_AT_ONCE:
                     yield often()
-                    held, total = [], 0
-        if held:
+                    total = 0
+        if total:
             yield often()
 
     counted = materialise(
@@ -315,6 +319,11 @@ def join(
 
     ``row`` numbers the rows of the result.
     """
+    with small_batches(documents.sparkSession):
+        return _join(documents, doc, text, percent, size)
+
+
+def _join(documents: DataFrame, doc: str, text: str, percent: int, size: int) -> DataFrame:
     rows = sets(documents, doc, text, percent, size)
     classes = materialise(
         rows.where("n > 0").groupBy("key", "n").agg(

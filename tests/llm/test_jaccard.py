@@ -4,7 +4,7 @@ import re
 import numpy as np
 
 from gaugeworks.llm import jaccard
-from gaugeworks.llm.common import table
+from gaugeworks.llm.common import BATCH_BYTES, table
 
 
 def shingle_set(text):
@@ -98,6 +98,32 @@ def test_odd_rows(spark):
     assert results(jaccard.near_duplicates(long)) == {1: (1, 1), 2: (1, 1)}
 
 
+def test_python_workers_get_small_batches(spark, monkeypatch):
+    text = "concat_ws(' ', transform(sequence(1, 6000), x -> x + 10000 * (id div 2)), id)"
+    docs = spark.range(0, 300, 1, 1).selectExpr("id AS doc_id", f"{text} AS text")
+    kind = type(docs)
+    plain, most = kind.mapInArrow, 2 * BATCH_BYTES
+
+    def watched(frame, function, schema):
+        def checked(batches):
+            for batch in batches:
+                assert batch.nbytes <= most
+                yield batch
+
+        return plain(frame, lambda batches: function(checked(batches)), schema)
+
+    monkeypatch.setattr(kind, "mapInArrow", watched)
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    assert results(jaccard.near_duplicates(docs)) == {k: (5997, k - k % 2) for k in range(300)}
+    assert spark.conf.get(setting, None) is None
+    spark.conf.set(setting, "32m")
+    try:
+        assert jaccard.keep_one(docs).count() == 150
+        assert spark.conf.get(setting) == "32m"
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_frequent_shingles_come_last():
     tokens = np.arange(0, 80, 2, dtype=np.uint64)
     frequent, counts = np.array([0, 2, 4, 5], np.uint64), np.array([9, 7, 8, 1])
