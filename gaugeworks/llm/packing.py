@@ -130,9 +130,9 @@ def pieces(
         def convert(batch: pa.RecordBatch) -> dict:
             rows, piece, start, length, crc = [], [], [], [], []
             row = 0
-            for run in chunks(batch.column(1).to_pylist()):
-                for found in table.ids(run):
-                    ids = b"".join([*found, end])
+            for run in chunks(batch.column(1)):
+                for found in table.whole_ids(run):
+                    ids = found + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[at : at + 4 * capacity]
                         rows.append(row)

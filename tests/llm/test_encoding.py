@@ -4,6 +4,7 @@ from array import array
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -11,7 +12,7 @@ from tokenizers import Tokenizer
 
 from gaugeworks.llm import packing
 from gaugeworks.llm.common import table
-from gaugeworks.llm.encoding import WordTable, digests, encode, vocabulary_path
+from gaugeworks.llm.encoding import WordTable, chunks, digests, encode, vocabulary_path
 
 TRICKY = [
     None,
@@ -150,3 +151,58 @@ def test_runs_of_ascii_letters_are_encoded_once_and_without_the_normalizer():
     words.plain = False  # as with steps that nothing is known of
     words.words.clear(), words.runs.clear()
     assert [list(array("I", b"".join(ids))) for ids in words.ids(texts)] == whole
+
+
+def test_words_are_looked_up_once_a_call_and_not_at_every_place():
+    class Counted(dict):
+        lookups = 0
+
+        def get(self, key, default=None):
+            self.lookups += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.lookups += 1
+            return super().__getitem__(key)
+
+    words = WordTable(vocabulary_path())
+    words.words = Counted()
+    found = words.ids(["the cat " * 500, "cat"] * 2)
+    assert [len(ids) for ids in found] == [1000, 1, 1000, 1]
+    assert words.words.lookups <= 6  # two words and the empty one behind the last space
+
+
+def test_runs_of_ascii_letters_pass_a_pre_tokenizer_that_parts_at_spaces_only():
+    words, seen = WordTable(vocabulary_path()), []
+    before = str(words.tokenizer.pre_tokenizer)
+
+    def encode_runs(runs, together=200):
+        seen.extend((run, str(words.tokenizer.pre_tokenizer) == before) for run in runs)
+        WordTable.encode_runs(words, runs, together)
+
+    words.encode_runs = encode_runs
+    texts = ["Plain words, straße A1 it's plain."]
+    whole = [words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [list(array("I", b"".join(ids))) for ids in words.ids(texts)] == whole
+    own = dict(seen)
+    assert not own[b"plain"] and not own[b"words"] and own["straße".encode()]
+    assert str(words.tokenizer.pre_tokenizer) == before
+    words.spaced = False  # as with another pre-tokenizer
+    words.words.clear(), words.runs.clear()
+    assert [list(array("I", b"".join(ids))) for ids in words.ids(texts)] == whole
+    assert dict(seen)[b"plain"]
+
+
+@pytest.mark.parametrize("kind", ["string", "large_string"])
+def test_whole_ids_of_any_white_space_and_slice(tokenizer, kind):
+    texts = [*TRICKY, "\x1ca\x1fb\x85c\u2003d\u3000e\x00 f", " lead", "trail\r\n", "a \x0b\x0c b", "\n", None]
+    want = [plain(tokenizer, t)[0] for t in texts]
+    column = pa.array(texts, kind)
+    for size in (1, 7, 4_000_000):
+        words = WordTable(vocabulary_path(), max_words=size)
+        parts = list(chunks(column.slice(3), size))
+        assert pa.chunked_array(parts).to_pylist() == texts[3:]
+        assert [ids for part in parts for ids in words.whole_ids(part)] == want[3:]
+        assert [b"".join(ids) for ids in words.ids(column)] == want
+        assert words.whole_ids(column) == want
+    assert list(chunks(column.slice(0, 0))) == [] and words.whole_ids(column.slice(0, 0)) == []
