@@ -195,8 +195,21 @@ def _bytes(column: pa.Array) -> list[bytes]:
     return column.cast(kind).to_numpy(zero_copy_only=False).tolist()
 
 
-def chunks(texts: pa.Array, size: int = 4_000_000):
-    """Consecutive slices of texts of limited bytes, so one task holds few words at a time."""
+def chunks(texts: list[str | None], characters: int = 4_000_000):
+    """Consecutive runs of texts of limited length, so one task holds few words at a time."""
+    run, size = [], 0
+    for text in texts:
+        run.append(text)
+        size += len(text or "")
+        if size >= characters:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
+def text_slices(texts: pa.Array, size: int = 4_000_000):
+    """As ``chunks``, for texts that stay in Arrow; the limit is one of bytes."""
     ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
     at = done = 0
     while at < len(texts):
@@ -221,7 +234,7 @@ def encode(
 
         def convert(batch: pa.RecordBatch) -> dict:
             ids, decoded = [], []
-            for run in chunks(batch.column(1)):
+            for run in text_slices(batch.column(1)):
                 for found in table.ids(run):
                     ids.append(b"".join(found))
                     decoded.append(table.decoded(found))
@@ -245,7 +258,7 @@ def digests(documents: DataFrame, path: str | None = None, max_words: int = MAX_
 
         def convert(batch: pa.RecordBatch) -> dict:
             counts, ids_sha, decoded_sha = [], [], []
-            for run in chunks(batch.column(1)):
+            for run in text_slices(batch.column(1)):
                 for found in table.ids(run):
                     ids, decoded = b"".join(found), table.decoded(found)
                     counts.append(len(ids) // 4)

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from gaugeworks.llm.common import map_batches
-from gaugeworks.llm.encoding import MAX_WORDS, WordTable, chunks, vocabulary_path
+from gaugeworks.llm.encoding import MAX_WORDS, WordTable, text_slices, vocabulary_path
 from gaugeworks.sources.shared import materialise
 
 CAPACITY = 4096
@@ -130,7 +130,7 @@ def pieces(
         def convert(batch: pa.RecordBatch) -> dict:
             rows, piece, start, length, crc = [], [], [], [], []
             row = 0
-            for run in chunks(batch.column(1)):
+            for run in text_slices(batch.column(1)):
                 for found in table.whole_ids(run):
                     ids = found + end
                     for k, at in enumerate(range(0, len(ids), 4 * capacity)):

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer
 
 from gaugeworks.llm import packing
 from gaugeworks.llm.common import table
-from gaugeworks.llm.encoding import WordTable, chunks, digests, encode, vocabulary_path
+from gaugeworks.llm.encoding import WordTable, digests, encode, text_slices, vocabulary_path
 
 TRICKY = [
     None,
@@ -200,9 +200,9 @@ def test_whole_ids_of_any_white_space_and_slice(tokenizer, kind):
     column = pa.array(texts, kind)
     for size in (1, 7, 4_000_000):
         words = WordTable(vocabulary_path(), max_words=size)
-        parts = list(chunks(column.slice(3), size))
+        parts = list(text_slices(column.slice(3), size))
         assert pa.chunked_array(parts).to_pylist() == texts[3:]
         assert [ids for part in parts for ids in words.whole_ids(part)] == want[3:]
         assert [b"".join(ids) for ids in words.ids(column)] == want
         assert words.whole_ids(column) == want
-    assert list(chunks(column.slice(0, 0))) == [] and words.whole_ids(column.slice(0, 0)) == []
+    assert list(text_slices(column.slice(0, 0))) == [] and words.whole_ids(column.slice(0, 0)) == []
