@@ -73,3 +73,14 @@ def deduplicate(df: DataFrame, spec: EntitySpec) -> DataFrame:
     if spec.dedup_keys and all(k in df.columns for k in spec.dedup_keys):
         return keep_one(df, spec.dedup_keys, spec.latest_by, never_null=spec.mandatory)
     return drop_exact_duplicates(df)
+
+
+def raw_keys(columns: Iterable[str], spec: EntitySpec) -> list[str]:
+    """The dedup keys, if a source has all of them by name and cleaning leaves them as they are.
+
+    A source dealt by them needs no shuffle to drop its duplicates.
+    """
+    changed = {*spec.text_columns, *spec.code_columns, *spec.numeric_columns}
+    changed |= {name for name, _ in spec.padded_keys} | {name for pair in spec.renames for name in pair}
+    kept = set(columns) - changed
+    return list(spec.dedup_keys) if kept.issuperset(spec.dedup_keys) else []

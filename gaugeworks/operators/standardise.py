@@ -17,6 +17,7 @@ from gaugeworks.operators.cleaning import (
 )
 from gaugeworks.operators.dedup import deduplicate
 from gaugeworks.operators.naming import normalise_names, rename_columns
+from gaugeworks.sources.tables import rebalanced
 from gaugeworks.spec import EntitySpec
 
 # Why a row was rejected, also names of rules.
@@ -86,16 +87,21 @@ def rejected_rows(df: DataFrame, spec: EntitySpec) -> DataFrame:
     )
 
 
-def standardise_entity(df: DataFrame, spec: EntitySpec, audit: bool = True) -> DataFrame:
+def standardise_entity(
+    df: DataFrame, spec: EntitySpec, audit: bool = True, rebalance: bool = False
+) -> DataFrame:
     """Clean table of one entity.
 
     The own-year target and the missing flags follow from other columns, so they
-    are added after duplicates are gone and never travel through the shuffle.
+    are added after duplicates are gone and never travel through the shuffle. With
+    ``rebalance`` neither do they through that of a partitioned write: rows are
+    rebalanced for it before these columns are added.
     """
+    unique = standardise_values(df, spec).transform(deduplicate, spec)
+    if rebalance:
+        unique = rebalanced(unique, spec.partition_by)
     result = (
-        standardise_values(df, spec)
-        .transform(deduplicate, spec)
-        .transform(resolve_wide_target, spec.wide_target)
+        unique.transform(resolve_wide_target, spec.wide_target)
         .transform(flag_missing, spec.numeric_columns, spec.missing_suffix)
     )
     return result.withColumn(spec.audit_column, F.current_timestamp()) if audit else result

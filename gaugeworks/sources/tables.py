@@ -32,31 +32,44 @@ def read_table(
     return reader.options(**(options or {})).load(path)
 
 
+def rebalanced(df: DataFrame, partition_by: Iterable[str]) -> DataFrame:
+    """Rows dealt for a write that is partitioned by the columns they have among these."""
+    present = [c for c in partition_by if c in df.columns]
+    return df.hint("rebalance", *present) if present else df
+
+
 def write_table(
     df: DataFrame,
     path: str,
     partition_by: Iterable[str] = (),
     fmt: str = "parquet",
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
     """Write a table, partitioned by the columns it has among ``partition_by``.
 
     Rows are rebalanced on the partition columns first. Otherwise every task
     would write a small file into every partition; a plain repartition would send
-    a hot partition to one task, whereas rebalancing splits it by size.
+    a hot partition to one task, whereas rebalancing splits it by size. Without
+    ``rebalance`` it is left out, for rows that come from files of the same partitions or
+    were rebalanced before.
     """
     present = [c for c in partition_by if c in df.columns]
-    writer = df.write
+    writer = (rebalanced(df, present) if rebalance else df).write
     if present:
-        writer = df.hint("rebalance", *present).write.partitionBy(*present)
+        writer = writer.partitionBy(*present)
     writer.mode(mode).format(fmt).save(path)
 
 
 def publish_table(
-    df: DataFrame, path: str, partition_by: Iterable[str] = (), fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Iterable[str] = (),
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> DataFrame:
     """Write a table and return it as stored, with the types it was written with."""
-    write_table(df, path, partition_by, fmt)
+    write_table(df, path, partition_by, fmt, rebalance=rebalance)
     return read_table(df.sparkSession, path, fmt, df.schema).select(*df.columns)
 
 

@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gaugeworks.operators.dedup import deduplicate
+from gaugeworks.operators.dedup import deduplicate, raw_keys
 from gaugeworks.operators.quality import quality_suite
 from gaugeworks.operators.standardise import rejected_rows, standardise_entity
 from gaugeworks.plans.concurrent import concurrently
-from gaugeworks.sources.shared import staged
+from gaugeworks.sources.shared import materialise_by_key, staged
 from gaugeworks.spec import EntitySpec
 from gaugeworks.streaming.tables import ORIGIN, StreamSink, newest_rows
 
@@ -75,7 +75,7 @@ def store_micro_batch(
     """Decode, clean, store and check one micro-batch.
 
     The decoded events feed several tables, so they are stored in the shared folder for
-    the time of the batch. Rules are measured on the stored rows, and on the decoded
+    the time of the batch, by key, which spares the shuffle that drops duplicates. Rules are measured on the stored rows, and on the decoded
     events where cleaning drops rows. No foreign keys are checked here. All tables of
     the batch change in one version, which the merged table and the merged report follow.
     """
@@ -83,14 +83,15 @@ def store_micro_batch(
     batch = sink.batch(spark, stream, batch_id)
     if batch is None:
         return
-    with staged(decode_events(raw, schema, payload, corrupt=CORRUPT), "events") as decoded:
+    keys = raw_keys(schema.names, spec)
+    with staged(decode_events(raw, schema, payload, corrupt=CORRUPT), "events", keys) as decoded:
         events = decoded.drop(CORRUPT).where(F.col(CORRUPT).isNull() | _has_values(schema))
         rejected = decoded.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("payload"))
-        clean = standardise_entity(events, spec)
+        clean = standardise_entity(events, spec, rebalance=True)
         concurrently(
             spark,
             {
-                "rows": lambda: batch.write("rows", clean, spec.partition_by),
+                "rows": lambda: batch.write("rows", clean, spec.partition_by, rebalance=False),
                 "rejected": lambda: batch.write("rejected", rejected),
                 "rejected_rows": lambda: batch.write("rejected_rows", rejected_rows(events, spec)),
             },
@@ -147,6 +148,7 @@ def merge_batches(
     spec: EntitySpec,
     batch: DataFrame | None = None,
     newest_first: bool = True,
+    stored: bool = False,
 ) -> DataFrame:
     """One row per key over all micro-batches, and over the batch table when given.
 
@@ -154,7 +156,8 @@ def merge_batches(
     stream and in the batch table, is stored twice. Here the newest batch wins, the batch
     table comes before all of them, and ties go to the smallest row. Batches follow by
     ``_order``, or by number if there is no such column. Without ``newest_first`` the choice is
-    the batch path's, so the result equals that of one batch over all events.
+    the batch path's, so the result equals that of one batch over all events. With
+    ``stored`` the rows are stored by key first, and merged without a shuffle.
     """
     columns = [c for c in streamed.columns if c not in (*ORIGIN, spec.audit_column)]
     order = "_order" if "_order" in streamed.columns else "_batch_id"
@@ -162,5 +165,9 @@ def merge_batches(
     if batch is not None:
         rows = rows.unionByName(batch.select(*columns, F.lit(-1).cast("long").alias("_newest")))
     if not newest_first:
-        return deduplicate(rows.drop("_newest"), spec)
+        rows = rows.drop("_newest")
+    if stored:
+        rows = materialise_by_key(rows, "merged", spec.dedup_keys)
+    if not newest_first:
+        return deduplicate(rows, spec)
     return newest_rows(rows, spec.dedup_keys, spec.mandatory).drop("_newest")

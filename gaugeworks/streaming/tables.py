@@ -246,9 +246,9 @@ class Batch:
         values = (self.stream, self.batch_id, self.order)
         return df.withColumns({n: F.lit(v).cast(t) for n, v, t in zip(ORIGIN, values, _ORIGIN_TYPES, strict=True)})
 
-    def write(self, kind: str, df: DataFrame, partition_by: Iterable[str] = ()) -> None:
+    def write(self, kind: str, df: DataFrame, partition_by: Iterable[str] = (), rebalance: bool = True) -> None:
         """A replay replaces what an earlier try has left behind without a version."""
-        write_table(self._origin(df), self.folder(kind), partition_by)
+        write_table(self._origin(df), self.folder(kind), partition_by, rebalance=rebalance)
         self.kinds.append(kind)
 
     def commit_parts(self) -> None:
