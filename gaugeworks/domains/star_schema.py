@@ -238,7 +238,9 @@ class StarTables:
 
     @staticmethod
     def _scores(groups: DataFrame, lead: Mapping[str, Column]) -> DataFrame:
+        """Scores of groups; further columns of these follow."""
         n = F.col("n")
+        extra = [c for c in groups.columns if c not in ("k", "ano", "rede", "s")]
         levels = [
             _percent(n * (i + 1) % 10001).alias(f"proporcao_aluno_nivel_{i}") for i in range(9)
         ]
@@ -250,10 +252,12 @@ class StarTables:
             _percent(n).alias("taxa_alfabetizacao"),
             (n % 301 + 600).cast("double").alias("media_portugues"),
             *levels,
+            *extra,
         )
 
-    def raw_city_scores(self) -> DataFrame:
-        return self._scores(self.city_groups(), {"id_municipio": F.col("k")})
+    def raw_city_scores(self, groups: DataFrame | None = None) -> DataFrame:
+        groups = self.city_groups() if groups is None else groups
+        return self._scores(groups, {"id_municipio": F.col("k")})
 
     def raw_state_scores(self) -> DataFrame:
         return self._scores(self.state_groups(), {"sigla_uf": state_code(F.col("k"))})

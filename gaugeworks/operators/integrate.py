@@ -48,6 +48,7 @@ def integrate(
     layout: IndicatorLayout,
     by_network: bool = False,
     audit: bool = True,
+    rebalance: bool = False,
 ) -> DataFrame:
     """City results with names, state figures and national figures.
 
@@ -60,14 +61,17 @@ def integrate(
 
     All tables but the first should be stored ones. Then their size is known, so
     the small ones are broadcast, and a join that does shuffle does so right below
-    the join, where adaptive execution can split a hot city or state.
+    the join, where adaptive execution can split a hot city or state. With ``rebalance`` the
+    rows are dealt by year for a write before state and national figures repeat them.
     """
     network = [layout.network] if by_network else []
     state_keys = [layout.state, layout.year, *network]
     nation_keys = [layout.year, *network]
+    located = city_targets.drop(layout.city_name, layout.state, layout.audit_column).join(
+        cities.select(layout.city, layout.city_name, layout.state), layout.city, "left"
+    )
     result = (
-        city_targets.drop(layout.city_name, layout.state, layout.audit_column)
-        .join(cities.select(layout.city, layout.city_name, layout.state), layout.city, "left")
+        (located.hint("rebalance", layout.year) if rebalance else located)
         .join(states.select(layout.state, layout.state_name), layout.state, "left")
         .join(
             _figures(state_targets, state_keys, layout, layout.state_suffix), state_keys, "left"

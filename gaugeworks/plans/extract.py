@@ -50,7 +50,11 @@ def extract_state(
 
 
 def extract_city(scores: DataFrame, city_directory: DataFrame, dictionary: DataFrame) -> DataFrame:
-    named = attach_city(scores, city_directory)
+    return decode_city(attach_city(scores, city_directory), dictionary)
+
+
+def decode_city(named: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """The same for scores that have the name and the state of their city."""
     return decode_codes(named, dictionary, "municipio", ["serie", "rede"]).select(*CITY_COLUMNS)
 
 

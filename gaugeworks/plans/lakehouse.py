@@ -29,7 +29,7 @@ from gaugeworks.operators.quality import (
 )
 from gaugeworks.operators.standardise import rejected_rows, standardise_entity
 from gaugeworks.plans.concurrent import concurrently
-from gaugeworks.plans.marts import MARTS, trend_from_tables
+from gaugeworks.plans.marts import MARTS, ROWWISE, trend_from_tables
 from gaugeworks.sources.reports import save_report, utc_now
 from gaugeworks.sources.shared import materialise, remove_folder, replace_folder
 from gaugeworks.sources.tables import publish_table, read_table, write_table
@@ -100,13 +100,13 @@ def run_entity(
     measured on stored columns. If alerts must keep the table from being published, it
     is written to a folder beside its place and takes that place once it has passed.
     """
-    clean = standardise_entity(raw, spec)
+    clean = standardise_entity(raw, spec, rebalance=True)
     path = lake.table_path(spec.name)
     if spec.mandatory:
         write_table(rejected_rows(raw, spec), lake.rejects_path(spec.name))
     if lake.stops(spec.name):
         beside = f"{path}.staged-{uuid.uuid4().hex}"
-        staged = publish_table(clean, beside, spec.partition_by)
+        staged = publish_table(clean, beside, spec.partition_by, rebalance=False)
         try:
             _check(raw, staged, spec, lake, references)
         except QualityAlert:
@@ -114,7 +114,7 @@ def run_entity(
             raise
         replace_folder(raw.sparkSession, beside, path)
         return read_table(raw.sparkSession, path, schema=clean.schema).select(*clean.columns)
-    stored = publish_table(clean, path, spec.partition_by)
+    stored = publish_table(clean, path, spec.partition_by, rebalance=False)
     _check(raw, stored, spec, lake, references)
     return stored
 
@@ -162,8 +162,10 @@ def run_integration(
         national_targets,
         layout,
         by_network,
+        rebalance=True,
     )
-    stored = publish_table(integrated, lake.table_path(domain.integrated), [layout.year])
+    path = lake.table_path(domain.integrated)
+    stored = publish_table(integrated, path, [layout.year], rebalance=False)
     report = integration_report(
         stored, cities, state_targets, national_targets, layout, domain.integrated
     )
@@ -179,13 +181,15 @@ def run_marts(
 ) -> dict:
     """Build and store all marts, partitioned by year.
 
-    ``built`` holds marts that are made of other tables than the integrated one.
+    ``built`` holds marts that are made of other tables than the integrated one, which is
+    stored by year. A mart with a row for each of its rows is thus written as its files come.
     """
     built = built or {}
 
     def mart(name: str) -> DataFrame:
         df = built[name] if name in built else MARTS[name](integrated, layout)
-        return publish_table(df, lake.mart_path(name), [layout.year])
+        rowwise = name in ROWWISE and name not in built
+        return publish_table(df, lake.mart_path(name), [layout.year], rebalance=not rowwise)
 
     return concurrently(integrated.sparkSession, {name: partial(mart, name) for name in MARTS})
 

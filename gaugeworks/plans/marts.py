@@ -170,3 +170,5 @@ MARTS: dict[str, Callable[[DataFrame, IndicatorLayout], DataFrame]] = {
     "gold_evolucao_temporal": trend_mart,
     "gold_dashboard": dashboard_mart,
 }
+# Marts with one row per integrated row.
+ROWWISE = frozenset({"gold_indicador_municipio", "gold_comparacao_metas", "gold_dashboard"})
