@@ -50,14 +50,21 @@ def merged_report(reports: DataFrame, keys: DataFrame | None = None) -> DataFram
         F.sum("total_registros").alias("total_registros"), F.sum("violacoes").alias("violacoes")
     )
     if keys is not None:
+        rule = ["regra", "coluna"]
         # the rule on incomplete keys has the same columns, so it counts the complete rows
-        complete = F.when(F.col("regra") == INCOMPLETE, F.col("total_registros") - F.col("violacoes"))
+        complete = summed.filter(F.col("regra") == INCOMPLETE).select(
+            F.lit(DUPLICATES).alias("regra"),
+            "coluna",
+            (F.col("total_registros") - F.col("violacoes")).alias("_repeated"),
+        )
         # count_distinct of several columns skips rows with a null among them
-        different = keys.agg(F.count_distinct(*keys.columns).alias("_different"))
-        counted = summed.agg(F.max(complete).alias("_complete")).crossJoin(different)
-        repeated = F.when(F.col("regra") == DUPLICATES, F.col("_complete") - F.col("_different"))
-        summed = summed.crossJoin(counted).withColumn("violacoes", F.coalesce(repeated, "violacoes"))
-        summed = summed.drop("_complete", "_different")
+        different = keys.agg((-F.count_distinct(*keys.columns)).alias("_repeated")).select(
+            F.lit(DUPLICATES).alias("regra"), F.lit(",".join(keys.columns)).alias("coluna"), "_repeated"
+        )
+        counted = complete.unionByName(different).groupBy(*rule).agg(F.sum("_repeated").alias("_repeated"))
+        summed = summed.join(counted, rule, "left").select(
+            "entidade", *rule, "total_registros", F.coalesce("_repeated", "violacoes").alias("violacoes")
+        )
     by_share = F.col("regra").isin(MISSING, INCOMPLETE, ABSENT_KEY)
     share = F.round(F.col("violacoes") / F.col("total_registros") * 100, 2)
     percent = F.when(by_share, F.when(F.col("total_registros") > 0, share).otherwise(0.0))
