@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
-# Intermediate tables are read by this library only; zstd halves texts against snappy.
+# Tables stored by key and payloads are read by this library only; zstd halves them against snappy.
 CODEC = "zstd"
 _MOST_BUCKETS = 128
 # A bucket may have so many times the mean, and so many rows at least, before keys count as uneven.
@@ -87,7 +87,7 @@ def stored_alone(spark: SparkSession, build: Callable[[], DataFrame], name: str)
     with recorded_intermediates() as record:
         result = build()
         path = shared_folder(spark, name)
-        result.write.parquet(path, compression=CODEC)
+        result.write.parquet(path)
     for folder in record:
         remove_folder(spark, folder)
     _recorded(path)
@@ -121,7 +121,7 @@ def materialise(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) ->
     writer = df.write.mode("errorifexists")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.parquet(path, compression=CODEC)
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
